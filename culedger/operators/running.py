@@ -13,9 +13,11 @@ columns (``TimePoint`` by default) into buckets:
    ordered first inside the bucket, and a running sum partitioned by
    (group, bucket) adds them to the rows.
 
-Step 3 is the only full-data shuffle, and it is keyed by (group, bucket), so a
-hot group is spread over many tasks. No join back is needed. Sums run in an
-exact decimal type, so the split changes no digit of the result.
+The rows are shuffled once, by (group, bucket), so a hot group is spread over
+many tasks; steps 1-3 then run on that partitioning (the offsets are small and
+shuffled to match; Union keeps the shared partitioning). No join back is
+needed. Sums run in an exact decimal type, so the split changes no digit of
+the result.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ def running_sum(
     out: str,
     split_depth: int = 1,
     sum_type: str | None = CU_DECIMAL,
+    num_partitions: int | None = None,
+    prepartitioned: bool = False,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``partition_by`` in
     ``order_by`` order (all ascending, NULLs first; rows frame).
@@ -47,16 +51,26 @@ def running_sum(
     be deterministic (the reference orders by time only; ties there depend on
     row arrival). ``split_depth`` is how many leading ``order_by`` columns form
     a bucket. ``sum_type`` is the exact type summed in (``None``: double).
+
+    Rows are hash-partitioned once by the bucket keys (``num_partitions``,
+    default ``spark.sql.shuffle.partitions``). A caller that already did so
+    with :func:`bucket_partition` -- e.g. before a dedupe whose key contains
+    the bucket keys, so the dedupe reuses the same shuffle -- passes
+    ``prepartitioned=True``. The offsets are re-partitioned the same way, so
+    the union keeps that partitioning and the final window needs no shuffle.
     """
     part = list(partition_by)
     order = list(order_by)
     if not 1 <= split_depth <= len(order):
         raise ValueError("split_depth must be between 1 and len(order_by)")
     split, within = order[:split_depth], order[split_depth:]
+    bucket_keys = part + split
+    n = num_partitions or _default_partitions(df)
+    if not prepartitioned:
+        df = df.repartition(n, *bucket_keys)
     v = F.col(value).cast(sum_type) if sum_type else F.col(value).cast("double")
     rows = df.withColumn(_VAL, v).withColumn(_MARK, F.lit(1))
 
-    bucket_keys = part + split
     buckets = rows.groupBy(*bucket_keys).agg(F.sum(_VAL).alias("_rt_bucket"))
     w_prev = (
         Window.partitionBy(*part)
@@ -64,7 +78,11 @@ def running_sum(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     zero = F.lit(0).cast(sum_type) if sum_type else F.lit(0.0)
-    offsets = buckets.select(*bucket_keys, F.coalesce(F.sum("_rt_bucket").over(w_prev), zero).alias(_VAL)).withColumn(_MARK, F.lit(0))
+    offsets = (
+        buckets.select(*bucket_keys, F.coalesce(F.sum("_rt_bucket").over(w_prev), zero).alias(_VAL))
+        .withColumn(_MARK, F.lit(0))
+        .repartition(n, *bucket_keys)
+    )
 
     stream = rows.unionByName(offsets, allowMissingColumns=True)
     w_run = (
@@ -76,6 +94,17 @@ def running_sum(
     return running.filter(F.col(_MARK) == 1).drop(_MARK, _VAL)
 
 
+def _default_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucket_partition(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], split_depth: int = 1, num_partitions: int | None = None) -> DataFrame:
+    """Hash-partition rows by (group, bucket) the way :func:`running_sum`
+    expects with ``prepartitioned=True``."""
+    keys = list(partition_by) + list(order_by)[:split_depth]
+    return df.repartition(num_partitions or _default_partitions(df), *keys)
+
+
 def running_sum_single_window(
     df: DataFrame,
     partition_by: Sequence[str],

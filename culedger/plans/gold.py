@@ -10,7 +10,7 @@ from culedger.functions.columns import with_synthetic_operation_id
 from culedger.operators.aggregates import calendar
 from culedger.operators.dedupe import dedupe_latest
 from culedger.operators.filters import delete_half_minute_text, drop_half_minute, exclude_null_key
-from culedger.operators.running import running_sum
+from culedger.operators.running import bucket_partition, running_sum
 from culedger.operators.upsert import upsert, upsert_detail
 from culedger.schemas import CAPACITY_KEY, K7, RUNNING_GROUP, RUNNING_TIEBREAK, TIMEPOINT_KEY
 
@@ -44,8 +44,12 @@ def gold_autoscale_source(silver_autoscale: DataFrame, split_depth: int = 1, dro
     rows = exclude_null_key(silver_autoscale)
     if drop_half:
         rows = drop_half_minute(rows)
-    rows = dedupe_latest(with_synthetic_operation_id(rows), K7)
-    return running_sum(rows, RUNNING_GROUP, ["TimePoint"] + RUNNING_TIEBREAK, "SumCU_s", "Acc_CU_s", split_depth=split_depth)
+    order = ["TimePoint"] + RUNNING_TIEBREAK
+    # One shuffle, by (group, TimePoint): those columns are part of K7, so the
+    # dedupe window and every running-total step reuse this partitioning.
+    rows = bucket_partition(with_synthetic_operation_id(rows), RUNNING_GROUP, order, split_depth)
+    rows = dedupe_latest(rows, K7)
+    return running_sum(rows, RUNNING_GROUP, order, "SumCU_s", "Acc_CU_s", split_depth=split_depth, prepartitioned=True)
 
 
 # Merges ----------------------------------------------------------------------

@@ -29,21 +29,50 @@ SKU_CU_PER_TIMEPOINT = 1920.0
 BACKGROUND_EVENT_TYPES = ["error", "view"]
 
 
+#: Declared schemas of the driver tables this library reads. Reading with a
+#: schema skips footer inference (one footer read per file listing on a
+#: cluster) and pins the timestamp type to TIMESTAMP_NTZ.
+DRIVER_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
+_OPERATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event with every derived detail column plus ``event_id``.
 
+    The lazy plan is built once per session and folder and shared (a plan,
+    not data: every use still reads the tables when it runs).
+
     ``customer`` and ``part`` are dimensions: Spark picks a broadcast join when
     their measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and a
     shuffle join otherwise, so nothing here assumes they stay small.
     """
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _OPERATIONS:
+        _OPERATIONS[key] = _operations(spark, sf_dir)
+    return _OPERATIONS[key]
+
+
+def _operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
