@@ -390,4 +390,5 @@ ORACLE: dict[str, str] = {
     "metrics_ingest_v37": with_("SELECT * REPLACE (upper(CapacityId) AS CapacityId) FROM tp"),
     "detail_ingest": with_(dedupe(synth("silver_detail"), K7, SILVER_DETAIL_COLS)),
     "autoscale_ingest": with_(dedupe(synth("silver_autoscale"), K7, SILVER_AUTOSCALE_COLS)),
+    "staged_read": with_("SELECT * FROM silver_detail"),
 }

@@ -359,6 +359,17 @@ def q_autoscale_ingest(spark, sf):
     return ingest_detail(raw, kind="autoscale", load_time_col="load_time")
 
 
+def q_staged_read(spark, sf):
+    """Stage the derived detail batch as parquet parts in the shared work
+    folder, then read every staged row back with the declared schema."""
+    from culedger.schemas import TIMEPOINT_METRICS
+    from culedger.sources.staging import StagedStore
+
+    store = StagedStore(spark, "staged-read", TIMEPOINT_METRICS)
+    store.append(fx.silver_detail(spark, sf))
+    return store.read()
+
+
 QUERIES: dict[str, Query] = {
     # analysis patterns
     "capacity_trend": q_capacity_trend,
@@ -420,5 +431,6 @@ QUERIES: dict[str, Query] = {
     "metrics_ingest_v37": q_metrics_ingest_v37,
     "detail_ingest": q_detail_ingest,
     "autoscale_ingest": q_autoscale_ingest,
+    "staged_read": q_staged_read,
 }
 
