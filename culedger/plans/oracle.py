@@ -391,4 +391,5 @@ ORACLE: dict[str, str] = {
     "detail_ingest": with_(dedupe(synth("silver_detail"), K7, SILVER_DETAIL_COLS)),
     "autoscale_ingest": with_(dedupe(synth("silver_autoscale"), K7, SILVER_AUTOSCALE_COLS)),
     "staged_read": with_("SELECT * FROM silver_detail"),
+    "views": with_("SELECT * FROM uni WHERE SourceType = 'autoscale'"),
 }

@@ -370,6 +370,13 @@ def q_staged_read(spark, sf):
     return store.read()
 
 
+def q_views(spark, sf):
+    """The analysis views registered by name and queried with SQL."""
+    v = _views(spark, sf, with_metrics=True)
+    analysis.register_views(v)
+    return spark.sql(f"SELECT * FROM {analysis.VIEW_NAMES['unified']} WHERE SourceType = 'autoscale'")
+
+
 QUERIES: dict[str, Query] = {
     # analysis patterns
     "capacity_trend": q_capacity_trend,
@@ -432,5 +439,6 @@ QUERIES: dict[str, Query] = {
     "detail_ingest": q_detail_ingest,
     "autoscale_ingest": q_autoscale_ingest,
     "staged_read": q_staged_read,
+    "views": q_views,
 }
 
