@@ -144,10 +144,15 @@ class Lakehouse:
         if not self.exists(table):
             self._create(table, post(source) if post else source)
             return
+        # The source feeds the pruning subquery, the anti-join and the union:
+        # write it once (partitioned like the table) so an expensive source
+        # plan runs once and pruning reads only partition values.
+        source = self._stage(table, source, "src")
         target = self.read(table)
         if self.is_partitioned(table):
             touched = source.select(PARTITION_COL).distinct()
-            # Semi-join on the partition column: only touched dates are read.
+            # Semi-join on the partition column: only touched dates are read
+            # (dynamic partition pruning on the target scan).
             target = target.join(touched, PARTITION_COL, "left_semi")
         merged = upsert(target, source.select(*target.columns), eq_keys, null_safe_keys, when_matched)
         if post:
@@ -162,6 +167,16 @@ class Lakehouse:
             self.spark.sql(f"DROP TABLE {self.name(table)}")
             self._create(table, staged, mode="overwrite")
 
+    def _stage(self, table: str, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` to a fresh staging folder and read it back with the
+        same schema: the lineage is cut at a reliable, shared copy."""
+        path = self.staging(table) + f"-{label}"
+        w = df.write.mode("overwrite")
+        if self.is_partitioned(table) and PARTITION_COL in df.columns:
+            w = w.partitionBy(PARTITION_COL)
+        w.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def delete_where(self, table: str, predicate) -> None:
         """``DELETE FROM table WHERE predicate`` for rows where it is true;
         only partitions holding such rows are rewritten."""

@@ -67,9 +67,10 @@ def operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffle join otherwise, so nothing here assumes they stay small.
     """
     key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _OPERATIONS:
-        _OPERATIONS[key] = _operations(spark, sf_dir)
-    return _OPERATIONS[key]
+    cached = _OPERATIONS.get(key)
+    if cached is None or cached.sparkSession is not spark:
+        cached = _OPERATIONS[key] = _operations(spark, sf_dir)
+    return cached
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
