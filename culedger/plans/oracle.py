@@ -339,6 +339,11 @@ ORACLE: dict[str, str] = {
         f"t AS ({running(dedupe(synth('silver_autoscale', 'Unique_key IS NOT NULL AND ' + run1()), K7, SILVER_AUTOSCALE_COLS))})",
         "m AS (" + upsert("t", "gas", K7_EQ, K7_NULL_SAFE, "update") + ")",
     ),
+    "merge_gold_autoscale_incremental": with_(
+        f"SELECT * FROM m WHERE NOT coalesce({HALF_TEXT}, false)",
+        f"t AS ({running(dedupe(synth('silver_autoscale', f'Unique_key IS NOT NULL AND NOT {HALF_TEXT} AND ' + run1()), K7, SILVER_AUTOSCALE_COLS))})",
+        "m AS (" + upsert("t", "gas", K7_EQ, K7_NULL_SAFE, "update") + ")",
+    ),
     "delete_half_minute": with_(f"SELECT * FROM silver_autoscale WHERE NOT coalesce({HALF_FORMAT}, false)"),
     "detail_summary": with_(
         summary("silver_detail_nr", DETAIL_GROUP_COLUMNS, f"{cu_sum('SumDuration_s')} AS SumDuration_s, {cu_sum('SumTotal_CU_s')} AS SumTotal_CU_s")

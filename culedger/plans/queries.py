@@ -249,6 +249,16 @@ def q_merge_gold_autoscale(spark, sf):
     return gold.merge_gold_autoscale(old, a)
 
 
+def q_merge_gold_autoscale_incremental(spark, sf):
+    """Gold built from run 1, then only the running-total groups with rows
+    loaded after run 1's newest load time are recomputed and merged; the
+    oracle is the full rebuild."""
+    a = fx.silver_autoscale(spark, sf)
+    old = gold.gold_autoscale_source(_run1(a))
+    wm = gold.load_watermark(old)
+    return gold.merge_gold_autoscale_rows(old, gold.gold_autoscale_incremental(a, wm))
+
+
 def q_delete_half_minute(spark, sf):
     return delete_half_minute_format(fx.silver_autoscale(spark, sf))
 
@@ -417,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "merge_capacities": q_merge_capacities,
     "merge_gold_standard": q_merge_gold_standard,
     "merge_gold_autoscale": q_merge_gold_autoscale,
+    "merge_gold_autoscale_incremental": q_merge_gold_autoscale_incremental,
     "delete_half_minute": q_delete_half_minute,
     # aggregates, audits, joins
     "detail_summary": q_detail_summary,

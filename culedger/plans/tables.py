@@ -161,12 +161,22 @@ class Lakehouse:
         merged.write.mode("overwrite").parquet(stage)
         staged = self.spark.read.parquet(stage).select(*self.read(table).columns)
         if self.is_partitioned(table):
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            staged.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
+            self._overwrite_partitions(table, staged)
         else:
             self.spark.sql(f"DROP TABLE {self.name(table)}")
             self._create(table, staged, mode="overwrite")
 
+    def _overwrite_partitions(self, table: str, staged: DataFrame) -> None:
+        """Replace exactly the partitions present in ``staged`` (dynamic
+        partition overwrite), restoring the session's mode afterwards."""
+        key = "spark.sql.sources.partitionOverwriteMode"
+        old = self.spark.conf.get(key)
+        self.spark.conf.set(key, "dynamic")
+        try:
+            staged.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
+        finally:
+            self.spark.conf.set(key, old)
+
     def _stage(self, table: str, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` to a fresh staging folder and read it back with the
         same schema: the lineage is cut at a reliable, shared copy."""
@@ -195,8 +205,7 @@ class Lakehouse:
             # Dates that lose every row must be emptied too: write them back
             # even when ``staged`` has no rows for them.
             emptied = dates.join(staged.select(PARTITION_COL).distinct(), PARTITION_COL, "left_anti").collect()
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            staged.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
+            self._overwrite_partitions(table, staged)
             for row in emptied:
                 self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({PARTITION_COL} = DATE'{row[0]}')")
         else:
@@ -221,8 +230,7 @@ class Lakehouse:
         out.write.mode("overwrite").parquet(stage)
         staged = self.spark.read.parquet(stage).select(*df.columns)
         if self.is_partitioned(table):
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-            staged.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
+            self._overwrite_partitions(table, staged)
         else:
             self.spark.sql(f"DROP TABLE {self.name(table)}")
             self._create(table, staged, mode="overwrite")
