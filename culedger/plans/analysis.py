@@ -40,14 +40,14 @@ TREND_COLUMNS = [
 @dataclass
 class Views:
     metrics: DataFrame | None
-    standard: DataFrame
+    standard: DataFrame | None
     autoscale: DataFrame | None
-    unified: DataFrame
+    unified: DataFrame | None
     autoscale_table: DataFrame | None
 
 
 def views(
-    standard: DataFrame,
+    standard: DataFrame | None,
     autoscale: DataFrame | None = None,
     metrics: DataFrame | None = None,
     capacity_id: str | None = None,
@@ -55,18 +55,20 @@ def views(
     end: str | None = None,
     include_autoscale: bool = True,
 ) -> Views:
-    """Scope the gold tables once; every pattern reads these."""
-    std = scope(standard, capacity_id, start, end)
+    """Scope the gold tables once; every pattern reads these. Tables a
+    caller does not need may be ``None`` (the unified view needs the
+    standard table)."""
+    std = scope(standard, capacity_id, start, end) if standard is not None else None
     auto = scope(autoscale, capacity_id, start, end) if (include_autoscale and autoscale is not None) else None
     met = scope(metrics, capacity_id, start, end) if metrics is not None else None
-    return Views(met, std, auto, unified_operations(std, auto), autoscale if include_autoscale else None)
+    uni = unified_operations(std, auto) if std is not None else None
+    return Views(met, std, auto, uni, autoscale if include_autoscale else None)
 
 
 def register_views(v: Views) -> None:
-    if v.metrics is not None:
-        v.metrics.createOrReplaceTempView(VIEW_NAMES["metrics"])
-    v.standard.createOrReplaceTempView(VIEW_NAMES["standard"])
-    v.unified.createOrReplaceTempView(VIEW_NAMES["unified"])
+    for key, df in (("metrics", v.metrics), ("standard", v.standard), ("unified", v.unified)):
+        if df is not None:
+            df.createOrReplaceTempView(VIEW_NAMES[key])
 
 
 def capacity_trend(v: Views) -> DataFrame:

@@ -57,11 +57,12 @@ def _gold_metrics(spark, sf):
     return gold.gold_metrics_source(fx.silver_timepoints(spark, sf))
 
 
-def _views(spark, sf, with_metrics=False):
+def _views(spark, sf, standard=True, autoscale=True, metrics=False):
+    """Scoped views over only the gold inputs a pattern reads."""
     return analysis.views(
-        _gold_standard(spark, sf),
-        _gold_autoscale(spark, sf),
-        _gold_metrics(spark, sf) if with_metrics else None,
+        _gold_standard(spark, sf) if standard else None,
+        _gold_autoscale(spark, sf) if autoscale else None,
+        _gold_metrics(spark, sf) if metrics else None,
     )
 
 
@@ -69,19 +70,19 @@ def _views(spark, sf, with_metrics=False):
 
 
 def q_capacity_trend(spark, sf):
-    return analysis.capacity_trend(_views(spark, sf, with_metrics=True))
+    return analysis.capacity_trend(_views(spark, sf, standard=False, autoscale=False, metrics=True))
 
 
 def q_top_items(spark, sf):
-    return analysis.top_items(_views(spark, sf), S.TOP_N)
+    return analysis.top_items(_views(spark, sf, autoscale=False), S.TOP_N)
 
 
 def q_top_workspaces(spark, sf):
-    return analysis.top_workspaces(_views(spark, sf), S.TOP_N)
+    return analysis.top_workspaces(_views(spark, sf, autoscale=False), S.TOP_N)
 
 
 def q_top_operations(spark, sf):
-    return analysis.top_operations(_views(spark, sf), S.TOP_N)
+    return analysis.top_operations(_views(spark, sf, autoscale=False), S.TOP_N)
 
 
 def q_unified_operations(spark, sf):
@@ -382,7 +383,7 @@ def q_staged_read(spark, sf):
 
 def q_views(spark, sf):
     """The analysis views registered by name and queried with SQL."""
-    v = _views(spark, sf, with_metrics=True)
+    v = _views(spark, sf, metrics=True)
     analysis.register_views(v)
     return spark.sql(f"SELECT * FROM {analysis.VIEW_NAMES['unified']} WHERE SourceType = 'autoscale'")
 
