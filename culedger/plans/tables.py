@@ -118,13 +118,26 @@ class Lakehouse:
             self.spark.sql(f"DROP TABLE {self.name(table)}")
         self._create(table, staged, mode="overwrite")
 
-    def append(self, table: str, df: DataFrame) -> None:
+    def append(self, table: str, df: DataFrame, merge_schema: bool = True) -> None:
+        """Append rows (create on first write). With ``merge_schema``, columns
+        new in ``df`` are added to the table first (additive evolution);
+        columns ``df`` lacks are appended as NULL."""
         df = self._prepare(table, df)
         if not self.exists(table):
             self._create(table, df)
             return
-        cols = self.read(table).columns
-        df.select(*cols).write.insertInto(self.name(table))
+        current = self.read(table).schema
+        added = [f for f in df.schema.fields if f.name not in current.fieldNames()]
+        if added and not merge_schema:
+            raise ValueError(f"columns {[f.name for f in added]} are not in {table}")
+        if added:
+            spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({spec})")
+            self.spark.catalog.refreshTable(self.name(table))
+        out = []
+        for f in self.read(table).schema.fields:
+            out.append(F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name))
+        df.select(*out).write.insertInto(self.name(table))
 
     def merge(
         self,

@@ -78,8 +78,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     cores (one small file, one row group) on a unique key, so the heavy
     projection and joins after it use every core. A large input already has
     more splits than cores and is left alone: no shuffle is added at scale."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: leave the scan as is
+        return df
+    if splits < par:
         return df.repartition(par, key)
     return df
 
