@@ -14,10 +14,11 @@ columns (``TimePoint`` by default) into buckets:
    (group, bucket) adds them to the rows.
 
 The rows are shuffled once, by (group, bucket), so a hot group is spread over
-many tasks; steps 1-3 then run on that partitioning (the offsets are small and
-shuffled to match; Union keeps the shared partitioning). No join back is
-needed. Sums run in an exact decimal type, so the split changes no digit of
-the result.
+many tasks, and the final window runs on that partitioning: the offsets are
+small and shuffled to match, and Union keeps the shared partitioning. The
+bucket totals are a partial aggregate of the input (one row per bucket and
+map task crosses the network). No join back is needed. Sums run in an exact
+decimal type, so the split changes no digit of the result.
 """
 
 from __future__ import annotations
@@ -66,12 +67,14 @@ def running_sum(
     split, within = order[:split_depth], order[split_depth:]
     bucket_keys = part + split
     n = num_partitions or _default_partitions(df)
-    if not prepartitioned:
-        df = df.repartition(n, *bucket_keys)
     v = F.col(value).cast(sum_type) if sum_type else F.col(value).cast("double")
-    rows = df.withColumn(_VAL, v).withColumn(_MARK, F.lit(1))
+    base = df.withColumn(_VAL, v)
+    rows = base if prepartitioned else base.repartition(n, *bucket_keys)
+    rows = rows.withColumn(_MARK, F.lit(1))
 
-    buckets = rows.groupBy(*bucket_keys).agg(F.sum(_VAL).alias("_rt_bucket"))
+    # Bucket totals straight from the input: a partial (map-side) sum, so
+    # only one row per bucket and map task is shuffled.
+    buckets = base.groupBy(*bucket_keys).agg(F.sum(_VAL).alias("_rt_bucket"))
     w_prev = (
         Window.partitionBy(*part)
         .orderBy(*[F.col(c).asc_nulls_first() for c in split])

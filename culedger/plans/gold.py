@@ -11,7 +11,7 @@ from culedger.functions.columns import with_synthetic_operation_id
 from culedger.operators.aggregates import calendar
 from culedger.operators.dedupe import dedupe_latest
 from culedger.operators.filters import delete_half_minute_text, drop_half_minute, exclude_null_key
-from culedger.operators.running import bucket_partition, running_sum
+from culedger.operators.running import running_sum
 from culedger.operators.upsert import upsert, upsert_detail
 from culedger.schemas import CAPACITY_KEY, K7, RUNNING_GROUP, RUNNING_TIEBREAK, TIMEPOINT_KEY
 
@@ -46,11 +46,13 @@ def gold_autoscale_source(silver_autoscale: DataFrame, split_depth: int = 1, dro
     if drop_half:
         rows = drop_half_minute(rows)
     order = ["TimePoint"] + RUNNING_TIEBREAK
-    # One shuffle, by (group, TimePoint): those columns are part of K7, so the
-    # dedupe window and every running-total step reuse this partitioning.
-    rows = bucket_partition(with_synthetic_operation_id(rows), RUNNING_GROUP, order, split_depth)
-    rows = dedupe_latest(rows, K7)
-    return running_sum(rows, RUNNING_GROUP, order, "SumCU_s", "Acc_CU_s", split_depth=split_depth, prepartitioned=True)
+    # Dedupe first: its row_number()=1 runs map-side before the K7 shuffle, so
+    # a key redelivered millions of times is cut down before anything moves.
+    # The running total then shuffles the deduplicated rows once more, by
+    # (group, TimePoint). (Partitioning by (group, TimePoint) up front would
+    # save that shuffle but send every copy of a hot key to one task.)
+    rows = dedupe_latest(with_synthetic_operation_id(rows), K7)
+    return running_sum(rows, RUNNING_GROUP, order, "SumCU_s", "Acc_CU_s", split_depth=split_depth)
 
 
 def load_watermark(gold_autoscale: DataFrame):

@@ -301,3 +301,26 @@ def test_empty_inputs_flow_through(spark):
 
 def test_schema_types(spark):
     assert T.TimestampNTZType() == TIMEPOINT_METRICS_AUTOSCALE["TimePoint"].dataType
+
+
+def test_hot_group_is_spread_over_partitions(spark):
+    """Every row in ONE running-total group: the rows still land on many
+    partitions (keyed by group + TimePoint), none holding most of them."""
+    n = 4000
+    base = spark.range(0, n).select(
+        F.lit("HOT").alias("CapacityId"),
+        F.make_timestamp_ntz(F.lit(2024), F.lit(1), (F.col("id") % 28 + 1).cast("int"), (F.col("id") % 24).cast("int"),
+                             (F.col("id") % 60).cast("int"), F.lit(0)).alias("TimePoint"),
+        F.lit("k").alias("Unique_key"),
+        F.lit("op").alias("Operation"),
+        F.lit("id").alias("Operation_Id"),
+        F.col("id").cast("timestamp").cast("timestamp_ntz").alias("Operation_start_time"),
+        F.lit(None).cast("timestamp_ntz").alias("Operation_end_time"),
+        F.lit(1.0).alias("v"),
+    )
+    order = ["TimePoint", "Operation", "Operation_start_time", "Operation_end_time"]
+    out = running_sum(base, ["CapacityId", "Unique_key", "Operation_Id"], order, "v", "acc", num_partitions=16)
+    sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()]
+    assert sum(sizes) == n
+    assert len(sizes) >= 12 and max(sizes) < 0.15 * n
+    assert out.agg(F.max("acc")).first()[0] == float(n)
