@@ -22,9 +22,30 @@ DEFAULTS = {
 }
 
 
+#: Local (single-JVM) runs: small inputs should still use every core, so AQE
+#: may keep shuffle partitions down to 32 KB instead of merging them into one
+#: or two tasks.
+LOCAL_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
+}
+
+#: Suggested cluster profile (not applied automatically; a cluster's own
+#: configuration wins). Size ``spark.sql.shuffle.partitions`` to roughly the
+#: largest shuffle's bytes / 200 MB; AQE then merges small partitions toward
+#: the advisory size instead of maximising task count on a busy cluster.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "culedger", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULTS)
+    if master.startswith("local"):
+        conf.update(LOCAL_SETTINGS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
     conf.update(extra or {})
