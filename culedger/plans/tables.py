@@ -111,6 +111,9 @@ class Lakehouse:
             old_cols = [c for c in self.read(table).columns if c not in df.columns]
             for c in old_cols:
                 df = df.withColumn(c, F.lit(None).cast(self.read(table).schema[c].dataType))
+        if self.exists(table) and not self.is_partitioned(table):
+            self._replace(table, df)
+            return
         stage = self.staging(table)
         df.write.mode("overwrite").parquet(stage)
         staged = self.spark.read.parquet(stage)
@@ -170,14 +173,60 @@ class Lakehouse:
         merged = upsert(target, source.select(*target.columns), eq_keys, null_safe_keys, when_matched)
         if post:
             merged = post(merged)
+        if not self.is_partitioned(table):
+            self._replace(table, merged)
+            return
         stage = self.staging(table)
         merged.write.mode("overwrite").parquet(stage)
         staged = self.spark.read.parquet(stage).select(*self.read(table).columns)
-        if self.is_partitioned(table):
-            self._overwrite_partitions(table, staged)
+        self._overwrite_partitions(table, staged)
+
+    def location(self, table: str) -> str:
+        """The folder the catalog currently points ``table`` at."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").filter(F.col("col_name") == "Location").collect()
+        return rows[0][1] if rows else self.path(table)
+
+    def _replace(self, table: str, df: DataFrame) -> None:
+        """New contents for an existing non-partitioned table, swapped in
+        without a moment where the table is missing.
+
+        ``df`` may read the table itself: it is written to a fresh version
+        folder, never over the files it reads. One catalog update then points
+        the table at that folder. A job that dies before the swap leaves the
+        table exactly as it was (a rerun starts from the same state); after
+        the swap the previous version folder is removed.
+        """
+        name = self.name(table)
+        old = self.location(table)
+        current = self.read(table).schema
+        new_path = f"{self.path(table)}-v{uuid.uuid4().hex[:12]}"
+        added = [f for f in df.schema.fields if f.name not in current.fieldNames()]
+        kept = [f for f in current.fields if f.name in df.columns]
+        same_types = all(df.schema[f.name].dataType == f.dataType for f in kept)
+        if len(kept) == len(current.fields) and same_types:
+            # Same columns (plus additive ones): one pointer swap.
+            df.select(*current.fieldNames(), *[f.name for f in added]).write.mode("errorifexists").parquet(new_path)
+            if added:
+                spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+                self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({spec})")
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
         else:
-            self.spark.sql(f"DROP TABLE {self.name(table)}")
-            self._create(table, staged, mode="overwrite")
+            # Columns dropped or retyped: the definition changes too. The new
+            # files are complete before the (metadata-only) re-definition.
+            df.write.mode("errorifexists").parquet(new_path)
+            self.spark.sql(f"DROP TABLE {name}")
+            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{new_path}'")
+        self.spark.catalog.refreshTable(name)
+        self._remove_folder(old)
+
+    def _remove_folder(self, path: str) -> None:
+        """Delete a superseded version folder on the shared file system."""
+        try:
+            jvm = self.spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # no JVM access (e.g. a Connect client): keep the old copy
+            pass
 
     def _overwrite_partitions(self, table: str, staged: DataFrame) -> None:
         """Replace exactly the partitions present in ``staged`` (dynamic
@@ -224,7 +273,7 @@ class Lakehouse:
         else:
             if hit.isEmpty():
                 return
-            self.overwrite(table, df.filter(~F.coalesce(predicate, F.lit(False))), merge_schema=False)
+            self._replace(table, df.filter(~F.coalesce(predicate, F.lit(False))))
 
     # Maintenance ---------------------------------------------------------------
 
@@ -238,15 +287,12 @@ class Lakehouse:
             # ``files_per_partition`` files at most.
             out = df.repartition(max(1, files_per_partition) * max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), PARTITION_COL)
         else:
-            out = df.coalesce(max(1, files_per_partition))
+            self._replace(table, df.coalesce(max(1, files_per_partition)))
+            return
         stage = self.staging(table)
         out.write.mode("overwrite").parquet(stage)
         staged = self.spark.read.parquet(stage).select(*df.columns)
-        if self.is_partitioned(table):
-            self._overwrite_partitions(table, staged)
-        else:
-            self.spark.sql(f"DROP TABLE {self.name(table)}")
-            self._create(table, staged, mode="overwrite")
+        self._overwrite_partitions(table, staged)
 
     def analyze(self, table: str) -> None:
         """``ANALYZE TABLE ... COMPUTE STATISTICS`` (row count and size feed the

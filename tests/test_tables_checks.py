@@ -87,3 +87,30 @@ def test_named_views_answer_sql(spark):
     assert n == std.filter(F.col("CapacityId") == "CAP-01").count()
     m = spark.sql(f"SELECT COUNT(DISTINCT CapacityId) AS c FROM {analysis.VIEW_NAMES['metrics']}").first()["c"]
     assert m == 1
+
+
+def test_failed_replace_leaves_table_as_it_was(spark, scratch_dir):
+    from culedger.schemas import CAPACITY_KEY
+
+    lh = _lh(spark, scratch_dir, "r")
+    caps = fx.silver_capacities(spark, SF0001)
+    lh.merge(T.SILVER_CAPACITIES, caps.limit(3), CAPACITY_KEY, (), "insert")
+    before = rows(lh.read(T.SILVER_CAPACITIES))
+    first_home = lh.location(T.SILVER_CAPACITIES)
+    # a source that fails while the new version is being written
+    bad = caps.withColumn(caps.columns[-1], F.raise_error(F.lit("lost mid-write")).cast(caps.schema[caps.columns[-1]].dataType))
+    with pytest.raises(Exception):
+        lh.merge(T.SILVER_CAPACITIES, bad, CAPACITY_KEY, (), "insert")
+    assert lh.exists(T.SILVER_CAPACITIES)
+    assert rows(lh.read(T.SILVER_CAPACITIES)) == before
+    with pytest.raises(Exception):
+        lh.overwrite(T.SILVER_CAPACITIES, bad)
+    assert rows(lh.read(T.SILVER_CAPACITIES)) == before
+    assert lh.location(T.SILVER_CAPACITIES) == first_home
+    # the rerun with a good source swaps in a new version and drops the old one
+    lh.merge(T.SILVER_CAPACITIES, caps, CAPACITY_KEY, (), "insert")
+    assert lh.read(T.SILVER_CAPACITIES).count() == caps.count()
+    assert lh.location(T.SILVER_CAPACITIES) != first_home
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(first_home)
+    assert not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
