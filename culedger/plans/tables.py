@@ -114,6 +114,8 @@ class Lakehouse:
         if self.exists(table) and not self.is_partitioned(table):
             self._replace(table, df)
             return
+        if self.exists(table) and self._refresh_partitions(table, df):
+            return
         stage = self.staging(table)
         df.write.mode("overwrite").parquet(stage)
         staged = self.spark.read.parquet(stage)
@@ -219,6 +221,33 @@ class Lakehouse:
         self.spark.catalog.refreshTable(name)
         self._remove_folder(old)
 
+    def _refresh_partitions(self, table: str, df: DataFrame) -> bool:
+        """Full refresh of a Date-partitioned table without dropping it: the
+        new rows are staged, swapped in by dynamic partition overwrite, and
+        dates they no longer cover are dropped. Each step can be rerun.
+        Returns False (caller re-defines the table) when ``df`` drops or
+        retypes a column."""
+        name = self.name(table)
+        current = self.read(table).schema
+        added = [f for f in df.schema.fields if f.name not in current.fieldNames()]
+        kept = [f for f in current.fields if f.name in df.columns]
+        if len(kept) != len(current.fields) or any(df.schema[f.name].dataType != f.dataType for f in kept):
+            return False
+        stage = self.staging(table)
+        df.write.mode("overwrite").parquet(stage)
+        if added:
+            spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({spec})")
+            self.spark.catalog.refreshTable(name)
+        staged = self.spark.read.parquet(stage).select(*self.read(table).columns)
+        # One row per date: bounded by the calendar, not by data volume.
+        gone = self.read(table).select(PARTITION_COL).distinct().join(staged.select(PARTITION_COL).distinct(), PARTITION_COL, "left_anti").collect()
+        self._overwrite_partitions(table, staged)
+        for row in gone:
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PARTITION_COL} = DATE'{row[0]}')")
+        self.spark.catalog.refreshTable(name)
+        return True
+
     def _remove_folder(self, path: str) -> None:
         """Delete a superseded version folder on the shared file system."""
         try:

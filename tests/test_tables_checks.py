@@ -114,3 +114,19 @@ def test_failed_replace_leaves_table_as_it_was(spark, scratch_dir):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(first_home)
     assert not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def test_partitioned_full_refresh_keeps_table_and_drops_old_dates(spark, scratch_dir):
+    lh = _lh(spark, scratch_dir, "p")
+    g = gold.gold_standard_source(fx.silver_detail(spark, SF0001))
+    keys = (["CapacityId", "TimePoint"], ["Unique_key", "Operation", "Operation_Id", "Operation_start_time", "Operation_end_time"])
+    lh.merge(T.GOLD_TP_METRICS, g, *keys, "insert")
+    home = lh.location(T.GOLD_TP_METRICS)
+    day = g.filter(F.to_date("TimePoint") == F.lit("2024-01-05").cast("date")).withColumn("Note", F.lit("x"))
+    assert day.count() > 0
+    lh.overwrite(T.GOLD_TP_METRICS, day)
+    got = lh.read(T.GOLD_TP_METRICS)
+    assert lh.location(T.GOLD_TP_METRICS) == home
+    assert got.count() == day.count()
+    assert [r[0] for r in got.select("Date").distinct().collect()] == [r[0] for r in day.select(F.to_date("TimePoint")).distinct().collect()]
+    assert "Note" in got.columns and got.filter(F.col("Note") == "x").count() == day.count()
