@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from culedger.llm import mixing, quality, tokens
+from culedger.llm import jaccard, mixing, quality, tokens
 from culedger.llm.common import documents, fresh_path
 
 #: The vocabulary that operator 4's query encodes with.
@@ -23,6 +23,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "tokens")
     tokens.write(documents(spark, sf_dir), folder, vocabulary_path(), END_ID)
@@ -34,5 +38,5 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_token_output, op5_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op4_token_output, op5_quality_rules)}
 ORACLE: dict[str, str] = {}
