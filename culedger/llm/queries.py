@@ -4,8 +4,9 @@ production parameters, over whole tables."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from culedger.llm import jaccard, mixing, quality, tokens
+from culedger.llm import decontam, jaccard, mixing, quality, tokens
 from culedger.llm.common import documents, fresh_path
 
 #: The vocabulary that operator 4's query encodes with.
@@ -38,5 +39,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op4_token_output, op5_quality_rules)}
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document: whether it holds a passage of ``benchmark``,
+    of how many items, and the most tokens in agreement."""
+    docs = documents(spark, sf_dir)
+    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    key = F.xxhash64("doc_id", "text").alias("key")
+    out = docs.select("doc_id", key).join(found.drop("doc_id"), "key", "left")
+    return out.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("agreeing", F.lit(0)).alias("agreeing"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op4_token_output, op5_quality_rules, op9_decontamination)}
 ORACLE: dict[str, str] = {}
