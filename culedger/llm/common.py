@@ -27,12 +27,22 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return work_path(spark, "llm", spark.sparkContext.applicationId, f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+#: Spark's own setting to drop a query's shuffle files when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later uses neither
-    recompute it nor depend on an executor that may be lost."""
+    recompute it nor depend on an executor that may be lost, and its shuffle
+    files go at once."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
