@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from culedger.llm import decontam, jaccard, mixing, quality, substring, tokens
+from culedger.llm import decontam, jaccard, mixing, ppm, quality, substring, tokens
 from culedger.llm.common import documents, fresh_path
 
 #: The vocabulary that operator 4's query encodes with.
@@ -44,6 +44,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(documents(spark, sf_dir))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document: whether it holds a passage of ``benchmark``,
     of how many items, and the most tokens in agreement."""
@@ -54,5 +58,5 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("agreeing", F.lit(0)).alias("agreeing"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op4_token_output, op5_quality_rules, op7_substring_dedup, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op4_token_output, op5_quality_rules, op7_substring_dedup, op8_lm_scoring, op9_decontamination)}
 ORACLE: dict[str, str] = {}
