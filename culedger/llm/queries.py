@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from culedger.llm import decontam, jaccard, mixing, ppm, quality, substring, tokens
+from culedger.llm import decontam, jaccard, mixing, pii, ppm, quality, substring, tokens
 from culedger.llm.common import documents, fresh_path
 
 #: The vocabulary that operator 4's query encodes with.
@@ -58,5 +58,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("agreeing", F.lit(0)).alias("agreeing"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op4_token_output, op5_quality_rules, op7_substring_dedup, op8_lm_scoring, op9_decontamination)}
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op4_token_output, op5_quality_rules, op7_substring_dedup, op8_lm_scoring, op9_decontamination, op10_personal_data)}
 ORACLE: dict[str, str] = {}
