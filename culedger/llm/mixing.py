@@ -81,3 +81,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_EPOCHS, seed: int = 1
     rest = budget - F.col("epochs") * F.col("source_size") - F.col("start")
     taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     return out.withColumn("taken", taken.cast("long")).select("doc_id", "source", "size", "source_size", "target", "start", "epochs", "taken", *keep)
+
+
+def apply(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
+    """The mixed corpus, with the columns of ``docs``: each document as often
+    as the mix takes it, the last copy cut to the words that its source's
+    budget has left. Documents that the mix takes no word of go."""
+    plan = mix(docs, text=text, source=source, doc_id=doc_id, keep=(F.xxhash64(doc_id, text, source).alias("__key"),), **how).where("taken > 0")
+    plan = plan.groupBy("__key").agg(F.collect_list(F.struct("size", "taken")).alias("__takes"))
+    rows = docs.withColumn("__key", F.xxhash64(doc_id, text, source)).join(plan, "__key").dropDuplicates(["__key"])
+    rows = rows.withColumn("__take", F.explode("__takes"))  # repeated rows, each with its own share
+    size, taken = F.col("__take.size"), F.col("__take.taken")
+    rows = rows.withColumn("__left", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(taken / size) - 1), lambda i: F.least(size, taken - i * size))))
+    short = F.concat_ws(" ", F.slice(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("__left").cast("int")))
+    own = F.when(F.col("__left") < size, short).otherwise(F.col(text))
+    rows = rows.withColumn(text, own)
+    if n_chars in docs.columns:
+        rows = rows.withColumn(n_chars, F.length(text).cast(dict(docs.dtypes)[n_chars]))
+    return rows.select(docs.columns)

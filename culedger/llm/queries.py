@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from culedger.llm import decontam, jaccard, mixing, pii, ppm, quality, substring, tokens
+from culedger.llm import decontam, jaccard, lines, mixing, pii, ppm, quality, secret_scan, substring, tokens
 from culedger.llm.common import documents, fresh_path
 
 #: The vocabulary that operator 4's query encodes with.
@@ -28,6 +28,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(documents(spark, sf_dir))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = lines.drop(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return pages.select("page_id", "host", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "tokens")
     tokens.write(documents(spark, sf_dir), folder, vocabulary_path(), END_ID)
@@ -39,6 +44,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document with a candidate: how many there are, how many
+    the forest calls secrets, and which."""
+    found = secret_scan.scan(documents(spark, sf_dir))
+    own = F.when(F.col("secret"), F.struct("number", "candidate"))
+    out = found.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_candidates"), F.count(own).alias("n_secrets"), F.array_sort(F.collect_list(own)).alias("secrets"))
+    return out.select("doc_id", "n_candidates", "n_secrets", F.array_join(F.transform("secrets", lambda s: s["candidate"]), "\n").alias("secrets"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = substring.clean(documents(spark, sf_dir))
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -62,5 +76,5 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op4_token_output, op5_quality_rules, op7_substring_dedup, op8_lm_scoring, op9_decontamination, op10_personal_data)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op3_line_dedup, op4_token_output, op5_quality_rules, op6_secret_scan, op7_substring_dedup, op8_lm_scoring, op9_decontamination, op10_personal_data)}
 ORACLE: dict[str, str] = {}
