@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from culedger.llm.common import materialize
 
-RATIO, LEAST = 0.2, 3
+RATIO, LEAST = 0.1, 3
 #: Tags that end a line, tags whose content isn't text, and the
 #: entities that are put back as characters.
 BLOCKS = r"(?i)<(?:/?(?:p|div|h[1-6]|li|ul|ol|article|nav|footer|header|section|table|tr|td|title|html|body|head)|br)\b[^>]*>"
-HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1>|<!doctype[^>]*>"
+HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<!doctype[^>]*>"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 

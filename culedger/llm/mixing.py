@@ -17,7 +17,7 @@ that tie on the key are ordered by id and size, so reruns agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from culedger.llm.common import materialize, n_words
@@ -54,16 +54,21 @@ def targets(sizes: DataFrame, weights=WEIGHTS, cap: float = MAX_EPOCHS) -> dict:
     return water_fill(found, {s: weights[i % len(weights)] for i, s in enumerate(order)}, cap)
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_EPOCHS, seed: int = 17, ranges: int = 1024, keep: tuple = (), text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+def _key(doc_id: Column, seed: int) -> Column:
+    """A hash-random number of 60 bits."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(doc_id.cast("string"), F.lit(""))).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_EPOCHS, seed: int = 17, ranges: int = 1024, keep: dict | None = None, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """Rows (doc_id, source, size, source_size, target, start, epochs, taken,
-    and the columns ``keep``), one for each document.
+    and the columns ``keep``, by name), one for each document.
 
     ``start``: words before the document in its source's order; ``epochs``:
     whole passes over the source; ``taken``: words that the mix takes of the
     document, repeats counted."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("key"), *keep)
-    rows = materialize(rows.withColumn("range", F.floor((F.col("key") / F.lit(2.0**64) + 0.5) * ranges).cast("int")), "mix")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), n_words(F.col(text)).alias("size"), _key(F.col(doc_id), seed).alias("key"), *[c.alias(n) for n, c in (keep or {}).items()])
+    rows = materialize(rows.withColumn("range", F.floor(F.col("key") / F.lit(2.0**60) * ranges).cast("int")), "mix")
     parts = materialize(rows.groupBy("source", "range").agg(F.sum("size").alias("part")), "mix-ranges")
     by_source = parts.groupBy("source").agg(F.sum("part").alias("source_size"))
     goal = targets(by_source, weights, cap)
@@ -80,14 +85,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_EPOCHS, seed: int = 1
     out = out.withColumn("start", F.col("base") + F.col("inner")).withColumn("epochs", F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0)).cast("long"))
     rest = budget - F.col("epochs") * F.col("source_size") - F.col("start")
     taken = F.col("epochs") * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return out.withColumn("taken", taken.cast("long")).select("doc_id", "source", "size", "source_size", "target", "start", "epochs", "taken", *keep)
+    return out.withColumn("taken", taken.cast("long")).select("doc_id", "source", "size", "source_size", "target", "start", "epochs", "taken", *(keep or {}))
 
 
 def apply(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
     """The mixed corpus, with the columns of ``docs``: each document as often
     as the mix takes it, the last copy cut to the words that its source's
     budget has left. Documents that the mix takes no word of go."""
-    plan = mix(docs, text=text, source=source, doc_id=doc_id, keep=(F.xxhash64(doc_id, text, source).alias("__key"),), **how).where("taken > 0")
+    plan = mix(docs, text=text, source=source, doc_id=doc_id, keep={"__key": F.xxhash64(doc_id, text, source)}, **how).where("taken > 0")
     plan = plan.groupBy("__key").agg(F.collect_list(F.struct("size", "taken")).alias("__takes"))
     rows = docs.withColumn("__key", F.xxhash64(doc_id, text, source)).join(plan, "__key").dropDuplicates(["__key"])
     rows = rows.withColumn("__take", F.explode("__takes"))  # repeated rows, each with its own share

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from culedger.llm import decontam, jaccard, lines, mixing, pii, ppm, quality, secret_scan, substring, tokens
 from culedger.llm.common import documents, fresh_path
+from culedger.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 #: The vocabulary that operator 4's query encodes with.
 VOCABULARY = "word_bpe_49k.json"
@@ -77,4 +80,3 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op3_line_dedup, op4_token_output, op5_quality_rules, op6_secret_scan, op7_substring_dedup, op8_lm_scoring, op9_decontamination, op10_personal_data)}
-ORACLE: dict[str, str] = {}
