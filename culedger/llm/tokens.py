@@ -22,7 +22,10 @@ all executors see.
 
 from __future__ import annotations
 
+import hashlib
 import os
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,49 +36,67 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 NULL_ID = -(2**63)
-#: Words that a task keeps the ids of, to encode each once.
-CACHE_WORDS = 300_000
+#: Words, and pieces of words, that a worker keeps the ids of.
+CACHE_WORDS = 400_000
+#: Marks that may close a word.
+MARKS = b".,;:!?#$%&*|"
 #: Texts are encoded in groups of about so many bytes.
 GROUP_BYTES = 4 << 20
 
 
+def _worker_store(name: str) -> dict:
+    """A dict that outlives a task in a Python worker that Spark uses again."""
+    home = sys.modules.setdefault("culedger_worker_store", types.ModuleType("culedger_worker_store"))
+    return home.__dict__.setdefault(name, {})
+
+
+def _pieces(word: bytes) -> tuple[bytes, bytes]:
+    """A word without its closing marks, and those: the tokenizers that this is
+    made for part letters and digits from marks, and lower-case letters."""
+    head = word.rstrip(MARKS)
+    return (head.lower(), word[len(head) :]) if head[-1:].isalnum() else (word, b"")
+
+
 def _encoder(tokenizer_json: str, width: int):
     """A function from texts (bytes) to ids (bytes). The tokenizers that this
     is made for drop blanks, so a text's ids are those of its words in turn;
-    the words are the library's to encode."""
+    words and their pieces are the library's to encode, each once while there
+    is room to keep it."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    store = _worker_store(f"{width} {hashlib.sha256(tokenizer_json.encode()).hexdigest()}")
+    if "tokenizer" not in store:
+        from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
+        store |= {"tokenizer": Tokenizer.from_str(tokenizer_json), "words": {}, "pieces": {b"": b""}}
     kind = f"<u{width}"
-    known: dict[bytes, bytes] = {}
+
+    def pieces_of(pairs: list) -> dict:
+        known = store["pieces"]
+        new = list({x for pair in pairs for x in pair if x not in known})
+        found = store["tokenizer"].encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
+        fresh = {w: np.asarray(e.ids, kind).tobytes() for w, e in zip(new, found, strict=True)}
+        if len(known) + len(fresh) <= CACHE_WORDS:
+            known.update(fresh)
+            return known
+        return known | fresh
 
     def encode(texts: list[bytes]) -> list[bytes]:
+        known = store["words"]
         split = [t.split() for t in texts]  # bytes split at the six ASCII blanks
         new = list({w for words in split for w in words if w not in known})
-        found = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        fresh = {w: np.asarray(e.ids, kind).tobytes() for w, e in zip(new, found, strict=True)}
+        pairs = [_pieces(w) for w in new]
+        ids = pieces_of(pairs)
+        fresh = {w: ids[a] + ids[b] for w, (a, b) in zip(new, pairs, strict=True)}
         if len(known) + len(fresh) <= CACHE_WORDS:
             known.update(fresh)
             fresh = known
         else:
-            fresh = known | fresh if len(fresh) > len(known) else _Both(known, fresh)
+            fresh = known | fresh
         return [b"".join([fresh[w] for w in words]) for words in split]
 
     return encode
 
 
-class _Both(dict):
-    """Looks in a small mapping first, then in a large one."""
-
-    def __init__(self, large: dict, small: dict):
-        super().__init__(small)
-        self.large = large
-
-    def __missing__(self, key):
-        return self.large[key]
-
-
 def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
     start = total = 0
     for i, n in enumerate(sizes):
