@@ -8,9 +8,11 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Exact type CU values are summed in. Double sums depend on the order rows
-#: meet in, which differs with partitioning; a fixed-point sum is the same on
-#: every rerun and every cluster size. Six decimals keep micro-CU-seconds.
+#: Exact type that the part of a CU value with up to six decimals is summed in.
+#: Double sums depend on the order rows meet in, which differs with
+#: partitioning; a fixed-point sum is the same on every rerun and every cluster
+#: size. What a value has beyond that part (finer decimals, NaN, numbers too
+#: large) is summed apart as double, so nothing is rounded away.
 CU_DECIMAL = "decimal(28,6)"
 
 #: Window-bound text format, e.g. ``05 June 2026 07:30``.
@@ -29,13 +31,21 @@ def _c(c: str | Column) -> Column:
 
 
 def exact_cu(c: str | Column) -> Column:
-    """CU value as the exact fixed-point type used for all CU sums."""
-    return _c(c).cast(CU_DECIMAL)
+    """The part of a CU value that the fixed-point type holds; 0 for a value
+    that it cannot hold at all, NULL for NULL."""
+    v = _c(c).cast("double")
+    return F.when(v.isNotNull(), F.coalesce(v.try_cast(CU_DECIMAL), F.lit(0).cast(CU_DECIMAL)))
+
+
+def residual_cu(c: str | Column) -> Column:
+    """What :func:`exact_cu` leaves of a CU value; 0.0 for most values."""
+    return _c(c).cast("double") - exact_cu(c).cast("double")
 
 
 def cu_sum(c: str | Column) -> Column:
-    """Exact SUM of a CU column, returned as double."""
-    return F.sum(exact_cu(c)).cast("double")
+    """SUM of a CU column as double: exact parts plus residuals. NULLs are
+    skipped, a group of NULLs only is NULL, and NaN makes the sum NaN."""
+    return F.sum(exact_cu(c)).cast("double") + F.sum(residual_cu(c))
 
 
 def synthetic_operation_id(start: str | Column = "Operation_start_time", end: str | Column = "Operation_end_time") -> Column:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from culedger.functions.columns import cu_sum, exact_cu, half_minute_by_format, half_minute_by_text
+from culedger.functions.columns import cu_sum, half_minute_by_format, half_minute_by_text
 
 DEFAULT_TOP_N = 20
 
@@ -117,6 +117,3 @@ def null_key_audit(df: DataFrame, key: str = "Unique_key") -> DataFrame:
         F.count_if(F.col(key).isNull() & ~F.coalesce(F.col("IsGrandTotalRowTotal"), F.lit(False))).alias("null_key_detail_rows"),
     )
 
-
-def cu_total(df: DataFrame, cu_col: str) -> Column:
-    return F.sum(exact_cu(cu_col)).cast("double")

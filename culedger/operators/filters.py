@@ -87,8 +87,3 @@ def semi_filter(df: DataFrame, members: DataFrame, keys: Iterable[str]) -> DataF
     being pulled to the driver; a small one is broadcast by the planner."""
     keys = list(keys)
     return df.join(members.select(*keys).distinct(), keys, "left_semi")
-
-
-def isin_filter(df: DataFrame, col: str, values: Iterable) -> DataFrame:
-    """Membership in a short literal list (pushed to the scan as ``In``)."""
-    return df.filter(F.col(col).isin(list(values)))

@@ -28,10 +28,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from culedger.functions.columns import CU_DECIMAL
+from culedger.functions.columns import exact_cu, residual_cu
 
 _MARK = "_rt_marker"
 _VAL = "_rt_value"
+_RES = "_rt_residual"
+#: Exact type of the sums over buckets.
+CU_TOTAL = "decimal(38,6)"
 
 
 def running_sum(
@@ -41,9 +44,7 @@ def running_sum(
     value: str,
     out: str,
     split_depth: int = 1,
-    sum_type: str | None = CU_DECIMAL,
     num_partitions: int | None = None,
-    prepartitioned: bool = False,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``partition_by`` in
     ``order_by`` order (all ascending, NULLs first; rows frame).
@@ -51,14 +52,13 @@ def running_sum(
     ``order_by`` must make the order total inside a group for the result to
     be deterministic (the reference orders by time only; ties there depend on
     row arrival). ``split_depth`` is how many leading ``order_by`` columns form
-    a bucket. ``sum_type`` is the exact type summed in (``None``: double).
+    a bucket. Values are summed as an exact part plus a residual, so no digit
+    is lost and NaN stays NaN from its row on.
 
     Rows are hash-partitioned once by the bucket keys (``num_partitions``,
-    default ``spark.sql.shuffle.partitions``). A caller that already did so
-    with :func:`bucket_partition` -- e.g. before a dedupe whose key contains
-    the bucket keys, so the dedupe reuses the same shuffle -- passes
-    ``prepartitioned=True``. The offsets are re-partitioned the same way, so
-    the union keeps that partitioning and the final window needs no shuffle.
+    default ``spark.sql.shuffle.partitions``). The offsets are re-partitioned
+    the same way, so the union keeps that partitioning and the final window
+    needs no shuffle.
     """
     part = list(partition_by)
     order = list(order_by)
@@ -67,22 +67,20 @@ def running_sum(
     split, within = order[:split_depth], order[split_depth:]
     bucket_keys = part + split
     n = num_partitions or _default_partitions(df)
-    v = F.col(value).cast(sum_type) if sum_type else F.col(value).cast("double")
-    base = df.withColumn(_VAL, v)
-    rows = base if prepartitioned else base.repartition(n, *bucket_keys)
-    rows = rows.withColumn(_MARK, F.lit(1))
+    base = df.withColumn(_VAL, exact_cu(value)).withColumn(_RES, residual_cu(value))
+    rows = base.repartition(n, *bucket_keys).withColumn(_MARK, F.lit(1))
 
     # Bucket totals straight from the input: a partial (map-side) sum, so
     # only one row per bucket and map task is shuffled.
-    buckets = base.groupBy(*bucket_keys).agg(F.sum(_VAL).alias("_rt_bucket"))
+    buckets = base.groupBy(*bucket_keys).agg(F.sum(_VAL).alias("_rt_bucket"), F.sum(_RES).alias("_rt_rest"))
     w_prev = (
         Window.partitionBy(*part)
         .orderBy(*[F.col(c).asc_nulls_first() for c in split])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    zero = F.lit(0).cast(sum_type) if sum_type else F.lit(0.0)
+    # A first bucket has no sum before it: NULL, which a sum skips.
     offsets = (
-        buckets.select(*bucket_keys, F.coalesce(F.sum("_rt_bucket").over(w_prev), zero).alias(_VAL))
+        buckets.select(*bucket_keys, F.sum("_rt_bucket").over(w_prev).cast(CU_TOTAL).alias(_VAL), F.sum("_rt_rest").over(w_prev).alias(_RES))
         .withColumn(_MARK, F.lit(0))
         .repartition(n, *bucket_keys)
     )
@@ -93,34 +91,25 @@ def running_sum(
         .orderBy(F.col(_MARK).asc(), *[F.col(c).asc_nulls_first() for c in within])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = stream.withColumn(out, F.sum(_VAL).over(w_run).cast("double"))
-    return running.filter(F.col(_MARK) == 1).drop(_MARK, _VAL)
+    running = stream.withColumn(out, F.sum(_VAL).over(w_run).cast("double") + F.sum(_RES).over(w_run))
+    return running.filter(F.col(_MARK) == 1).drop(_MARK, _VAL, _RES)
 
 
 def _default_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bucket_partition(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], split_depth: int = 1, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition rows by (group, bucket) the way :func:`running_sum`
-    expects with ``prepartitioned=True``."""
-    keys = list(partition_by) + list(order_by)[:split_depth]
-    return df.repartition(num_partitions or _default_partitions(df), *keys)
-
-
 def running_sum_single_window(
     df: DataFrame,
     partition_by: Sequence[str],
     order_by: Sequence[str],
     value: str,
     out: str,
-    sum_type: str | None = CU_DECIMAL,
 ) -> DataFrame:
     """The one-window form, for comparison and for small inputs."""
-    v = F.col(value).cast(sum_type) if sum_type else F.col(value)
     w = (
         Window.partitionBy(*partition_by)
         .orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return df.withColumn(out, F.sum(v).over(w).cast("double"))
+    return df.withColumn(out, F.sum(exact_cu(value)).over(w).cast("double") + F.sum(residual_cu(value)).over(w))

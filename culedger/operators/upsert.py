@@ -44,6 +44,12 @@ def _keys_only(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(k) for k in keys])
 
 
+def unmatched(rows: DataFrame, others: DataFrame, eq_keys: Sequence[str], null_safe_keys: Sequence[str]) -> DataFrame:
+    """The rows that no row of ``others`` matches."""
+    probe = _keys_only(others, [*eq_keys, *null_safe_keys]).alias("t")
+    return rows.alias("s").join(probe, _match("s", "t", eq_keys, null_safe_keys), "left_anti")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -64,9 +70,7 @@ def upsert(
         probe = _keys_only(source, keys).alias("s")
         kept = target.alias("t").join(probe, _match("t", "s", eq_keys, null_safe_keys), "left_anti")
         return kept.unionByName(source, allowMissingColumns=True)
-    probe = _keys_only(target, keys).alias("t")
-    new = source.alias("s").join(probe, _match("s", "t", eq_keys, null_safe_keys), "left_anti")
-    return target.unionByName(new, allowMissingColumns=True)
+    return target.unionByName(unmatched(source, target, eq_keys, null_safe_keys), allowMissingColumns=True)
 
 
 def upsert_detail(target: DataFrame, source: DataFrame, when_matched: str = "update") -> DataFrame:

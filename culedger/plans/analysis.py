@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from culedger.plans.checks import require_tables
 from culedger.operators import aggregates as agg
 from culedger.operators.filters import filter_operation_id, scope
 from culedger.operators.joins import latest_state as _latest_state
@@ -57,7 +58,9 @@ def views(
 ) -> Views:
     """Scope the gold tables once; every pattern reads these. Tables a
     caller does not need may be ``None`` (the unified view needs the
-    standard table)."""
+    standard table). Ids are upper case in every table, so the argument may be
+    given in either case."""
+    capacity_id = capacity_id and capacity_id.upper()
     std = scope(standard, capacity_id, start, end) if standard is not None else None
     auto = scope(autoscale, capacity_id, start, end) if (include_autoscale and autoscale is not None) else None
     met = scope(metrics, capacity_id, start, end) if metrics is not None else None
@@ -65,6 +68,16 @@ def views(
     return Views(met, std, auto, uni, autoscale if include_autoscale else None)
 
 
+def lakehouse_views(lh, capacity_id: str | None = None, start: str | None = None, end: str | None = None, include_autoscale: bool = True) -> Views:
+    """The views over a lakehouse's gold tables; raises with the list of
+    missing tables. The autoscale table is optional."""
+    from culedger.plans import tables as T
+
+    require_tables(lh.spark, [lh.name(t) for t in (T.GOLD_METRICS_BY_TIMEPOINT, T.GOLD_TP_METRICS)])
+    auto = lh.read(T.GOLD_TP_METRICS_AS) if include_autoscale and lh.exists(T.GOLD_TP_METRICS_AS) else None
+    return views(lh.read(T.GOLD_TP_METRICS), auto, lh.read(T.GOLD_METRICS_BY_TIMEPOINT), capacity_id, start, end, include_autoscale)
+
+
 def register_views(v: Views) -> None:
     for key, df in (("metrics", v.metrics), ("standard", v.standard), ("unified", v.unified)):
         if df is not None:

@@ -17,13 +17,13 @@ class PrerequisiteError(RuntimeError):
 
 def rows_in_range(df: DataFrame, capacity_id: str | None, start: str, end: str, col: str = "TimePoint") -> DataFrame:
     """COUNT(*) of rows for the capacity inside the inclusive window."""
-    return filter_capacity(filter_window(df, start, end, col), capacity_id).agg(F.count(F.lit(1)).alias("n"))
+    return filter_capacity(filter_window(df, start, end, col), capacity_id and capacity_id.upper()).agg(F.count(F.lit(1)).alias("n"))
 
 
 def require_rows_in_range(df: DataFrame, capacity_id: str | None, start: str, end: str) -> None:
     """Fail fast when the calendar has no timepoint for the request."""
     try:
-        empty = filter_capacity(filter_window(df, start, end), capacity_id).limit(1).count() == 0
+        empty = filter_capacity(filter_window(df, start, end), capacity_id and capacity_id.upper()).limit(1).count() == 0
     except Exception as ex:  # unreadable table
         raise PrerequisiteError(f"cannot read timepoints: {ex}") from ex
     if empty:

@@ -4,7 +4,7 @@ so a caller's filters still reach the silver scan."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from culedger.functions.columns import with_synthetic_operation_id
@@ -37,56 +37,50 @@ def gold_standard_source(silver_detail: DataFrame) -> DataFrame:
     return dedupe_latest(with_synthetic_operation_id(exclude_null_key(silver_detail)), K7)
 
 
-def gold_autoscale_source(silver_autoscale: DataFrame, split_depth: int = 1, drop_half: bool = True) -> DataFrame:
-    """NULL keys and ``:30`` timepoints out, synthetic id, latest per K7, then
-    ``Acc_CU_s`` = running SUM(SumCU_s) per (CapacityId, Unique_key,
-    Operation_Id) ordered by TimePoint, with Operation and the operation times
-    as tie-break so the order is total."""
+def autoscale_rows(silver_autoscale: DataFrame, drop_half: bool = True) -> DataFrame:
+    """NULL keys and ``:30`` timepoints out, synthetic id, latest per K7.
+
+    The dedupe's row_number()=1 runs map-side before the K7 shuffle, so a key
+    redelivered millions of times is cut down before anything moves."""
     rows = exclude_null_key(silver_autoscale)
     if drop_half:
         rows = drop_half_minute(rows)
-    order = ["TimePoint"] + RUNNING_TIEBREAK
-    # Dedupe first: its row_number()=1 runs map-side before the K7 shuffle, so
-    # a key redelivered millions of times is cut down before anything moves.
-    # The running total then shuffles the deduplicated rows once more, by
-    # (group, TimePoint). (Partitioning by (group, TimePoint) up front would
-    # save that shuffle but send every copy of a hot key to one task.)
-    rows = dedupe_latest(with_synthetic_operation_id(rows), K7)
-    return running_sum(rows, RUNNING_GROUP, order, "SumCU_s", "Acc_CU_s", split_depth=split_depth)
+    return dedupe_latest(with_synthetic_operation_id(rows), K7)
 
 
-def load_watermark(gold_autoscale: DataFrame):
-    """Newest load time already in gold (one scalar; ``None`` when empty)."""
-    return gold_autoscale.agg(F.max("insert_date")).first()[0]
+def accumulate(rows: DataFrame, split_depth: int = 1) -> DataFrame:
+    """``Acc_CU_s`` = running SUM(SumCU_s) per (CapacityId, Unique_key,
+    Operation_Id) ordered by TimePoint, with Operation and the operation times
+    as tie-break so the order is total. The rows are shuffled once more, by
+    (group, TimePoint)."""
+    return running_sum(rows, RUNNING_GROUP, ["TimePoint"] + RUNNING_TIEBREAK, "SumCU_s", "Acc_CU_s", split_depth=split_depth)
+
+
+def gold_autoscale_source(silver_autoscale: DataFrame, split_depth: int = 1, drop_half: bool = True) -> DataFrame:
+    """Gold autoscale rows of all silver history."""
+    return accumulate(autoscale_rows(silver_autoscale, drop_half), split_depth)
 
 
-def touched_groups(silver_autoscale: DataFrame, watermark) -> DataFrame:
-    """Running-total groups with silver rows loaded after ``watermark``.
-    Late rows -- old TimePoint, new load time -- are caught, because the test
-    is on load time. Returns distinct (CapacityId, Unique_key, Operation_Id):
-    its size is the number of groups, not rows."""
-    rows = with_synthetic_operation_id(exclude_null_key(silver_autoscale))
-    if watermark is not None:
-        rows = rows.filter(F.col("insert_date") > F.lit(watermark).cast("timestamp_ntz"))
-    return rows.select(*RUNNING_GROUP).distinct()
+def _same(left: str, right: str, columns) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
 
 
-def gold_autoscale_incremental(silver_autoscale: DataFrame, watermark, split_depth: int = 1) -> DataFrame:
+def gold_autoscale_incremental(silver_autoscale: DataFrame, gold_autoscale: DataFrame, split_depth: int = 1) -> DataFrame:
     """Gold autoscale rows to merge after an incremental silver load: every
-    row of each touched group, with ``Acc_CU_s`` recomputed over that group's
-    whole history. Untouched groups keep their totals, so merging this equals
-    the full rebuild of :func:`gold_autoscale_source` while recomputing only
-    the groups that changed. (The group semi-join is an equi-join on the
-    group keys; a hot group is then split by the running total itself.)"""
-    groups = touched_groups(silver_autoscale, watermark)
-    groups = groups.select(*[F.col(c).alias(f"_g_{c}") for c in RUNNING_GROUP])
-    rows = with_synthetic_operation_id(exclude_null_key(silver_autoscale))
-    cond = None
-    for c in RUNNING_GROUP:
-        e = F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-        cond = e if cond is None else cond & e
-    mine = rows.join(groups, cond, "left_semi")
-    return gold_autoscale_source(mine, split_depth)
+    row of each running-total group that has a row gold lacks (by K7, load time
+    and value, NULLs alike), with ``Acc_CU_s`` recomputed over the group's whole
+    history. What gold holds decides, not a load-time watermark, so late rows,
+    equal or NULL load times and a build that died half-way are all caught, and
+    merging this equals the full rebuild. Lazy; the group semi-join is an
+    equi-join on the group keys, and the running total splits a hot group."""
+    rows = autoscale_rows(silver_autoscale)
+    known = gold_autoscale.select(*K7, "insert_date", "SumCU_s")
+    lacking = rows.alias("s").join(known.alias("g"), _same("s", "g", [*K7, "insert_date", "SumCU_s"]), "left_anti")
+    groups = lacking.select(*RUNNING_GROUP).distinct()
+    return accumulate(rows.alias("s").join(groups.alias("g"), _same("s", "g", RUNNING_GROUP), "left_semi"), split_depth)
 
 
 # Merges ----------------------------------------------------------------------

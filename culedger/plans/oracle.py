@@ -316,7 +316,7 @@ ORACLE: dict[str, str] = {
     ),
     "semi_filter": with_(
         "SELECT * FROM silver_detail d WHERE EXISTS (SELECT 1 FROM wl WHERE wl.CapacityId = d.CapacityId AND wl.TimePoint = d.TimePoint)",
-        f"wl AS ({WL_AUTO})",
+        f"wl AS (SELECT CapacityId, TimePoint FROM tp WHERE NOT {HALF_TEXT})",
     ),
     "upsert_full": with_(upsert("t", "s", K7_EQ, K7_NULL_SAFE, "update"), *_detail_runs()),
     "upsert_insert_only": with_(upsert("t", "s", K7_EQ, K7_NULL_SAFE, "insert"), *_detail_runs()),
@@ -385,7 +385,7 @@ ORACLE: dict[str, str] = {
         "printf('DATE(%d, %d, %d) + TIME(%d, %d, %d)', year(TimePoint), month(TimePoint), day(TimePoint), hour(TimePoint), minute(TimePoint), second(TimePoint)) "
         "AS TimepointExpression, make_timestamp(year(TimePoint), month(TimePoint), day(TimePoint), hour(TimePoint), minute(TimePoint), "
         "CAST(second(TimePoint) AS DOUBLE)) AS RebuiltTimePoint FROM wl",
-        f"wl AS ({WL_STD})",
+        "wl AS (SELECT CapacityId, TimePoint FROM tp)",
     ),
     "prereq_count": with_(f"SELECT COUNT(*) AS n FROM tp WHERE {window(*S.MONTH_WINDOW)}"),
     "existing_in_range": with_(f"SELECT COUNT(*) AS n FROM silver_detail WHERE {window(*S.FILTER_WINDOW)} AND CapacityId = '{S.CAPACITY_ID}'"),
@@ -398,3 +398,19 @@ ORACLE: dict[str, str] = {
     "staged_read": with_("SELECT * FROM silver_detail"),
     "views": with_("SELECT * FROM uni WHERE SourceType = 'autoscale'"),
 }
+
+
+def _table_runs() -> tuple[str, str, str]:
+    nulled = "dn AS (SELECT * REPLACE (CASE WHEN SumDuration_s = 17 THEN NULL ELSE TimePoint END AS TimePoint) FROM silver_detail)"
+    first = dedupe(f"(SELECT * FROM dn WHERE {run1()})", K7, SILVER_DETAIL_COLS)
+    second = dedupe(f"(SELECT * FROM dn WHERE {run2()})", K7, SILVER_DETAIL_COLS)
+    return nulled, f"t AS ({first})", f"s AS ({second})"
+
+
+ORACLE |= {
+    "table_merge_update": with_(upsert("t", "s", K7_EQ, K7_NULL_SAFE, "update"), *_table_runs()),
+    "table_merge_insert": with_(upsert("t", "s", K7_EQ, K7_NULL_SAFE, "insert"), *_table_runs()),
+    "table_delete_half_minute": with_(f"SELECT * FROM t WHERE NOT coalesce({HALF_FORMAT}, false)", *_table_runs()),
+    "table_refresh": with_("SELECT * FROM s", *_table_runs()),
+    "table_append": with_("SELECT * FROM t UNION ALL SELECT * FROM s", *_table_runs()),
+}

@@ -90,7 +90,7 @@ def build_gold(lh: T.Lakehouse, compact: bool = False, incremental: bool = False
     """All gold tables from silver; idempotent (safe to rerun).
 
     ``incremental=True`` recomputes running totals only for the groups with
-    rows loaded since the last build (same result as the full rebuild)."""
+    rows that gold lacks (same result as the full rebuild)."""
     spark = lh.spark
     lh.create_schemas()
     table_ready(spark, lh.name(T.SILVER_CAPACITIES), required=True)
@@ -120,9 +120,7 @@ def build_gold(lh: T.Lakehouse, compact: bool = False, incremental: bool = False
         silver = lh.read(T.SILVER_TP_METRICS_AS)
         audit = null_key_audit(silver).first().asDict()
         if incremental and lh.exists(T.GOLD_TP_METRICS_AS):
-            wm = gold.load_watermark(lh.read(T.GOLD_TP_METRICS_AS))
-            src = gold.gold_autoscale_incremental(silver, wm)
-            audit["watermark"] = str(wm)
+            src = gold.gold_autoscale_incremental(silver, lh.read(T.GOLD_TP_METRICS_AS))
         else:
             src = gold.gold_autoscale_source(silver)
         lh.merge(T.GOLD_TP_METRICS_AS, src, K7_EQ, K7_NULL_SAFE, "update")
@@ -158,11 +156,11 @@ def run_pipeline(
     load_time_col: str | None = None,
     on_error: str = "fail",
 ) -> list[StepReport]:
-    """metrics -> gold (calendar) -> {standard, autoscale} -> gold.
+    """metrics -> {standard, autoscale} -> gold, built once.
 
-    Each step runs only after its predecessors succeeded. ``on_error``:
-    ``fail`` raises at the first failed step, ``continue`` records it and
-    skips its dependants.
+    Each step runs only after its predecessors succeeded; gold only after both
+    collectors did. ``on_error``: ``fail`` raises at the first failed step,
+    ``continue`` records it and skips its dependants.
     """
     reports: list[StepReport] = []
 
@@ -174,7 +172,7 @@ def run_pipeline(
         except PrerequisiteError as ex:
             reports.append(StepReport(name, "failed", {"error": str(ex)}))
         except Exception as ex:
-            reports.append(StepReport(name, "failed", {"error": str(ex)[:500]}))
+            reports.append(StepReport(name, "failed", {"error": str(ex)}))
             if on_error == "fail":
                 raise
         if on_error == "fail":
@@ -183,12 +181,15 @@ def run_pipeline(
 
     ok = step("ingest_capacities", ingest_capacities, lh, capacities_extract, version)
     ok = ok and step("ingest_metrics", ingest_metrics, lh, metrics_extract, version)
-    ok = ok and step("build_gold", build_gold, lh)
     if not ok:
         return reports
+    collected = True
     if standard_extract is not None:
-        step("ingest_standard_detail", ingest_standard_detail, lh, standard_extract, capacity_id, start, end, load_time_col)
+        collected &= step("ingest_standard_detail", ingest_standard_detail, lh, standard_extract, capacity_id, start, end, load_time_col)
     if autoscale_extract is not None:
-        step("ingest_autoscale_detail", ingest_autoscale_detail, lh, autoscale_extract, capacity_id, start, end, load_time_col)
-    step("build_gold", build_gold, lh)
+        collected &= step("ingest_autoscale_detail", ingest_autoscale_detail, lh, autoscale_extract, capacity_id, start, end, load_time_col)
+    if collected:
+        step("build_gold", build_gold, lh)
+    else:
+        reports.append(StepReport("build_gold", "skipped", {"reason": "a collector failed"}))
     return reports

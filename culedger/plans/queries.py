@@ -24,6 +24,7 @@ from culedger.operators.filters import (
 from culedger.operators.joins import star_facts
 from culedger.plans import analysis, gold
 from culedger.plans import scenario as S
+from culedger.plans.table_queries import TABLE_QUERIES
 from culedger.schemas import K7
 from culedger.sources import fixtures as fx
 
@@ -186,7 +187,7 @@ def q_half_minute_count(spark, sf):
 
 def q_semi_filter(spark, sf):
     # Standard detail at the timepoints of the autoscale work list.
-    wl = worklist(fx.silver_timepoints(spark, sf), None, *S.MONTH_WINDOW, autoscale=True)
+    wl = worklist(fx.silver_timepoints(spark, sf), None, None, None, autoscale=True)
     return semi_filter(fx.silver_detail(spark, sf), wl, ["CapacityId", "TimePoint"])
 
 
@@ -252,12 +253,11 @@ def q_merge_gold_autoscale(spark, sf):
 
 def q_merge_gold_autoscale_incremental(spark, sf):
     """Gold built from run 1, then only the running-total groups with rows
-    loaded after run 1's newest load time are recomputed and merged; the
-    oracle is the full rebuild."""
+    that gold lacks are recomputed and merged; the oracle is the full
+    rebuild."""
     a = fx.silver_autoscale(spark, sf)
     old = gold.gold_autoscale_source(_run1(a))
-    wm = gold.load_watermark(old)
-    return gold.merge_gold_autoscale_rows(old, gold.gold_autoscale_incremental(a, wm))
+    return gold.merge_gold_autoscale_rows(old, gold.gold_autoscale_incremental(a, old))
 
 
 def q_delete_half_minute(spark, sf):
@@ -314,7 +314,7 @@ def q_date_spine(spark, sf):
 def q_make_timepoint(spark, sf):
     from culedger.sources.worklist import timepoint_parts
 
-    return timepoint_parts(q_worklist_standard(spark, sf))
+    return timepoint_parts(worklist(fx.silver_timepoints(spark, sf), None, None, None))
 
 
 def q_prereq_count(spark, sf):
@@ -451,6 +451,7 @@ QUERIES: dict[str, Query] = {
     "detail_ingest": q_detail_ingest,
     "autoscale_ingest": q_autoscale_ingest,
     "staged_read": q_staged_read,
+    **TABLE_QUERIES,
     "views": q_views,
 }
 

@@ -5,24 +5,32 @@ table format.
   the cluster's shared work area, next to ``spark.checkpoint.dir``).
 - Detail and metric tables are partitioned by ``Date = to_date(TimePoint)``.
   TimePoint is part of every multi-column merge key, so a source row can only
-  match target rows of its own Date: a merge reads and rewrites just the
-  dates the source touches (partition pruning on a semi-join), never the
-  whole table.
-- A merge stages its result in the work area first, then replaces the touched
-  partitions with a dynamic partition overwrite. The stage step means the
-  table is never read and overwritten by the same job, and a merge that died
-  half-way can simply be rerun (update and insert-only merges are idempotent).
+  match target rows of its own Date. The dates a source touches are read from
+  its staged copy (one value a day, bounded by the calendar) and become a
+  literal partition predicate, NULL included: only those partitions are listed
+  and read.
+- Insert-only merges append the rows that have no match. Updating merges
+  rewrite only the dates that hold a changed or new row; a merge that changes
+  nothing writes nothing.
+- What is rewritten is staged first, then replaces its partitions with a
+  dynamic partition overwrite, so the table is never read and overwritten by
+  the same job, and a merge that died half-way can simply be rerun. Staged
+  copies are removed when the call ends.
+- A merge whose source repeats a key is refused before anything is written.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from culedger.operators.upsert import upsert
+from culedger.operators.dedupe import require_unique
+from culedger.operators.upsert import unmatched, upsert
 from culedger.session import work_path
 
 PARTITION_COL = "Date"
@@ -61,8 +69,9 @@ def with_date(df: DataFrame) -> DataFrame:
 class Lakehouse:
     """Silver/gold tables in the session catalog, stored under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, database_prefix: str = ""):
+    def __init__(self, spark: SparkSession, root: str | None = None, database_prefix: str = "", files_per_date: int = 8):
         self.spark = spark
+        self.files_per_date = files_per_date
         self.root = (root or work_path(spark, "lakehouse")).rstrip("/")
         self.prefix = database_prefix
 
@@ -103,25 +112,99 @@ class Lakehouse:
     def _prepare(self, table: str, df: DataFrame) -> DataFrame:
         return with_date(df) if self.is_partitioned(table) else df
 
+    def _folder(self, path: str):
+        """Hadoop file system and path of a folder of this lakehouse; refuses
+        any folder that is not under its root."""
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+        root = fs.makeQualified(sc._jvm.org.apache.hadoop.fs.Path(self.root)).toString().rstrip("/")
+        if not fs.makeQualified(p).toString().startswith(root + "/"):
+            raise ValueError(f"{path} is not under {self.root}")
+        return fs, p
+
+    def _delete_folder(self, path: str) -> None:
+        fs, p = self._folder(path)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+    @contextmanager
+    def _staged(self, table: str, df: DataFrame, by_date: bool = False):
+        """``df`` written to a staging folder and read back with the same
+        schema (the lineage is cut at a shared copy); removed afterwards."""
+        path = self.staging(table)
+        w = df.write
+        if by_date:
+            w = w.partitionBy(PARTITION_COL)
+        try:
+            w.parquet(path)
+            yield self.spark.read.schema(df.schema).parquet(path)
+        finally:
+            self._delete_folder(path)
+
+    def _clustered(self, table: str, df: DataFrame) -> DataFrame:
+        """Rows of a date together, a large date over up to ``files_per_date``
+        tasks, so files do not grow as tasks times dates."""
+        if not self.is_partitioned(table):
+            return df
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(self.files_per_date))
+        return df.repartition(F.col(PARTITION_COL), salt)
+
+    @staticmethod
+    def _dates(df: DataFrame) -> list:
+        """Distinct dates, NULL included: bounded by the calendar."""
+        return [r[0] for r in df.select(PARTITION_COL).distinct().collect()]
+
+    @staticmethod
+    def on_dates(df: DataFrame, dates: list) -> DataFrame:
+        """Rows of these dates, as a literal partition predicate; NULL is a
+        date of its own here."""
+        known = [d for d in dates if d is not None]
+        keep = F.col(PARTITION_COL).isin(known) if known else F.lit(False)
+        if None in dates:
+            keep = keep | F.col(PARTITION_COL).isNull()
+        return df.filter(keep)
+
+    def _add_columns(self, table: str, df: DataFrame) -> None:
+        """Additive evolution: columns that only ``df`` has join the table."""
+        have = self.read(table).columns
+        added = [f for f in df.schema.fields if f.name not in have]
+        if added:
+            spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({spec})")
+            self.spark.catalog.refreshTable(self.name(table))
+
+    def _shaped(self, table: str, df: DataFrame) -> DataFrame:
+        """``df`` with the table's columns; what it lacks is NULL."""
+        fields = self.read(table).schema.fields
+        return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
     def overwrite(self, table: str, df: DataFrame, merge_schema: bool = True) -> None:
         """Full refresh. With ``merge_schema``, columns the old table had and
         the new rows lack are kept as NULL (additive evolution)."""
         df = self._prepare(table, df)
-        if self.exists(table) and merge_schema:
-            old_cols = [c for c in self.read(table).columns if c not in df.columns]
-            for c in old_cols:
-                df = df.withColumn(c, F.lit(None).cast(self.read(table).schema[c].dataType))
-        if self.exists(table) and not self.is_partitioned(table):
-            self._replace(table, df)
+        if not self.exists(table):
+            self._create(table, self._clustered(table, df))
             return
-        if self.exists(table) and self._refresh_partitions(table, df):
+        current = self.read(table).schema
+        if merge_schema:
+            for f in current.fields:
+                if f.name not in df.columns:
+                    df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+        if not self.is_partitioned(table):
+            self._replace(table, df)
             return
-        stage = self.staging(table)
-        df.write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.parquet(stage)
-        if self.exists(table):
-            self.spark.sql(f"DROP TABLE {self.name(table)}")
-        self._create(table, staged, mode="overwrite")
+        same = all(f.name in df.columns and df.schema[f.name].dataType == f.dataType for f in current.fields)
+        with self._staged(table, df) as staged:
+            if not same:  # columns dropped or retyped: the definition changes too
+                self.spark.sql(f"DROP TABLE {self.name(table)}")
+                self._create(table, staged, mode="overwrite")
+                return
+            self._add_columns(table, staged)
+            kept = set(self._dates(staged))
+            gone = [d for d in self._dates(self.read(table)) if d not in kept]
+            self._overwrite_partitions(table, self._shaped(table, staged))
+        self._drop_dates(table, gone)
 
     def append(self, table: str, df: DataFrame, merge_schema: bool = True) -> None:
         """Append rows (create on first write). With ``merge_schema``, columns
@@ -129,20 +212,13 @@ class Lakehouse:
         columns ``df`` lacks are appended as NULL."""
         df = self._prepare(table, df)
         if not self.exists(table):
-            self._create(table, df)
+            self._create(table, self._clustered(table, df))
             return
-        current = self.read(table).schema
-        added = [f for f in df.schema.fields if f.name not in current.fieldNames()]
+        added = [c for c in df.columns if c not in self.read(table).columns]
         if added and not merge_schema:
-            raise ValueError(f"columns {[f.name for f in added]} are not in {table}")
-        if added:
-            spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({spec})")
-            self.spark.catalog.refreshTable(self.name(table))
-        out = []
-        for f in self.read(table).schema.fields:
-            out.append(F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name))
-        df.select(*out).write.insertInto(self.name(table))
+            raise ValueError(f"columns {added} are not in {table}")
+        self._add_columns(table, df)
+        self._clustered(table, self._shaped(table, df)).write.insertInto(self.name(table))
 
     def merge(
         self,
@@ -151,37 +227,52 @@ class Lakehouse:
         eq_keys: Sequence[str],
         null_safe_keys: Sequence[str] = (),
         when_matched: str = "update",
-        post: Callable[[DataFrame], DataFrame] | None = None,
     ) -> None:
         """Keyed upsert of ``source`` into ``table`` (created if missing).
-
-        ``post`` runs on the merged rows of the touched partitions (e.g. the
-        half-minute delete of the autoscale gold table).
-        """
+        Columns that only the source has are added to the table; a source that
+        repeats a key (NULL in an ``=`` key matches nothing and may repeat)
+        raises before anything is written."""
         source = self._prepare(table, source)
-        if not self.exists(table):
-            self._create(table, post(source) if post else source)
-            return
-        # The source feeds the pruning subquery, the anti-join and the union:
-        # write it once (partitioned like the table) so an expensive source
-        # plan runs once and pruning reads only partition values.
-        source = self._stage(table, source, "src")
-        target = self.read(table)
-        if self.is_partitioned(table):
-            touched = source.select(PARTITION_COL).distinct()
-            # Semi-join on the partition column: only touched dates are read
-            # (dynamic partition pruning on the target scan).
-            target = target.join(touched, PARTITION_COL, "left_semi")
-        merged = upsert(target, source.select(*target.columns), eq_keys, null_safe_keys, when_matched)
-        if post:
-            merged = post(merged)
-        if not self.is_partitioned(table):
-            self._replace(table, merged)
-            return
-        stage = self.staging(table)
-        merged.write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.parquet(stage).select(*self.read(table).columns)
-        self._overwrite_partitions(table, staged)
+        parted = self.is_partitioned(table)
+        # The source feeds the guard, the date list and the joins: written
+        # once, an expensive source plan runs once.
+        with self._staged(table, source, by_date=parted) as staged:
+            keyed = staged
+            for k in eq_keys:
+                keyed = keyed.filter(F.col(k).isNotNull())
+            require_unique(keyed, [*eq_keys, *null_safe_keys])
+            if not self.exists(table):
+                self._create(table, self._clustered(table, staged))
+                return
+            self._add_columns(table, staged)
+            rows = self._shaped(table, staged)
+            target = self.read(table)
+            if parted:
+                target = self.on_dates(target, self._dates(rows))
+            if when_matched == "insert":
+                new = unmatched(rows, target, eq_keys, null_safe_keys)
+                if parted:
+                    with self._staged(table, new) as fresh:
+                        if not fresh.isEmpty():
+                            self._clustered(table, fresh).write.insertInto(self.name(table))
+                elif not new.isEmpty():
+                    self._replace(table, target.unionByName(new))
+                return
+            # New, or unlike the row they replace; a NULL in an ``=`` key
+            # matches nothing, so such rows are always new.
+            null_key = F.lit(False)
+            for k in eq_keys:
+                null_key = null_key | F.col(k).isNull()
+            changed = rows.filter(null_key).unionByName(unmatched(rows.filter(~null_key), target, (), rows.columns))
+            if not parted:
+                if not changed.isEmpty():
+                    self._replace(table, upsert(target, rows, eq_keys, null_safe_keys))
+                return
+            dates = self._dates(changed)
+            if dates:
+                merged = upsert(self.on_dates(target, dates), self.on_dates(rows, dates), eq_keys, null_safe_keys)
+                with self._staged(table, merged) as whole:
+                    self._overwrite_partitions(table, whole)
 
     def location(self, table: str) -> str:
         """The folder the catalog currently points ``table`` at."""
@@ -195,67 +286,50 @@ class Lakehouse:
         ``df`` may read the table itself: it is written to a fresh version
         folder, never over the files it reads. One catalog update then points
         the table at that folder. A job that dies before the swap leaves the
-        table exactly as it was (a rerun starts from the same state); after
-        the swap the previous version folder is removed.
+        table exactly as it was. The folder before stays for readers that are
+        still on it; :meth:`remove_old_versions` deletes such folders.
         """
         name = self.name(table)
-        old = self.location(table)
         current = self.read(table).schema
         new_path = f"{self.path(table)}-v{uuid.uuid4().hex[:12]}"
-        added = [f for f in df.schema.fields if f.name not in current.fieldNames()]
-        kept = [f for f in current.fields if f.name in df.columns]
-        same_types = all(df.schema[f.name].dataType == f.dataType for f in kept)
-        if len(kept) == len(current.fields) and same_types:
-            # Same columns (plus additive ones): one pointer swap.
-            df.select(*current.fieldNames(), *[f.name for f in added]).write.mode("errorifexists").parquet(new_path)
-            if added:
-                spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-                self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({spec})")
+        added = [f.name for f in df.schema.fields if f.name not in current.fieldNames()]
+        if all(f.name in df.columns and df.schema[f.name].dataType == f.dataType for f in current.fields):
+            df.select(*current.fieldNames(), *added).write.parquet(new_path)
+            self._add_columns(table, df)
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
         else:
             # Columns dropped or retyped: the definition changes too. The new
             # files are complete before the (metadata-only) re-definition.
-            df.write.mode("errorifexists").parquet(new_path)
+            df.write.parquet(new_path)
             self.spark.sql(f"DROP TABLE {name}")
             self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{new_path}'")
         self.spark.catalog.refreshTable(name)
-        self._remove_folder(old)
-
-    def _refresh_partitions(self, table: str, df: DataFrame) -> bool:
-        """Full refresh of a Date-partitioned table without dropping it: the
-        new rows are staged, swapped in by dynamic partition overwrite, and
-        dates they no longer cover are dropped. Each step can be rerun.
-        Returns False (caller re-defines the table) when ``df`` drops or
-        retypes a column."""
-        name = self.name(table)
-        current = self.read(table).schema
-        added = [f for f in df.schema.fields if f.name not in current.fieldNames()]
-        kept = [f for f in current.fields if f.name in df.columns]
-        if len(kept) != len(current.fields) or any(df.schema[f.name].dataType != f.dataType for f in kept):
-            return False
-        stage = self.staging(table)
-        df.write.mode("overwrite").parquet(stage)
-        if added:
-            spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({spec})")
-            self.spark.catalog.refreshTable(name)
-        staged = self.spark.read.parquet(stage).select(*self.read(table).columns)
-        # One row per date: bounded by the calendar, not by data volume.
-        gone = self.read(table).select(PARTITION_COL).distinct().join(staged.select(PARTITION_COL).distinct(), PARTITION_COL, "left_anti").collect()
-        self._overwrite_partitions(table, staged)
-        for row in gone:
-            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PARTITION_COL} = DATE'{row[0]}')")
-        self.spark.catalog.refreshTable(name)
-        return True
 
-    def _remove_folder(self, path: str) -> None:
-        """Delete a superseded version folder on the shared file system."""
-        try:
-            jvm = self.spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # no JVM access (e.g. a Connect client): keep the old copy
-            pass
+    def remove_old_versions(self, table: str) -> list[str]:
+        """Delete version folders of ``table`` under the root that the catalog
+        no longer points at; call it when no reader is left on them."""
+        fs, home = self._folder(self.path(table))
+        current = fs.makeQualified(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.location(table))).toString()
+        gone = []
+        if not fs.exists(home.getParent()):
+            return gone
+        for status in fs.listStatus(home.getParent()):
+            p, leaf = status.getPath(), status.getPath().getName()
+            if (leaf == home.getName() or re.fullmatch(re.escape(home.getName()) + "-v[0-9a-f]{12}", leaf)) and p.toString() != current:
+                fs.delete(p, True)
+                gone.append(p.toString())
+        return gone
+
+    def _drop_dates(self, table: str, dates: list) -> None:
+        """Empty whole partitions: out of the catalog, and their files too (the
+        tables are external, so the catalog alone would leave them behind)."""
+        name, home = self.name(table), self.location(table).rstrip("/")
+        for d in dates:
+            value, leaf = ("null", "__HIVE_DEFAULT_PARTITION__") if d is None else (f"DATE'{d}'", str(d))
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PARTITION_COL} = {value})")
+            self._delete_folder(f"{home}/{PARTITION_COL}={leaf}")
+        if dates:
+            self.spark.catalog.refreshTable(name)
 
     def _overwrite_partitions(self, table: str, staged: DataFrame) -> None:
         """Replace exactly the partitions present in ``staged`` (dynamic
@@ -264,64 +338,42 @@ class Lakehouse:
         old = self.spark.conf.get(key)
         self.spark.conf.set(key, "dynamic")
         try:
-            staged.write.mode("overwrite").insertInto(self.name(table), overwrite=True)
+            self._clustered(table, staged).write.mode("overwrite").insertInto(self.name(table), overwrite=True)
         finally:
             self.spark.conf.set(key, old)
-
-    def _stage(self, table: str, df: DataFrame, label: str) -> DataFrame:
-        """Write ``df`` to a fresh staging folder and read it back with the
-        same schema: the lineage is cut at a reliable, shared copy."""
-        path = self.staging(table) + f"-{label}"
-        w = df.write.mode("overwrite")
-        if self.is_partitioned(table) and PARTITION_COL in df.columns:
-            w = w.partitionBy(PARTITION_COL)
-        w.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        self.spark.catalog.refreshTable(self.name(table))
 
     def delete_where(self, table: str, predicate) -> None:
-        """``DELETE FROM table WHERE predicate`` for rows where it is true;
-        only partitions holding such rows are rewritten."""
+        """``DELETE FROM table WHERE predicate`` for rows where it is true. One
+        pass counts hits by date; only dates with hits are rewritten, and dates
+        without a row left are emptied."""
         if not self.exists(table):
             return
         df = self.read(table)
-        hit = df.filter(F.coalesce(predicate, F.lit(False)))
-        if self.is_partitioned(table):
-            dates = hit.select(PARTITION_COL).distinct()
-            if dates.isEmpty():
-                return
-            keep = df.join(dates, PARTITION_COL, "left_semi").filter(~F.coalesce(predicate, F.lit(False)))
-            stage = self.staging(table)
-            keep.write.mode("overwrite").parquet(stage)
-            staged = self.spark.read.parquet(stage).select(*df.columns)
-            # Dates that lose every row must be emptied too: write them back
-            # even when ``staged`` has no rows for them.
-            emptied = dates.join(staged.select(PARTITION_COL).distinct(), PARTITION_COL, "left_anti").collect()
-            self._overwrite_partitions(table, staged)
-            for row in emptied:
-                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({PARTITION_COL} = DATE'{row[0]}')")
-        else:
-            if hit.isEmpty():
-                return
-            self._replace(table, df.filter(~F.coalesce(predicate, F.lit(False))))
+        hit = F.coalesce(predicate, F.lit(False))
+        if not self.is_partitioned(table):
+            if not df.filter(hit).isEmpty():
+                self._replace(table, df.filter(~hit))
+            return
+        found = df.groupBy(PARTITION_COL).agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows")).filter("hits > 0").collect()
+        some = [r[PARTITION_COL] for r in found if r["hits"] < r["rows"]]
+        if some:
+            with self._staged(table, self.on_dates(df, some).filter(~hit)) as staged:
+                self._overwrite_partitions(table, staged)
+        self._drop_dates(table, [r[PARTITION_COL] for r in found if r["hits"] == r["rows"]])
 
     # Maintenance ---------------------------------------------------------------
 
-    def compact(self, table: str, files_per_partition: int = 1) -> None:
-        """Rewrite a table with few files per partition (the small-file
-        clean-up the reference gets from OPTIMIZE). Non-fatal by design: the
-        caller may wrap it; data is unchanged."""
+    def compact(self, table: str) -> None:
+        """Rewrite a table with at most ``files_per_date`` files for each date
+        (the small-file clean-up the reference gets from OPTIMIZE); a large day
+        is written by as many tasks. Data is unchanged."""
         df = self.read(table)
-        if self.is_partitioned(table):
-            # Hash-partition by Date: each Date lands in one task, written as
-            # ``files_per_partition`` files at most.
-            out = df.repartition(max(1, files_per_partition) * max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), PARTITION_COL)
-        else:
-            self._replace(table, df.coalesce(max(1, files_per_partition)))
+        if not self.is_partitioned(table):
+            self._replace(table, df.repartition(self.files_per_date, *df.columns))
             return
-        stage = self.staging(table)
-        out.write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.parquet(stage).select(*df.columns)
-        self._overwrite_partitions(table, staged)
+        with self._staged(table, df) as staged:
+            self._overwrite_partitions(table, staged)
 
     def analyze(self, table: str) -> None:
         """``ANALYZE TABLE ... COMPUTE STATISTICS`` (row count and size feed the

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -65,8 +66,9 @@ def apply_defaults(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) is a folder of
-    our own set, so a cluster's shared location is never overridden.
+    Read from the session. Only where it is unset on a local master (tests) is
+    a folder of our own set: on a cluster each machine has its own /tmp, so an
+    unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -74,6 +76,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if fallback is None and not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = fallback or os.path.join(os.environ.get("CULEDGER_SCRATCH", "/tmp"), f"culedger-ckpt-{uuid.uuid4().hex[:8]}")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

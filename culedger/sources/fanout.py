@@ -48,7 +48,7 @@ def _run_units(fetch: Callable, names: list[str]) -> Callable[[Iterator[pd.DataF
                     out = pd.DataFrame({n: [None] for n in names})
                     out["unit_capacity_id"] = cap
                     out["unit_timepoint"] = tp
-                    out["fetch_error"] = f"{type(ex).__name__}: {ex}"[:1000]
+                    out["fetch_error"] = f"{type(ex).__name__}: {ex}"
                 yield out
 
     return run

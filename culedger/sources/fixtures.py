@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from culedger.functions.columns import exact_cu, trunc_seconds
+from culedger.functions.columns import cu_sum, trunc_seconds
 from culedger.schemas import AUTOSCALE_EXTRACT_COLUMNS, DETAIL_EXTRACT_COLUMNS, METRIC_MEASURES
 
 # Constants of the derived fixture.
@@ -53,43 +53,14 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-_OPERATIONS: dict[tuple[int, str], DataFrame] = {}
-
-
 def operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event with every derived detail column plus ``event_id``.
 
-    The lazy plan is built once per session and folder and shared (a plan,
-    not data: every use still reads the tables when it runs).
-
     ``customer`` and ``part`` are dimensions: Spark picks a broadcast join when
     their measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and a
     shuffle join otherwise, so nothing here assumes they stay small.
     """
-    key = (id(spark), sf_dir.rstrip("/"))
-    cached = _OPERATIONS.get(key)
-    if cached is None or cached.sparkSession is not spark:
-        cached = _OPERATIONS[key] = _operations(spark, sf_dir)
-    return cached
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that yields fewer partitions than the cluster has
-    cores (one small file, one row group) on a unique key, so the heavy
-    projection and joins after it use every core. A large input already has
-    more splits than cores and is left alone: no shuffle is added at scale."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: leave the scan as is
-        return df
-    if splits < par:
-        return df.repartition(par, key)
-    return df
-
-
-def _operations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"), "event_id")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     ev = ev.withColumn("k", _k())
@@ -167,10 +138,10 @@ def metric_measures(ops: DataFrame) -> DataFrame:
     Measures not derivable from the driver tables are constants or NULL. Sums
     are exact; ratios divide the double sum.
     """
-    cu = exact_cu("CU")
-    bg = F.sum(F.when(F.col("event_type").isin(*BACKGROUND_EVENT_TYPES), cu)).cast("double")
-    it = F.sum(F.when(~F.col("event_type").isin(*BACKGROUND_EVENT_TYPES), cu)).cast("double")
-    total = F.sum(cu).cast("double")
+    background = F.col("event_type").isin(*BACKGROUND_EVENT_TYPES)
+    bg = cu_sum(F.when(background, F.col("CU")))
+    it = cu_sum(F.when(~background, F.col("CU")))
+    total = cu_sum("CU")
     sku = F.lit(SKU_CU_PER_TIMEPOINT)
     agg = ops.groupBy("CapacityId", "TimePoint").agg(
         (bg / sku).alias("BackgroundPercentage"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,16 +9,6 @@ from culedger.functions.columns import make_timepoint, timepoint_expression_text
 from culedger.operators.filters import drop_half_minute, filter_capacity, filter_window
 
 
-def iterate_dates(start: str, end: str | None = None) -> list[date]:
-    """Inclusive list of days between two ``YYYY-MM-DD`` strings (driver-side
-    parameter expansion; a window of days, not data). ``end < start`` raises."""
-    s = datetime.strptime(start, "%Y-%m-%d").date()
-    e = datetime.strptime(end or start, "%Y-%m-%d").date()
-    if e < s:
-        raise ValueError(f"end date {end} is before start date {start}")
-    return [s + timedelta(days=i) for i in range((e - s).days + 1)]
-
-
 def date_spine(df: DataFrame, start_col: str, end_col: str, out: str = "Date") -> DataFrame:
     """One row per day between two date columns (inclusive), per input row."""
     return df.withColumn(out, F.explode(F.sequence(F.col(start_col), F.col(end_col), F.expr("INTERVAL 1 DAY"))))
@@ -38,18 +26,23 @@ def capacity_date_spine(timepoints: DataFrame) -> DataFrame:
 def worklist(
     timepoints: DataFrame,
     capacity_id: str | None,
-    start: str,
-    end: str,
+    start: str | None,
+    end: str | None,
     autoscale: bool = False,
     ordered: bool = True,
 ) -> DataFrame:
-    """(CapacityId, TimePoint) units to extract, newest first.
+    """(CapacityId, TimePoint) units to extract, newest first. Without a window
+    (``start`` None) every timepoint is a unit; the capacity id may be given in
+    either case.
 
     Autoscale runs on a one-minute grain, so its list drops ``:30`` points.
     ``ordered=False`` skips the global sort when the list feeds a distributed
     fan-out, where order does not matter.
     """
-    wl = filter_capacity(filter_window(timepoints.select("CapacityId", "TimePoint"), start, end), capacity_id)
+    wl = timepoints.select("CapacityId", "TimePoint")
+    if start is not None:
+        wl = filter_window(wl, start, end)
+    wl = filter_capacity(wl, capacity_id and capacity_id.upper())
     if autoscale:
         wl = drop_half_minute(wl)
     if ordered:

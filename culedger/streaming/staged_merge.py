@@ -9,6 +9,8 @@ makes every part merge exactly once across restarts and executor loss; with
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -48,7 +50,9 @@ def start_staged_merge(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(staging_path)
-    ckpt = checkpoint or work_path(spark, "streams", f"staged-merge-{kind}")
+    # One checkpoint for each lakehouse, source folder and kind.
+    own = hashlib.sha256(f"{lh.root}|{lh.prefix}|{staging_path.rstrip('/')}".encode()).hexdigest()[:16]
+    ckpt = checkpoint or work_path(spark, "streams", f"staged-merge-{kind}-{own}")
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         if not batch.isEmpty():

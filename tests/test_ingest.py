@@ -17,7 +17,7 @@ from culedger.sources.ingest import (
     metrics_extract,
     metrics_from_extract,
 )
-from culedger.sources.worklist import capacity_date_spine, iterate_dates, timepoint_parts, worklist
+from culedger.sources.worklist import capacity_date_spine, timepoint_parts, worklist
 
 
 def test_metrics_adapter_all_header_styles(spark):
@@ -71,13 +71,6 @@ def test_detail_ingest_stamps_units_and_dedupes(spark):
     assert ingest_detail(raw.drop("load_time"), "standard").filter(F.col("insert_date").isNull()).count() == 0
 
 
-def test_iterate_dates_inclusive_and_inverted():
-    assert iterate_dates("2024-01-30", "2024-02-02") == [date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 2)]
-    assert iterate_dates("2024-01-30") == [date(2024, 1, 30)]
-    with pytest.raises(ValueError):
-        iterate_dates("2024-01-30", "2024-01-29")
-
-
 def test_worklist_autoscale_drops_half_minutes_newest_first(spark):
     tp = fx.silver_timepoints(spark, SF0001)
     wl = worklist(tp, "CAP-01", "05 January 2024 00:00", "20 January 2024 23:59", autoscale=True).collect()
