@@ -79,7 +79,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, substituti
     hits = _spread(keyed.select("key", tokens(F.col("text")).alias("hashes")), "key").join(known, "seed")
     hits = materialize(hits.select("key", "item_key", "item_size", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct(), "hits")
     by_doc = hits.groupBy("key").agg(F.collect_list(F.struct("item_key", "item_size", "offset")).alias("hits"))
-    under = keyed.join(by_doc, "key").dropDuplicates(["key"]).withColumn("hashes", tokens(F.col("text"))).drop("text")
+    # Hits have no size bound, so they are never broadcast: texts meet them by
+    # the same sort-merge join at every size.
+    under = keyed.join(by_doc.hint("merge"), "key").dropDuplicates(["key"]).withColumn("hashes", tokens(F.col("text"))).drop("text")
 
     def part(h: Column) -> Column:
         head = F.greatest(-h["offset"], F.lit(0))  # tokens of the item before the document's first
