@@ -10,16 +10,29 @@ tie-breaks; load time as data, never the clock.
 from __future__ import annotations
 
 from culedger.plans import scenario as S
-from culedger.schemas import (
-    AUTOSCALE_EXTRACT_COLUMNS,
-    AUTOSCALE_GROUP_COLUMNS,
-    DETAIL_EXTRACT_COLUMNS,
-    DETAIL_GROUP_COLUMNS,
-    K7,
-    K7_EQ,
-    K7_NULL_SAFE,
-    METRIC_MEASURES,
-)
+# Fixed values, written out again so that an error in the library's own lists
+# shows: merge key, measures in contract order, and the extracts' columns.
+K7 = [
+    "CapacityId", "TimePoint", "Unique_key", "Operation", "Operation_Id", "Operation_start_time", "Operation_end_time",
+]
+K7_EQ, K7_NULL_SAFE = K7[:2], K7[2:]
+METRIC_MEASURES = [
+    "BackgroundPercentage", "InteractivePercentage", "BackgroundNonBillablePercentage", "InteractiveNonBillablePercentage",
+    "AutoscalePercentage", "CULimitPercentage", "TotalCUUsagePercentage", "TotalCUs", "SKUCUByTimePoint",
+    "InteractiveDelayPercentage", "InteractiveRejectionPercentage", "InteractiveRejectionThreshold",
+    "BackgroundRejectionPercentage", "BackgroundRejectionThreshold", "CarryOverAddedPercentage", "CarryOverBurndownPercentage",
+    "CarryOverCumulativePercentage", "OverageReferenceLine", "ExpectedBurndownInMin",
+]
+DETAIL_EXTRACT_COLUMNS = [
+    "Operation_start_time", "Operation_end_time", "Status", "Operation", "User", "Workspace_name", "Item_kind", "Unique_key",
+    "Billing_type", "Operation_Id", "Virtualised_workspace", "Start", "End", "Item_name", "IsGrandTotalRowTotal", "SumDuration_s",
+    "SumTotal_CU_s",
+]
+AUTOSCALE_EXTRACT_COLUMNS = [
+    "Operation", "Operation_start_time", "Operation_end_time", "Status", "User", "Workspace_name", "Item_kind", "Unique_key",
+    "Operation_Id", "Billing_type", "Item_name", "IsGrandTotalRowTotal", "SumCU_s", "Timepoint_workload_autoscale_limit",
+]
+DETAIL_GROUP_COLUMNS, AUTOSCALE_GROUP_COLUMNS = DETAIL_EXTRACT_COLUMNS[:14], AUTOSCALE_EXTRACT_COLUMNS[:11]
 
 DEC = "DECIMAL(28,6)"
 
@@ -391,8 +404,8 @@ ORACLE: dict[str, str] = {
     "existing_in_range": with_(f"SELECT COUNT(*) AS n FROM silver_detail WHERE {window(*S.FILTER_WINDOW)} AND CapacityId = '{S.CAPACITY_ID}'"),
     "capacities_ingest": with_("SELECT upper(CapacityId) AS CapacityId, CapacityName, State, Region FROM caps"),
     "capacities_ingest_v47": with_("SELECT upper(CapacityId) AS CapacityId, CAST(NULL AS VARCHAR) AS CapacityName, State, Region FROM caps"),
-    "metrics_ingest_v53": with_("SELECT * REPLACE (upper(CapacityId) AS CapacityId) FROM tp"),
-    "metrics_ingest_v37": with_("SELECT * REPLACE (upper(CapacityId) AS CapacityId) FROM tp"),
+    "metrics_ingest_v53": with_("SELECT upper(CapacityId) AS CapacityId, TimePoint, " + ", ".join(f"TotalCUs + {k} AS {m}" for k, m in enumerate(METRIC_MEASURES, 1)) + " FROM tp"),
+    "metrics_ingest_v37": with_("SELECT upper(CapacityId) AS CapacityId, TimePoint, " + ", ".join(f"TotalCUs + {k} AS {m}" for k, m in enumerate(METRIC_MEASURES, 1)) + " FROM tp"),
     "detail_ingest": with_(dedupe(synth("silver_detail"), K7, SILVER_DETAIL_COLS)),
     "autoscale_ingest": with_(dedupe(synth("silver_autoscale"), K7, SILVER_AUTOSCALE_COLS)),
     "staged_read": with_("SELECT * FROM silver_detail"),

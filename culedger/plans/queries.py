@@ -22,7 +22,7 @@ from culedger.operators.filters import (
     semi_filter,
 )
 from culedger.operators.joins import star_facts
-from culedger.plans import analysis, gold
+from culedger.plans import analysis, extracts, gold
 from culedger.plans import scenario as S
 from culedger.plans.table_queries import TABLE_QUERIES
 from culedger.schemas import K7
@@ -333,41 +333,39 @@ def q_existing_in_range(spark, sf):
 
 
 def q_capacities_ingest(spark, sf):
-    from culedger.sources.ingest import capacities_from_extract, capacity_extract
+    from culedger.sources.ingest import capacities_from_extract
 
-    return capacities_from_extract(capacity_extract(fx.silver_capacities(spark, sf), "v53"), "v53")
+    return capacities_from_extract(extracts.capacities(fx.silver_capacities(spark, sf), "v53"), "v53")
 
 
 def q_capacities_ingest_v47(spark, sf):
-    from culedger.sources.ingest import capacities_from_extract, capacity_extract
+    from culedger.sources.ingest import capacities_from_extract
 
-    return capacities_from_extract(capacity_extract(fx.silver_capacities(spark, sf), "v47"), "v47")
+    return capacities_from_extract(extracts.capacities(fx.silver_capacities(spark, sf), "v47"), "v47")
 
 
 def q_metrics_ingest_v53(spark, sf):
-    from culedger.sources.ingest import metrics_extract, metrics_from_extract
+    from culedger.sources.ingest import metrics_from_extract
 
-    return metrics_from_extract(metrics_extract(fx.silver_timepoints(spark, sf), "v53", by="measure"), "v53")
+    return metrics_from_extract(extracts.metrics(fx.silver_timepoints(spark, sf), "v53"), "v53")
 
 
 def q_metrics_ingest_v37(spark, sf):
-    from culedger.sources.ingest import metrics_extract, metrics_from_extract
+    from culedger.sources.ingest import metrics_from_extract
 
-    return metrics_from_extract(metrics_extract(fx.silver_timepoints(spark, sf), "v37", by="measure"), "v37")
+    return metrics_from_extract(extracts.metrics(fx.silver_timepoints(spark, sf), "v37"), "v37")
 
 
 def q_detail_ingest(spark, sf):
-    from culedger.sources.ingest import detail_extract, ingest_detail
+    from culedger.sources.ingest import ingest_detail
 
-    raw = detail_extract(fx.silver_detail(spark, sf))
-    return ingest_detail(raw, kind="standard", load_time_col="load_time")
+    return ingest_detail(extracts.detail(fx.silver_detail(spark, sf), extracts.STANDARD), kind="standard", load_time_col="load_time")
 
 
 def q_autoscale_ingest(spark, sf):
-    from culedger.sources.ingest import autoscale_extract, ingest_detail
+    from culedger.sources.ingest import ingest_detail
 
-    raw = autoscale_extract(fx.silver_autoscale(spark, sf))
-    return ingest_detail(raw, kind="autoscale", load_time_col="load_time")
+    return ingest_detail(extracts.detail(fx.silver_autoscale(spark, sf), extracts.AUTOSCALE), kind="autoscale", load_time_col="load_time")
 
 
 def q_staged_read(spark, sf):
