@@ -11,16 +11,20 @@ with equal sets form a class; only classes are joined.
 3. A block's members form a signature tree: each node holds the union (and
    intersection) of its members' token bitmaps and their range of sizes. The
    tree is traversed against itself; a pair of nodes is dropped if the largest
-   overlap that it allows is too small. What is left joins members to
+   overlap that it allows is too small. A large set would fill its bitmap, so
+   its bitmap is of a sample: the tokens whose hash is 0 modulo a power of 4,
+   512 or more of them. Two samples that differ in over ``DIFFER`` of their
+   tokens are not of one candidate pair (a pair at the threshold is lost with
+   a chance below 1e-15, as with 64-bit hashes). What is left joins members to
    candidate groups.
 4. The members of each candidate group come together with their whole sets; a
    second traversal verifies pairs exactly, but for pairs that earlier links
    already connect.
 
-Blocks and groups of more than ``chunk`` members are cut into chunks, and each
-pair of chunks is a block of its own, so no task holds more than two chunks
-and no pair is missed. The bitmaps, prefixes and sketch only save work: every
-link is decided by the exact sizes of the sets' overlap and union.
+Blocks of more than ``chunk`` members, and groups of more than ``GROUP_TOKENS``
+shingles, are cut into chunks, and each pair of chunks is a block of its own,
+so no task holds more than two chunks and no pair is missed. Every link is
+decided by the exact sizes of the sets' overlap and union.
 
 Nulls: a null text has no shingles and is linked with nothing; a null doc_id
 is a document whose component is that of its class, and never the smallest.
@@ -41,6 +45,13 @@ from culedger.llm.common import connected, materialize
 SKETCH_BITS, STRIPES = 18, 64
 #: Bits of a class's token bitmap.
 BITMAP = 2048
+#: Sets of up to so many tokens go into their bitmap whole.
+WHOLE = 2048
+#: Of the larger sample, how much two samples may differ.
+DIFFER = 0.36
+#: Shingles of a candidate group that are verified at once, at most twice.
+GROUP_TOKENS = 2_000_000
+SIGNATURE = ("level", "drawn", "bitmap", "drawn2", "bitmap2")
 #: Children of a node of the tree.
 FAN = 16
 
@@ -102,10 +113,10 @@ def _ceil(share: int, n):
 class _Tree:
     """Levels of nodes over members in order; level 0 are the members."""
 
-    def __init__(self, bits: np.ndarray, sizes: np.ndarray, share: int):
+    def __init__(self, some: np.ndarray, every: np.ndarray, sizes: np.ndarray, share: int):
         self.share = share
-        some, every, low, high = bits, bits, sizes, sizes
-        slack = sizes - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        low, high = sizes, sizes
+        slack = sizes - np.bitwise_count(every).sum(axis=1, dtype=np.int64)
         self.levels = [(some, every, low, high, slack)]
         while len(low) > FAN:
             cut = np.arange(0, len(low), FAN)
@@ -144,12 +155,17 @@ class _Tree:
             i, j = a[ok], b[ok]
 
 
-def groups_of(bits: np.ndarray, sizes: np.ndarray, share: int, verify=None) -> np.ndarray:
+def groups_of(bits: np.ndarray, sizes: np.ndarray, share: int, verify=None, sampled: np.ndarray | None = None) -> np.ndarray:
     """For each member the first member of its group: members connected by
     pairs that the bitmaps allow and, if given, ``verify(i, js)`` confirms.
-    Every member is compared with all that it isn't connected to yet."""
+    Every member is compared with all that it isn't connected to yet. Bitmaps
+    of members that are ``sampled`` bound nothing and are for ``verify``."""
     n = len(sizes)
-    tree = _Tree(bits, sizes, share)
+    every = bits
+    if sampled is not None and sampled.any():
+        bits, every = bits.copy(), bits.copy()
+        bits[sampled], every[sampled] = ~np.uint64(0), 0
+    tree = _Tree(bits, every, sizes, share)
     root = np.full(n, -1, np.int64)
     if len(tree.levels) > 1:
         a, b = tree.pairs()
@@ -183,13 +199,59 @@ def groups_of(bits: np.ndarray, sizes: np.ndarray, share: int, verify=None) -> n
     return root
 
 
-def _bitmap(s: np.ndarray) -> np.ndarray:
-    out = np.zeros(BITMAP // 64, np.uint64)
-    at = s & np.uint64(BITMAP - 1)
+def _bitmap(s: np.ndarray, bits: int = BITMAP) -> np.ndarray:
+    out = np.zeros(bits // 64, np.uint64)
+    at = s & np.uint64(bits - 1)
     np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
     return out
 
 
+def _level(n: int) -> int:
+    """The power of 4 that a set of n tokens is sampled by."""
+    level = 0
+    while n >> 2 * level > WHOLE:
+        level += 1
+    return level
+
+
+def _sample(s: np.ndarray, level: int) -> np.ndarray:
+    return s[(s >> np.uint64(40)) & np.uint64(4**level - 1) == 0] if level else s
+
+
+def _signatures(s: np.ndarray, share: int) -> dict:
+    """A set's bitmap, and the one that sets of the next level compare it by
+    if such sets may be within reach."""
+    n, level = len(s), _level(len(s))
+    own = _sample(s, level)
+    out = {"level": level, "drawn": len(own), "bitmap": _bitmap(own).tobytes(), "drawn2": None, "bitmap2": None}
+    if 100 * n >= share * (WHOLE << 2 * level):
+        up = _sample(s, level + 1)
+        out |= {"drawn2": len(up), "bitmap2": _bitmap(up).tobytes()}
+    return out
+
+
+def _alike(level: np.ndarray, drawn: np.ndarray, bits: np.ndarray, drawn2: np.ndarray, bits2: np.ndarray):
+    """For ``groups_of``: which of the members js may be linked to i, by their
+    samples. Members without a sample in common stay."""
+    def alike(i, js):
+        top = np.maximum(level[i], level[js])
+        out = np.ones(len(js), bool)
+        for up in range(2):  # whether i is compared by its next level
+            with_ = np.flatnonzero((top == level[i] + up) & (top > 0))
+            if not len(with_):
+                continue
+            j = js[with_]
+            down = level[j] < top[with_]
+            a, na = (bits2[i], drawn2[i]) if up else (bits[i], drawn[i])
+            b, nb = np.where(down[:, None], bits2[j], bits[j]), np.where(down, drawn2[j], drawn[j])
+            known = (na >= 0) & (nb >= 0)
+            differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+            out[with_] = ~known | (differ <= DIFFER * np.maximum(na, nb))
+        return out
+
+    return alike
+
+
 def _runs(batches, keys: int):
     """(table, [(start, end), ...]): the whole blocks among batches that are
     sorted by the first ``keys`` columns. A block is two chunks at most."""
@@ -212,7 +274,7 @@ def _runs(batches, keys: int):
 
 def _chunked(rows: DataFrame, member: str, chunk: int) -> DataFrame:
     """``rows`` with columns c1, c2: a block for each pair of chunks of a key
-    with more than ``chunk`` rows (column m), else the block (0, 0)."""
+    that is larger than ``chunk`` (column m), else the block (0, 0)."""
     parts = F.when(F.col("m") > chunk, F.ceil(F.col("m") / chunk)).otherwise(1).cast("int")
     own = rows.withColumn("parts", parts).withColumn("c", F.pmod(F.xxhash64(F.col(member), F.lit(5)), F.col("parts")).cast("int"))
     out = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -224,12 +286,13 @@ def _row_key(doc_id: str, text: str):
 
 
 def classes(docs: DataFrame, size: int, share: int, fold: bool, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, key, class, n, prefix, bitmap) for each document; class is null
-    for a document without shingles. Written to the shared folder."""
+    """Rows (doc_id, key, class, n, prefix, and the signature) for each document;
+    class is null for a document without shingles. Written to the shared
+    folder."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, size, fold, text))
 
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("bitmap", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("level", pa.int32()), ("drawn", pa.int32()), ("bitmap", pa.binary()), ("drawn2", pa.int32()), ("bitmap2", pa.binary())])
         counts = shared.value
         for b in batches:
             for i, j, data, offs in arrays.groups(b.column(2)):
@@ -242,11 +305,11 @@ def classes(docs: DataFrame, size: int, share: int, fold: bool, text: str = "tex
                     ids.append(_class_id(s) if n else None)
                     ns.append(n)
                     prefixes.append(head.view(np.int64))
-                    maps.append(_bitmap(s).tobytes() if n else None)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(maps, pa.binary())], schema=schema)
+                    maps.append(_signatures(s, share) if n else {})
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), *[pa.array([m.get(x) for m in maps], schema.field(x).type) for x in SIGNATURE]], schema=schema)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _row_key(doc_id, text).alias("key"), F.col(text).cast("binary").alias("text"))
-    return materialize(rows.mapInArrow(run, "doc_id long, key long, class long, n long, prefix array<long>, bitmap binary"), "sets")
+    return materialize(rows.mapInArrow(run, "doc_id long, key long, class long, n long, prefix array<long>, level int, drawn int, bitmap binary, drawn2 int, bitmap2 binary"), "sets")
 
 
 def candidates(reps: DataFrame, share: int, chunk: int) -> DataFrame:
@@ -256,13 +319,17 @@ def candidates(reps: DataFrame, share: int, chunk: int) -> DataFrame:
         done = set()
         for t, at in _runs(batches, 3):
             cls, n = np.asarray(t.column("class")), np.asarray(t.column("n"))
-            maps = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint64).reshape(len(n), -1)
+            blank = bytes(BITMAP // 8)
+            maps, maps2 = (np.frombuffer(b"".join(x or blank for x in t.column(k).to_pylist()), np.uint64).reshape(len(n), -1) for k in ("bitmap", "bitmap2"))
+            level, drawn = np.asarray(t.column("level")), np.asarray(t.column("drawn"))
+            drawn2 = np.asarray(t.column("drawn2").combine_chunks().fill_null(-1) if isinstance(t.column("drawn2"), pa.ChunkedArray) else t.column("drawn2").fill_null(-1))
             a, b = [], []
             for x, y in at:
                 if y - x < 2:
                     continue
                 order = x + np.lexsort((*maps[x:y, :2].T, n[x:y]))
-                root = groups_of(maps[order], n[order], share)
+                alike = _alike(level[order], drawn[order], maps[order], drawn2[order], maps2[order])
+                root = groups_of(maps[order], n[order], share, alike, level[order] > 0)
                 moved = np.flatnonzero(root != np.arange(y - x))
                 a += cls[order][moved].tolist()
                 b += cls[order][root[moved]].tolist()
@@ -275,12 +342,12 @@ def candidates(reps: DataFrame, share: int, chunk: int) -> DataFrame:
     tokens = reps.select("class", "n", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     rows = _chunked(tokens.join(shared, "token"), "class", chunk)
-    rows = rows.join(reps.select("class", "bitmap"), "class").select("token", "c1", "c2", "class", "n", "bitmap")
+    rows = rows.join(reps.select("class", *SIGNATURE), "class").select("token", "c1", "c2", "class", "n", *SIGNATURE)
     rows = rows.repartition("token", "c1", "c2").sortWithinPartitions("token", "c1", "c2")
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, share: int, fold: bool, chunk: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, share: int, fold: bool, tokens: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Edges (a, b) between classes of a candidate group, decided by the whole
     sets: every class to the first that it is connected to in its block."""
     def run(batches):
@@ -306,7 +373,8 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, sha
                         out[k : k + 256] = 100 * both >= share * (n[i] + n[part] - both)
                     return out
 
-                root = groups_of(np.array([_bitmap(s) for s in own]), n, share, verify)
+                width = max(BITMAP, 1 << min(17, int(4 * n[-1]).bit_length()))
+                root = groups_of(np.array([_bitmap(s, width) for s in own]), n, share, verify)
                 moved = np.flatnonzero(root != np.arange(len(root)))
                 names = cls[x:y][only][order]
                 a += names[moved].tolist()
@@ -314,9 +382,9 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, sha
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    many = groups.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    rows = _chunked(groups.withColumnRenamed("node", "class").join(many, "root"), "class", chunk)
-    rows = rows.join(reps.select("class", "rep"), "class")
+    members = groups.withColumnRenamed("node", "class").join(reps.select("class", "rep", "n"), "class")
+    many = members.groupBy("root").agg(F.sum("n").alias("m"))
+    rows = _chunked(members.join(many, "root"), "class", tokens)
     rows = rows.groupBy("class", "rep").agg(F.collect_list(F.struct("root", "c1", "c2")).alias("blocks"))
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     plain = rows.join(texts, F.col("rep").eqNullSafe(F.col("id"))).select("class", "blocks", "text")
@@ -349,9 +417,9 @@ def components(docs: DataFrame, size: int, share: int, fold: bool, chunk: int, t
     one component, and a null root is a document without shingles."""
     rows = classes(docs, size, share, fold, text, doc_id)
     named = rows.where("class is not null")
-    reps = materialize(named.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap"), F.first("n").alias("n")), "classes")
+    reps = materialize(named.groupBy("class").agg(F.min("doc_id").alias("rep"), *[F.first(x).alias(x) for x in ("n", "prefix", *SIGNATURE)]), "classes")
     groups = connected(candidates(reps, share, chunk), "candidates")
-    links = connected(verified(docs, reps, groups, size, share, fold, chunk, text, doc_id), "links")
+    links = connected(verified(docs, reps, groups, size, share, fold, GROUP_TOKENS * chunk // 2048, text, doc_id), "links")
     out = rows.select("doc_id", "key", "class", F.col("n").alias("n_shingles")).join(links, F.col("class") == F.col("node"), "left")
     return out.select("doc_id", "key", "n_shingles", F.coalesce("root", "class").alias("root"))
 

@@ -94,6 +94,29 @@ def copies(spark):
     return spark.createDataFrame(out, "doc_id long, text string")
 
 
+@pytest.fixture(scope="module")
+def long_copies(spark):
+    """Long texts whose sizes lie around the borders of the samples' levels."""
+    rng = np.random.default_rng(8)
+    out = []
+    for n in (1900, 2060, 2300, 7700, 8250, 9500):
+        words = [f"u{x}" for x in rng.integers(0, 5000, n)]
+        for k in range(4):
+            own = list(words[: n - int(n * 0.05 * (k % 2))])
+            for at in rng.choice(len(own), int(len(own) * 0.012 * k), replace=False):
+                own[at] = f"e{len(out)}x{at}"
+            out.append((len(out), " ".join(own)))
+    return spark.createDataFrame(out, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("chunk", [1, 2048])
+def test_long_texts_equal_brute_force(long_copies, chunk):
+    got = by_id(jaccard.join(long_copies, chunk=chunk))
+    want = brute.joined(pairs(long_copies))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
+    assert 6 <= len({c for _, c in want.values()}) < 24
+
+
 @pytest.mark.parametrize("chunk", [8, 2048])
 def test_join_equals_brute_force(copies, chunk):
     got = by_id(jaccard.join(copies, chunk=chunk))
