@@ -9,13 +9,43 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import LONG
 from pyspark.sql import functions as F
 
 from culedger.llm import decontam, jaccard, lines, mixing, pii, ppm, quality, queries, secret_scan, substring, tokens
 from culedger.llm.common import fresh_path
 
 SF = "/root/testdata/sf0.001"
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Rows with nulls in every column, empty, blank and very long texts, ties,
+    repeated rows, and extra columns whose names operators use themselves."""
+    rows = [
+        (1, "the quick brown fox jumps over the lazy dog and runs away", "a"),
+        (1, "the quick brown fox jumps over the lazy dog and runs away", "a"),
+        (2, "The Quick brown fox jumps over the lazy dog and runs away", "a"),
+        (3, None, "a"),
+        (4, "", None),
+        (5, " \t\n\x0b\x0c\r ", "b"),
+        (6, LONG, "b"),
+        (7, LONG + " tail", "b"),
+        (8, "one two", "c"),
+        (9, "one  two", "c"),
+        (None, "a row without an id that says the quick brown fox", "c"),
+        (None, None, None),
+        (10, "café   naïve 你好 \U0001f600 é", "d"),
+    ]
+    wide = [(*r, *([None] * 8)) for r in rows]
+    names = "doc_id long, text string, source string, key long, n long, seed long, block int, class long, hashes array<long>, size long, n_words string"
+    return spark.createDataFrame(wide, names)
+
+
+@pytest.fixture(scope="module")
+def none(odd):
+    return odd.limit(0)
 
 
 def pairs(df):
