@@ -23,14 +23,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from culedger.llm.common import materialize
+from culedger.llm.common import let, materialize
 
-#: Fixed value: a candidate is a whole run of token characters.
+#: Fixed value: a whole run of token characters.
 CANDIDATE = r"(?<![A-Za-z0-9+/_.@-])[A-Za-z0-9+/_.@-]{16,}+={0,2}"
 #: Characters of a text before a candidate that are looked at.
 BEFORE = 48
 #: Formats that are credentials whatever stands around them.
-FORMATS = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$"
+FORMAT = r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)"
+FORMATS = f"^{FORMAT}$"
 CUES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api_?key|apikey|access_?key|private_?key|auth|credential)s?"
 ASSIGNED = CUES + r"""["']? ?[:=]{1,2}>? ?["']?$"""
 #: Frequent letter groups of English, French, German and Spanish.
@@ -38,16 +39,46 @@ FRAGMENTS = "the|and|ing|ion|tion|ent|ment|for|with|que|les|des|eau|elle|der|die
 FEATURES = ("length", "transitions", "digit_share", "upper_share", "distinct_share", "hex", "vowel_share", "dictionary", "path", "address", "cue", "quoted")
 
 
+def _spans(pattern: str, shortest: int, value) -> Column:
+    """(start, candidate, before, after) of each match in the text ``t``.
+    ``value(match, group 2, following character)`` gives the candidate, what
+    of the match lies ahead of it, and the character after it. No match has fewer than ``shortest`` characters, so
+    a few matches and what lies between them hold the BEFORE characters."""
+    t, back = F.col("t"), -(-BEFORE // shortest)
+    parts = F.struct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("m"), F.split(t, pattern, -1).alias("b"), F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("v"))
+
+    def spans(x: Column) -> Column:
+        lengths = F.transform(x["m"], lambda m, i: F.length(F.get(x["b"], i)) + F.length(m))
+        at = F.aggregate(lengths, F.array(F.lit(0)).cast("array<int>"), lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n))
+        tails = F.transform(x["m"], lambda m, i: F.right(F.concat(F.get(x["b"], i), m), F.lit(BEFORE)))
+
+        def each(m: Column, i: Column, y: Column) -> Column:
+            follows = F.concat(F.get(x["b"], i + 1), F.coalesce(F.get(x["m"], i + 1), F.lit("")))
+            own, ahead, after = value(m, F.get(x["v"], i), follows)
+            near = F.array_join(F.slice(y["tails"], F.greatest(i - back, F.lit(0)) + 1, F.least(i, F.lit(back))), "")
+            before = F.right(F.concat(near, F.get(x["b"], i), ahead), F.lit(BEFORE))
+            start = F.get(y["at"], i) + F.length(F.get(x["b"], i)) + F.length(ahead)
+            return F.struct(start.alias("start"), own.alias("candidate"), before.alias("before"), F.left(after, F.lit(1)).alias("after"))
+
+        return let(F.struct(at.alias("at"), tails.alias("tails")), lambda y: F.transform(x["m"], lambda m, i: each(m, i, y)))
+
+    none = F.array().cast("array<struct<start:int,candidate:string,before:string,after:string>>")
+    return F.when(F.regexp_like(t, F.lit(pattern)), let(parts, spans)).otherwise(none)
+
+
+def _run(m: Column, _: Column, follows: Column) -> tuple[Column, Column, Column]:
+    return m, F.lit(""), follows
+
+
 def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Rows (doc_id, key, number, candidate, before, after), a row for each
-    candidate; ``number`` counts a text's candidates from 0."""
+    candidate; ``number`` counts a text's candidates by their start from 0."""
     own = F.coalesce(F.col(text), F.lit(""))
     found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), own.alias("t"))
-    found = found.where(F.regexp_like("t", F.lit("[A-Za-z0-9+/_.@-]{16}")))
-    value, between = F.regexp_extract_all("t", F.lit(CANDIDATE), F.lit(0)), F.split("t", CANDIDATE, -1)
-    spans = found.select("doc_id", "key", value.alias("candidate"), between.alias("before")).withColumn("after", F.slice("before", F.lit(2), F.size("before")))
-    rows = spans.select("doc_id", "key", F.posexplode_outer(F.arrays_zip("candidate", "before", "after")).alias("number", "c")).where("c.candidate is not null")
-    return rows.select("doc_id", "key", F.col("number").cast("long").alias("number"), "c.candidate", F.expr(f"right(c.before, {BEFORE})").alias("before"), F.expr("left(c.after, 1)").alias("after"))
+    spans = _spans(CANDIDATE, 16, _run)
+    once = let(spans, lambda a: F.filter(a, lambda c, i: (i == 0) | (c != F.coalesce(F.get(a, i - 1), c))))
+    rows = found.select("doc_id", "key", F.posexplode_outer(once).alias("number", "c")).where("c.candidate != ''")
+    return rows.select("doc_id", "key", F.col("number").cast("long").alias("number"), "c.candidate", "c.before", "c.after")
 
 
 def _share(pattern: str) -> Column:

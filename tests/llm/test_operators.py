@@ -309,6 +309,30 @@ def test_secrets_against_planted(spark, odd, none):
     assert secret_scan.scan(odd).where("secret").count() == 0
 
 
+def found_secrets(spark, texts):
+    """Candidates by text and those called secrets, among planted tokens and
+    prose that the forest learns from."""
+    rng = np.random.default_rng(4)
+    rows = [(i, f'some prose token = "{"".join(rng.choice(list("0123456789abcdef"), 16 + i % 30))}" and more') for i in range(60)]
+    rows += [(1000 + i, "thereforeandnevertheless writing.to@mail3.example.com see /usr/share/doc/file.html internationalization") for i in range(60)]
+    rows += list(enumerate(texts, 2000))
+    got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = lambda keep: [{r["candidate"] for r in got if r["doc_id"] == 2000 + k and keep(r)} for k in range(len(texts))]
+    return by(lambda r: True), by(lambda r: r["secret"])
+
+
+def test_context_reaches_across_an_earlier_candidate(spark):
+    value = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    texts = [f'AWS_SECRET_ACCESS_KEY="{value}"', 'my_service_api_key = "04dbfa32c1047796bb21"', f"averyveryverylongword {'x' * 60} then_a_long_token:{value}"]
+    _, secrets = found_secrets(spark, texts)
+    assert secrets == [{value}, {"04dbfa32c1047796bb21"}, {value}]
+    rows = secret_scan.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        at = texts[r["doc_id"]].index(r["candidate"])
+        assert r["before"] == texts[r["doc_id"]][max(0, at - secret_scan.BEFORE) : at]
+        assert r["after"] == texts[r["doc_id"]][at + len(r["candidate"]) :][:1]
+
+
 # 7 ---------------------------------------------------------------------------
 
 
