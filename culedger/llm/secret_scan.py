@@ -1,15 +1,17 @@
 """Secret scans with a random forest against false positives (operator 6).
 
-Candidates are long runs of token characters, and quoted values after an
-assignment. Each is described by its length, its character transitions, how
-much of it dictionary fragments cover, whether it is a path, and the words
-around it. A forest trained on labelled findings keeps the likely secrets.
+Candidates are long runs of token characters, and the values after an assignment to a credential's name, quoted
+or up to a blank, of any length and characters. They may overlap; a span is one
+candidate, whoever proposes it. Each is described by its length, its character
+transitions, how much of it dictionary fragments cover, whether it is a path,
+and the words around it. A forest trained on labelled findings keeps the likely secrets.
 Only built-in functions and Spark's own forest.
 
 ``findings`` labels are rows (label, and the feature columns). Where none are
 given, they are drawn from the corpus: candidates in a known credential format
-or as the quoted value of a credential's name are secrets, candidates that are
-prose, addresses or paths are not; the rest is for the forest to decide. It is
+or as the value of a credential's name are secrets (a value with blanks, letters
+only or code in it is open), candidates that are prose, addresses or paths are
+not; the rest is for the forest to decide. It is
 fitted on at most ``sample`` findings of either sort, those with the least
 hashes; all candidates of all texts are judged.
 
@@ -33,7 +35,13 @@ BEFORE = 48
 FORMAT = r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)"
 FORMATS = f"^{FORMAT}$"
 CUES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api_?key|apikey|access_?key|private_?key|auth|credential)s?"
-ASSIGNED = CUES + r"""["']? ?[:=]{1,2}>? ?["']?$"""
+ASSIGN = CUES + r"""["']? ?[:=]{1,2}>? ?["']?"""
+ASSIGNED = ASSIGN + "$"
+#: An assignment and, looked ahead at, its value (group 2): with the closing
+#: quote, or up to a blank or the next assignment.
+VALUE = f"({ASSIGN})" + r"""(?=((?<=")(?:[^"\\\n]++|\\.)++"|(?<=')(?:[^'\\\n]++|\\.)++'|(?![\s"'])""" + rf"(?:(?!{ASSIGN})\S)++))"
+#: Closing marks that are not an unquoted value's.
+VALUE_END = r"""(?<!["',;&])["',;&]+$"""
 #: Frequent letter groups of English, French, German and Spanish.
 FRAGMENTS = "the|and|ing|ion|tion|ent|ment|for|with|que|les|des|eau|elle|der|die|sch|ung|keit|ver|los|las|ado|ent|est|ere|ati|her|all|ter|ess|com|example|mail|www|http"
 FEATURES = ("length", "transitions", "digit_share", "upper_share", "distinct_share", "hex", "vowel_share", "dictionary", "path", "address", "cue", "quoted")
@@ -45,7 +53,7 @@ def _spans(pattern: str, shortest: int, value) -> Column:
     of the match lies ahead of it, and the character after it. No match has fewer than ``shortest`` characters, so
     a few matches and what lies between them hold the BEFORE characters."""
     t, back = F.col("t"), -(-BEFORE // shortest)
-    parts = F.struct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("m"), F.split(t, pattern, -1).alias("b"), F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("v"))
+    parts = F.struct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("m"), F.split(t, pattern, -1).alias("b"), F.regexp_extract_all(t, F.lit(pattern), F.lit(2 if pattern == VALUE else 0)).alias("v"))
 
     def spans(x: Column) -> Column:
         lengths = F.transform(x["m"], lambda m, i: F.length(F.get(x["b"], i)) + F.length(m))
@@ -70,12 +78,19 @@ def _run(m: Column, _: Column, follows: Column) -> tuple[Column, Column, Column]
     return m, F.lit(""), follows
 
 
+def _value(m: Column, own: Column, _: Column) -> tuple[Column, Column, Column]:
+    quote = F.right(m, F.lit(1))
+    opened, closed = quote.isin("'", '"'), quote.isin("'", '"') & (F.right(own, F.lit(1)) == quote)
+    bare = F.when(opened, own).otherwise(F.regexp_replace(own, VALUE_END, ""))
+    return F.when(closed, F.left(own, F.length(own) - 1)).otherwise(bare), m, F.when(closed, quote).otherwise("")
+
+
 def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Rows (doc_id, key, number, candidate, before, after), a row for each
     candidate; ``number`` counts a text's candidates by their start from 0."""
     own = F.coalesce(F.col(text), F.lit(""))
     found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), own.alias("t"))
-    spans = _spans(CANDIDATE, 16, _run)
+    spans = F.array_sort(F.concat(_spans(CANDIDATE, 16, _run), _spans(VALUE, 4, _value)))
     once = let(spans, lambda a: F.filter(a, lambda c, i: (i == 0) | (c != F.coalesce(F.get(a, i - 1), c))))
     rows = found.select("doc_id", "key", F.posexplode_outer(once).alias("number", "c")).where("c.candidate != ''")
     return rows.select("doc_id", "key", F.col("number").cast("long").alias("number"), "c.candidate", "c.before", "c.after")
@@ -109,9 +124,11 @@ def weak_label() -> Column:
     addresses, paths and plain numbers; null: open."""
     c = F.col("candidate")
     mixed = F.regexp_like(c, F.lit("[0-9]")) & F.regexp_like(c, F.lit("[A-Za-z]"))
-    secret = F.regexp_like(c, F.lit(FORMATS)) | (F.regexp_like("before", F.lit(ASSIGNED)) & mixed)
+    assigned, quoted, blank = F.regexp_like("before", F.lit(ASSIGNED)), F.col("quoted") > 0, F.regexp_like(c, F.lit(r"\s"))
+    code = ~quoted & F.regexp_like(c, F.lit(r"[(){}\[\]<>$]"))
+    secret = F.regexp_like(c, F.lit(FORMATS)) | (assigned & mixed & ~blank & ~code)
     plain = ~F.regexp_like(c, F.lit("[0-9]")) | F.regexp_like(c, F.lit("^[0-9./_-]+$")) | c.contains("@") | F.regexp_like(c, F.lit("^/|://"))
-    return F.when(secret, 1).when(plain, 0).cast("int")
+    return F.when(secret, 1).when(plain & ~(assigned & quoted & ~blank), 0).cast("int")
 
 
 def fit(findings: DataFrame, sample: int, seed: int = 11):

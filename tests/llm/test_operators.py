@@ -313,7 +313,7 @@ def found_secrets(spark, texts):
     """Candidates by text and those called secrets, among planted tokens and
     prose that the forest learns from."""
     rng = np.random.default_rng(4)
-    rows = [(i, f'some prose token = "{"".join(rng.choice(list("0123456789abcdef"), 16 + i % 30))}" and more') for i in range(60)]
+    rows = [(i, f'some prose token = "{"".join(rng.choice(list("0123456789abcdef"), 12 + i % 30))}" and more') for i in range(60)]
     rows += [(1000 + i, "thereforeandnevertheless writing.to@mail3.example.com see /usr/share/doc/file.html internationalization") for i in range(60)]
     rows += list(enumerate(texts, 2000))
     got = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
@@ -321,6 +321,17 @@ def found_secrets(spark, texts):
     return by(lambda r: True), by(lambda r: r["secret"])
 
 
+def test_short_and_symbol_bearing_values_are_candidates(spark):
+    texts = ['x\npassword = "S3cr3t-pa55!"\n', 'db_password: "hunter2hunter2"', "pwd=ab1$ next", "api_key: 'k3y with, blanks' x", 'secret = "a\\"b9", token=t0k3n;', "no value: password", '?token=ab1&api_key=cd2 auth: {"token": "ef3"}']
+    want = [{"S3cr3t-pa55!"}, {"hunter2hunter2"}, {"ab1$"}, {"k3y with, blanks"}, {'a\\"b9', "t0k3n"}, set(), {"ab1", "cd2", "{", "ef3"}]
+    found, secrets = found_secrets(spark, texts)
+    assert found == want
+    assert secrets[:2] == want[:2]
+    rows = [(1, "pwd=a1 " * 30 + "end"), (2, "")]
+    got = secret_scan.candidates(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("number").collect()
+    assert [r["number"] for r in got] == list(range(30)) and got[29]["before"] == ("pwd=a1 " * 30)[:-3][-48:]
+
+
 def test_context_reaches_across_an_earlier_candidate(spark):
     value = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
     texts = [f'AWS_SECRET_ACCESS_KEY="{value}"', 'my_service_api_key = "04dbfa32c1047796bb21"', f"averyveryverylongword {'x' * 60} then_a_long_token:{value}"]
