@@ -1,6 +1,7 @@
 """Secret scans with a random forest against false positives (operator 6).
 
-Candidates are long runs of token characters, and the values after an assignment to a credential's name, quoted
+Candidates are long runs of token characters, matches of the known formats
+inside them, and the values after an assignment to a credential's name, quoted
 or up to a blank, of any length and characters. They may overlap; a span is one
 candidate, whoever proposes it. Each is described by its length, its character
 transitions, how much of it dictionary fragments cover, whether it is a path,
@@ -34,14 +35,16 @@ BEFORE = 48
 #: Formats that are credentials whatever stands around them.
 FORMAT = r"(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)"
 FORMATS = f"^{FORMAT}$"
+#: A format inside a run, between characters that are no letters or digits.
+INSIDE = f"(?<![A-Za-z0-9]){FORMAT}(?![A-Za-z0-9])"
 CUES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api_?key|apikey|access_?key|private_?key|auth|credential)s?"
 ASSIGN = CUES + r"""["']? ?[:=]{1,2}>? ?["']?"""
 ASSIGNED = ASSIGN + "$"
 #: An assignment and, looked ahead at, its value (group 2): with the closing
 #: quote, or up to a blank or the next assignment.
 VALUE = f"({ASSIGN})" + r"""(?=((?<=")(?:[^"\\\n]++|\\.)++"|(?<=')(?:[^'\\\n]++|\\.)++'|(?![\s"'])""" + rf"(?:(?!{ASSIGN})\S)++))"
-#: Closing marks that are not an unquoted value's.
-VALUE_END = r"""(?<!["',;&])["',;&]+$"""
+#: Closing marks that are not a run's, and not an unquoted value's.
+RUN_END, VALUE_END = r"(?<![.@])[.@]+$", r"""(?<!["',;&])["',;&]+$"""
 #: Frequent letter groups of English, French, German and Spanish.
 FRAGMENTS = "the|and|ing|ion|tion|ent|ment|for|with|que|les|des|eau|elle|der|die|sch|ung|keit|ver|los|las|ado|ent|est|ere|ati|her|all|ter|ess|com|example|mail|www|http"
 FEATURES = ("length", "transitions", "digit_share", "upper_share", "distinct_share", "hex", "vowel_share", "dictionary", "path", "address", "cue", "quoted")
@@ -74,10 +77,15 @@ def _spans(pattern: str, shortest: int, value) -> Column:
     return F.when(F.regexp_like(t, F.lit(pattern)), let(parts, spans)).otherwise(none)
 
 
-def _run(m: Column, _: Column, follows: Column) -> tuple[Column, Column, Column]:
+def _format(m: Column, _: Column, follows: Column) -> tuple[Column, Column, Column]:
     return m, F.lit(""), follows
 
 
+def _run(m: Column, _: Column, follows: Column) -> tuple[Column, Column, Column]:
+    own = F.regexp_replace(m, RUN_END, "")
+    return own, F.lit(""), F.concat(F.substring(m, F.length(own) + 1, F.length(m)), follows)
+
+
 def _value(m: Column, own: Column, _: Column) -> tuple[Column, Column, Column]:
     quote = F.right(m, F.lit(1))
     opened, closed = quote.isin("'", '"'), quote.isin("'", '"') & (F.right(own, F.lit(1)) == quote)
@@ -90,7 +98,7 @@ def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     candidate; ``number`` counts a text's candidates by their start from 0."""
     own = F.coalesce(F.col(text), F.lit(""))
     found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), own.alias("t"))
-    spans = F.array_sort(F.concat(_spans(CANDIDATE, 16, _run), _spans(VALUE, 4, _value)))
+    spans = F.array_sort(F.concat(_spans(CANDIDATE, 16, _run), _spans(INSIDE, 11, _format), _spans(VALUE, 4, _value)))
     once = let(spans, lambda a: F.filter(a, lambda c, i: (i == 0) | (c != F.coalesce(F.get(a, i - 1), c))))
     rows = found.select("doc_id", "key", F.posexplode_outer(once).alias("number", "c")).where("c.candidate != ''")
     return rows.select("doc_id", "key", F.col("number").cast("long").alias("number"), "c.candidate", "c.before", "c.after")
