@@ -7,6 +7,12 @@ hit, document and item are laid over each other and compared token by token.
 A document is contaminated if some ``window`` tokens in a row agree with an
 item in all but ``substitutions`` places.
 
+No such overlap lacks a seed. Any two substituted places in ``WHOLE`` tokens
+leave a window of one of the ``MASKS`` whole (the test enumerates them). Shorter
+items, smaller windows and more substitutions s are met by lighter seeds: of
+s + 2 pieces in a row, s substitutions leave two whole, and the seeds hash each
+two pieces. Documents get the lighter seeds only if some item needs them.
+
 Only built-in functions; seeds of documents are not shuffled, only hits are,
 and texts meet their hits by id.
 The benchmark's seeds are broadcast up to ``broadcast_seeds`` rows (a count is
@@ -27,8 +33,11 @@ from pyspark.sql import functions as F
 from culedger.llm.common import BLANKS, let, materialize
 
 #: 1 is hashed, 0 is ignored.
-MASKS = ("11101011", "11011101")
+MASKS = ("11101011", "11011101", "11100111")
 SPAN = 8
+#: Fixed value: tokens in a row that the masks suffice for, with so many
+#: substitutions.
+WHOLE, REPLACED = 13, 2
 #: Characters that tokens are compared without.
 DROPPED = r"""[.,;:!?"'()\[\]]"""
 
@@ -39,23 +48,37 @@ def tokens(text: Column) -> Column:
     return F.transform(F.filter(F.split(flat, " "), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: str) -> Column:
-    """(position, hash) for each mask and window of the token hashes."""
-    def at(mask: int) -> Column:
-        own = [k for k, c in enumerate(MASKS[mask]) if c == "1"]
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - SPAN), lambda i: F.xxhash64(F.lit(mask), *[F.get(F.col(hashes), i + k) for k in own]))
+def heavy_masks() -> list[list[int]]:
+    """The hashed places of each mask."""
+    return [[k for k, c in enumerate(m) if c == "1"] for m in MASKS]
+
+
+def light_masks(window: int, substitutions: int) -> list[list[int]]:
+    """The hashed places of each two of ``substitutions`` + 2 equal pieces."""
+    piece = min(SPAN, window) // (substitutions + 2)
+    if piece < 1:
+        raise ValueError(f"{substitutions} substitutions in {window} tokens leave no seed")
+    return [[*range(piece), *range(gap * piece, (gap + 1) * piece)] for gap in range(1, substitutions + 2)]
+
+
+def seeds(hashes: str, masks: list[list[int]]) -> Column:
+    """(pos, seed) for each mask and each place of the token hashes that it
+    fits at."""
+    def at(mask: list[int]) -> Column:
+        name = " ".join(map(str, mask))
+        one = lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(name), *[F.get(F.col(hashes), i + k) for k in mask]).alias("seed"))
+        none = F.array().cast("array<struct<pos:int,seed:bigint>>")
+        return F.when(F.size(hashes) > mask[-1], F.transform(F.sequence(F.lit(0), F.size(hashes) - 1 - mask[-1]), one)).otherwise(none)
 
-    none = F.array().cast("array<bigint>")
-    return F.when(F.size(hashes) >= SPAN, F.concat(*[at(m) for m in range(len(MASKS))])).otherwise(none)
+    return F.concat(*[at(m) for m in masks])
 
 
-def _spread(table: DataFrame, *keep: str) -> DataFrame:
+def _spread(table: DataFrame, masks: list[list[int]], *keep: str) -> DataFrame:
     """A row for each seed: keep, n (tokens), pos, seed. The token arrays stay
     behind: a row for each seed must not carry a copy. An outer explode keeps
     Spark from filtering on, and so computing, the seeds twice."""
-    found = table.withColumn("n", F.size("hashes")).withColumn("seeds", seeds("hashes")).select(*keep, "n", "seeds")
-    found = found.select(*keep, "n", F.posexplode_outer("seeds").alias("k", "seed")).where("seed is not null")
-    return found.withColumn("pos", F.pmod(F.col("k"), F.col("n") - (SPAN - 1)))
+    found = table.withColumn("n", F.size("hashes")).withColumn("seeds", seeds("hashes", masks)).select(*keep, "n", "seeds")
+    return found.select(*keep, "n", F.explode_outer("seeds").alias("s")).select(*keep, "n", "s.pos", "s.seed").where("seed is not null")
 
 
 def agreement(part: Column, item: Column, window: int) -> Column:
@@ -71,12 +94,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 13, substituti
     each document, item and offset between the two. ``key`` is the hash of a
     document's id and text."""
     items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(item_text)).alias("hashes")).where(F.size("hashes") >= SPAN).withColumn("item_key", F.xxhash64("item_id", "hashes")).distinct()
-    known = _spread(items, "item_key").select("item_key", "seed", F.col("pos").alias("item_pos"), F.col("n").alias("item_size"))
+    heavy = F.size("hashes") >= WHOLE if window >= WHOLE and substitutions <= REPLACED else F.lit(False)
+    masks, light = heavy_masks(), light_masks(window, substitutions)
+    known = _spread(items.where(heavy), masks, "item_key")
+    if not items.where(~heavy).isEmpty():
+        known = known.unionByName(_spread(items.where(~heavy), light, "item_key"))
+        masks = masks + light
+    known = known.select("item_key", "seed", F.col("pos").alias("item_pos"), F.col("n").alias("item_size"))
     known = materialize(known.distinct(), "seeds")
     if known.count() <= broadcast_seeds:
         known = F.broadcast(known)
     keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text"))
-    hits = _spread(keyed.select("key", tokens(F.col("text")).alias("hashes")), "key").join(known, "seed")
+    hits = _spread(keyed.select("key", tokens(F.col("text")).alias("hashes")), masks, "key").join(known, "seed")
     hits = materialize(hits.select("key", "item_key", "item_size", (F.col("pos") - F.col("item_pos")).alias("offset")).distinct(), "hits")
     by_doc = hits.groupBy("key").agg(F.collect_list(F.struct("item_key", "item_size", "offset")).alias("hits"))
     # Hits have no size bound, so they are never broadcast: texts meet them by

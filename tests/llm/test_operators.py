@@ -470,6 +470,37 @@ def test_decontamination_tolerates_substitutions(spark, odd, none):
     assert set(wide) == set(got)
 
 
+def overlapping(docs, items, window=13, substitutions=2):
+    """{doc_id: (items, most tokens in agreement)}, over all offsets."""
+    out = {}
+    for d, t in docs:
+        for _, u in items:
+            own, item = t.split(), u.split()
+            width, best = min(window, len(item)), 0
+            for off in range(-len(item), len(own)):
+                same = [0 <= k + off < len(own) and own[k + off] == w for k, w in enumerate(item)]
+                best = max(best, *(sum(same[k : k + width]) for k in range(len(item) - width + 1)))
+            if best >= width - substitutions:
+                n, most = out.get(d, (0, 0))
+                out[d] = (n + 1, max(most, best))
+    return out
+
+
+@pytest.mark.parametrize("rule", [(13, 2), (10, 1), (13, 4)])
+def test_every_overlap_has_a_seed(spark, rule):
+    items, docs = [], []
+    for n in (8, 9, 10, 12, 13, 14, 17):
+        item = [f"n{n}i{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        pairs = [(a, b) for a in range(n) for b in range(a, n)]
+        docs += [" ".join(["pre", *[f"x{k}" if k in ab else w for k, w in enumerate(item)], "post"]) for ab in pairs]
+        docs += [" ".join(item[a:b]) for a in range(3) for b in range(n - 2, n + 1)]
+        docs += [" ".join("y" if k in (1, n // 2, n - 2, n // 3)[:m] else w for k, w in enumerate(item)) for m in (3, 4)]
+    docs = list(enumerate(docs))
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), window=rule[0], substitutions=rule[1]).collect()
+    assert {r["doc_id"]: (r["n_items"], r["agreeing"]) for r in got} == overlapping(docs, items, *rule)
+
+
 # 10 --------------------------------------------------------------------------
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
