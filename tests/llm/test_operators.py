@@ -545,3 +545,40 @@ def test_trees_add_spans_they_are_sure_of(spark):
     assert all(len(found[i]["base"]) == 1 for i in range(400))
     assert all(len(found[i]["spans"]) >= len(found[i]["base"]) for i in found)
     assert all(not found[1000 + i]["spans"] for i in range(400))
+
+
+def test_generators_reach_beyond_the_base(spark):
+    texts = {
+        "pay with 4111.1111.1111.1111 now": ("card", "4111.1111.1111.1111"),
+        "card 4111  1111  1111  1111 now": ("card", "4111  1111  1111  1111"),
+        "on 2024 4111.1111.1111.1111 now": ("card", "4111.1111.1111.1111"),
+        "host 2001:db8::1 is": ("ip", "2001:db8::1"),
+        "from ::ffff:192.0.2.128, seen": ("ip", "::ffff:192.0.2.128"),
+        "john.doe AT example DOT com": ("email", "john.doe AT example DOT com"),
+        "john.doe [AT] example [DOT] com": ("email", "john.doe [AT] example [DOT] com"),
+        "mail jos\u00e9.garc\u00eda@example.com or": ("email", "jos\u00e9.garc\u00eda@example.com"),
+        "call +1 803 555 5351 ext. 12 or": ("phone", "+1 803 555 5351 ext. 12"),
+    }
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.scan(rows).collect():
+        t = list(texts)[r["doc_id"]]
+        found = {(pii.KINDS[c["kind"]], t[c["start"] : c["end"]]): c["label"] for c in r["candidates"]}
+        assert texts[t] in found and found[texts[t]] is None, (t, found)
+        assert not any(c["label"] == 0 and t[c["start"] : c["end"]] == texts[t][1] for c in r["candidates"])
+    plain = spark.createDataFrame([(1, "std::vector and a 10:20:30 :: b"), (2, "4111.1111.1111.1112")], "doc_id long, text string")
+    assert not [c for r in pii.scan(plain).collect() for c in r["candidates"] if c["label"] is None]
+
+
+def test_trees_add_cards_with_other_separators(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(400):
+        n = "".join(map(str, rng.integers(0, 10, 15)))
+        good = next(n + str(k) for k in range(10) if pii.luhn(n + str(k)))
+        bad = n + str((int(good[-1]) + 1 + i % 9) % 10)
+        rows += [(2 * i + k, "paid by card " + "- "[i % 2].join(x[j : j + 4] for j in range(0, 16, 4)) + " today") for k, x in enumerate((good, bad))]
+    rows.append((5000, "paid by card 4111.1111.1111.1111 today"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = by_id(pii.find(docs.where("doc_id >= 5000 or doc_id < 800")))
+    assert [tuple(s) for s in found[5000]["spans"]] == [(pii.KINDS.index("card"), 13, 32)] and not found[5000]["base"]
+    assert dict(pairs(pii.redact(docs)))[5000] == "paid by card [card] today"
