@@ -13,9 +13,9 @@ with equal sets form a class; only classes are joined.
    tree is traversed against itself; a pair of nodes is dropped if the largest
    overlap that it allows is too small. A large set would fill its bitmap, so
    its bitmap is of a sample: the tokens whose hash is 0 modulo a power of 4,
-   512 or more of them. Two samples that differ in over ``DIFFER`` of their
+   512 or more of them. Two samples that differ in over ``limit(share)`` of their
    tokens are not of one candidate pair (a pair at the threshold is lost with
-   a chance below 1e-15, as with 64-bit hashes). What is left joins members to
+   a chance of at most ``LOSS``, 1e-15, at every share). What is left joins members to
    candidate groups.
 4. The members of each candidate group come together with their whole sets; a
    second traversal verifies pairs exactly, but for pairs that earlier links
@@ -33,6 +33,8 @@ Repeated rows are documents of the same class. Extra columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,8 +49,9 @@ SKETCH_BITS, STRIPES = 18, 64
 BITMAP = 2048
 #: Sets of up to so many tokens go into their bitmap whole.
 WHOLE = 2048
-#: Of the larger sample, how much two samples may differ.
-DIFFER = 0.36
+#: Of the larger sample, how much two samples may differ at least, and the
+#: chance that a pair at the threshold differs by more.
+DIFFER, LOSS = 0.36, 1e-15
 #: Shingles of a candidate group that are verified at once, at most twice.
 GROUP_TOKENS = 2_000_000
 SIGNATURE = ("level", "drawn", "bitmap", "drawn2", "bitmap2")
@@ -230,9 +233,36 @@ def _signatures(s: np.ndarray, share: int) -> dict:
     return out
 
 
-def _alike(level: np.ndarray, drawn: np.ndarray, bits: np.ndarray, drawn2: np.ndarray, bits2: np.ndarray):
+def limit(share: int) -> float:
+    """How much of the larger sample two samples may differ.
+
+    A pair at the threshold has m tokens of its union in the sample, m being of
+    mean WHOLE / 4 or more, and each differs with chance q = 1 - share. Over a
+    share x of the m differ with a chance of exp(-m KL(x, q)) at most, which
+    over all m is exp(-WHOLE / 4 (1 - exp(-KL))). The larger sample has m (1 -
+    x / 2) tokens or more. Infinite, so that nothing is dropped, where no x
+    reaches LOSS."""
+    q, asked = 1 - share / 100, 1 + 4 * math.log(LOSS) / WHOLE
+    if q <= 0:
+        return DIFFER
+    if q >= asked:
+        return math.inf
+
+    def enough(x: float) -> bool:
+        return x * math.log(x / q) + (1 - x) * math.log((1 - x) / (1 - q)) >= -math.log(asked)
+
+    low, high = q, 1.0
+    for _ in range(50):
+        x = (low + high) / 2
+        low, high = (low, x) if x == 1 or enough(x) else (x, high)
+    return max(DIFFER, 2 * high / (2 - high))
+
+
+def _alike(level: np.ndarray, drawn: np.ndarray, bits: np.ndarray, drawn2: np.ndarray, bits2: np.ndarray, share: int):
     """For ``groups_of``: which of the members js may be linked to i, by their
     samples. Members without a sample in common stay."""
+    most = limit(share)
+
     def alike(i, js):
         top = np.maximum(level[i], level[js])
         out = np.ones(len(js), bool)
@@ -246,7 +276,7 @@ def _alike(level: np.ndarray, drawn: np.ndarray, bits: np.ndarray, drawn2: np.nd
             b, nb = np.where(down[:, None], bits2[j], bits[j]), np.where(down, drawn2[j], drawn[j])
             known = (na >= 0) & (nb >= 0)
             differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-            out[with_] = ~known | (differ <= DIFFER * np.maximum(na, nb))
+            out[with_] = ~known | (differ <= most * np.maximum(na, nb))
         return out
 
     return alike
@@ -328,7 +358,7 @@ def candidates(reps: DataFrame, share: int, chunk: int) -> DataFrame:
                 if y - x < 2:
                     continue
                 order = x + np.lexsort((*maps[x:y, :2].T, n[x:y]))
-                alike = _alike(level[order], drawn[order], maps[order], drawn2[order], maps2[order])
+                alike = _alike(level[order], drawn[order], maps[order], drawn2[order], maps2[order], share)
                 root = groups_of(maps[order], n[order], share, alike, level[order] > 0)
                 moved = np.flatnonzero(root != np.arange(y - x))
                 a += cls[order][moved].tolist()

@@ -180,6 +180,24 @@ def test_tree_groups_equal_all_pairs():
     assert len(set(root.tolist())) == len({find(k) for k in range(300)})
 
 
+@pytest.mark.parametrize("share", [85, 80, 70, 50, 20, 5])
+def test_samples_keep_pairs_at_the_threshold(share):
+    rng = np.random.default_rng(share)
+    most = jaccard.limit(share)
+    assert most > 2 * (100 - share) / (100 + share) and most >= 0.36
+    union = 8300 * 200 // (100 + share)
+    for _ in range(12):
+        tokens = rng.integers(0, 2**63, union).astype(np.uint64)
+        alone = union * (100 - share) // 200
+        pair = [np.unique(tokens[: union - alone]), np.unique(tokens[alone:])]
+        own = [jaccard._signatures(s, share) for s in pair]
+        level, drawn = (np.array([x[k] for x in own]) for k in ("level", "drawn"))
+        bits = np.array([np.frombuffer(x["bitmap"], np.uint64) for x in own])
+        drawn2 = np.array([-1 if x["drawn2"] is None else x["drawn2"] for x in own])
+        bits2 = np.array([b if x["bitmap2"] is None else np.frombuffer(x["bitmap2"], np.uint64) for x, b in zip(own, bits)])
+        assert jaccard._alike(level, drawn, bits, drawn2, bits2, share)(0, np.array([1])).all()
+
+
 def test_join_odd_rows(odd, none):
     rows = jaccard.join(odd).collect()
     assert len(rows) == odd.count()
