@@ -144,4 +144,33 @@ SELECT doc_id, n_items IS NOT NULL AS contaminated, CAST(coalesce(n_items, 0) AS
 FROM docs LEFT JOIN by_doc USING (doc_id)
 """
 
-ORACLE = {"op1_mix_sources": OP1, "op2_ngram_join": OP2, "op3_line_dedup": OP3, "op5_quality_rules": OP5, "op7_substring_dedup": OP7, "op9_decontamination": OP9}
+OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM cut GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM cut, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY ALL HAVING count(*) >= 10),
+longer AS (
+  SELECT lang, part, max(a) AS inside
+  FROM (SELECT lang, a, string_split(phrase, ' ') AS w, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM f WHERE k = 3)
+  GROUP BY ALL),
+candidates AS (
+  SELECT f.*, string_split(phrase, ' ') AS w FROM f LEFT JOIN longer ON f.lang = longer.lang AND phrase = part
+  WHERE k > 1 AND (inside IS NULL OR 100 * inside < 50 * a)),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, 1000000 * c.a * c.a // (x.a * y.a) AS score, part_words
+  FROM (SELECT *, unnest(range(1, k)) AS part_words FROM candidates) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:part_words], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[part_words + 1:], ' ')),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, part_words) AS place FROM cuts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest WHERE place = 1)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {"op1_mix_sources": OP1, "op2_ngram_join": OP2, "op3_line_dedup": OP3, "op5_quality_rules": OP5, "op7_substring_dedup": OP7, "op9_decontamination": OP9, "op13_collocations": OP13}

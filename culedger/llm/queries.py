@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from culedger.llm import decontam, jaccard, lines, mixing, pii, ppm, quality, secret_scan, substring, tokens
+from culedger.llm import collocations, conversations, decontam, jaccard, lines, mixing, pii, ppm, quality, secret_scan, simhash, substring, tokens
 from culedger.llm.common import documents, fresh_path
 from culedger.llm.oracle import ORACLE
 
@@ -79,4 +79,17 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op3_line_dedup, op4_token_output, op5_quality_rules, op6_secret_scan, op7_substring_dedup, op8_lm_scoring, op9_decontamination, op10_personal_data)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, with planted faults, repaired and digested."""
+    return conversations.audit(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_ngram_join, op3_line_dedup, op4_token_output, op5_quality_rules, op6_secret_scan, op7_substring_dedup, op8_lm_scoring, op9_decontamination, op10_personal_data, op11_conversation_repair, op12_simhash, op13_collocations)}
