@@ -23,7 +23,9 @@ all executors see.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import sys
 import types
 import uuid
@@ -40,6 +42,8 @@ NULL_ID = -(2**63)
 CACHE_WORDS = 400_000
 #: Marks that may close a word.
 MARKS = b".,;:!?#$%&*|"
+#: Fixed value: the words of a tokenizer that parts letters, digits and marks.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Texts are encoded in groups of about so many bytes.
 GROUP_BYTES = 4 << 20
 
@@ -50,31 +54,65 @@ def _worker_store(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
-def _pieces(word: bytes) -> tuple[bytes, bytes]:
-    """A word without its closing marks, and those: the tokenizers that this is
-    made for part letters and digits from marks, and lower-case letters."""
+def word_wise(tokenizer_json: str) -> list[bytes] | None:
+    """Whether a text's ids are those of its blank-parted words in turn, and
+    those of a word's closing marks apart from the rest, as the tokenizer file
+    shows: its normalizer composes characters (which never reach across a blank
+    or an ASCII mark), makes runs of blanks one blank and lower-cases; its first
+    pre-tokenizer keeps runs of letters, digits one by one, and runs of marks,
+    and drops blanks; nothing is added, cut or padded around a text; and its
+    added tokens hold no blank and take none along. If so, the added tokens'
+    contents, else None."""
+    t = json.loads(tokenizer_json)
+    added = t.get("added_tokens") or []
+    plain = all(not (a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"]) and a["content"] and not re.search(r"\s", a["content"]) for a in added)
+    if not plain or any(t.get(k) for k in ("truncation", "padding", "post_processor")):
+        return None
+    steps = (t.get("normalizer") or {}).get("normalizers")
+    if steps != [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]:
+        return None
+    parts = (t.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    split = {"type": "Split", "pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True}
+    rest = [p for p in parts[1:] if not (p.get("type") == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex"))]
+    if parts[:1] != [split] or rest or (t.get("model") or {}).get("dropout"):
+        return None
+    return [a["content"].encode() for a in added]
+
+
+def _pieces(word: bytes, added: list[bytes]) -> tuple[bytes, bytes]:
+    """A word in lower case without its closing marks, and those. Only ASCII is
+    lower-cased (beyond it, case and composition don't commute), and a word that
+    would then hold an added token is left as it is."""
     head = word.rstrip(MARKS)
-    return (head.lower(), word[len(head) :]) if head[-1:].isalnum() else (word, b"")
+    low = head.lower()
+    if not head[-1:].isalnum() or any(a.lower() in low for a in added):
+        return word, b""
+    return (low if head.isascii() else head), word[len(head) :]
 
 
 def _encoder(tokenizer_json: str, width: int):
-    """A function from texts (bytes) to ids (bytes). The tokenizers that this
-    is made for drop blanks, so a text's ids are those of its words in turn;
-    words and their pieces are the library's to encode, each once while there
-    is room to keep it."""
+    """A function from texts (bytes) to ids (bytes), which the library works
+    out. Where :func:`word_wise` holds, words and their pieces are encoded, each
+    once while there is room to keep it; else whole texts are."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     store = _worker_store(f"{width} {hashlib.sha256(tokenizer_json.encode()).hexdigest()}")
     if "tokenizer" not in store:
         from tokenizers import Tokenizer
 
-        store |= {"tokenizer": Tokenizer.from_str(tokenizer_json), "words": {}, "pieces": {b"": b""}}
-    kind = f"<u{width}"
+        store |= {"tokenizer": Tokenizer.from_str(tokenizer_json), "added": word_wise(tokenizer_json), "words": {}, "pieces": {b"": b""}}
+    kind, added = f"<u{width}", store["added"]
+
+    def encoded(texts: list[bytes]) -> list[bytes]:
+        found = store["tokenizer"].encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [np.asarray(e.ids, kind).tobytes() for e in found]
+
+    if added is None:
+        return encoded
 
     def pieces_of(pairs: list) -> dict:
         known = store["pieces"]
         new = list({x for pair in pairs for x in pair if x not in known})
-        found = store["tokenizer"].encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        fresh = {w: np.asarray(e.ids, kind).tobytes() for w, e in zip(new, found, strict=True)}
+        fresh = dict(zip(new, encoded(new), strict=True))
         if len(known) + len(fresh) <= CACHE_WORDS:
             known.update(fresh)
             return known
@@ -84,7 +122,7 @@ def _encoder(tokenizer_json: str, width: int):
         known = store["words"]
         split = [t.split() for t in texts]  # bytes split at the six ASCII blanks
         new = list({w for words in split for w in words if w not in known})
-        pairs = [_pieces(w) for w in new]
+        pairs = [_pieces(w, added) for w in new]
         ids = pieces_of(pairs)
         fresh = {w: ids[a] + ids[b] for w, (a, b) in zip(new, pairs, strict=True)}
         if len(known) + len(fresh) <= CACHE_WORDS:
@@ -130,6 +168,13 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int, width: int, bounds
     return rows.mapInArrow(run, "shard int, doc_id long, ids binary")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with its scheme: a path without one is in Spark's default file
+    system, not on the disk of whichever machine opens it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _local(folder: str) -> str:
     return folder.removeprefix("file://") if folder.startswith("file://") else folder.removeprefix("file:")
 
@@ -179,6 +224,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, text: str =
     """Encode ``docs`` with the tokenizer file and write them to ``folder``;
     returns the manifest. ``shard_bytes``: text bytes for each shard, about."""
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     with open(tokenizer, encoding="utf-8") as f:
         model = f.read()
     from tokenizers import Tokenizer
@@ -236,6 +282,7 @@ def read(spark: SparkSession, folder: str, tokens: bool = False) -> DataFrame:
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(cols, names)
 
+    folder = qualified(spark, folder)
     rows = manifest(spark, folder)
     n = max(1, rows.count())
     return rows.repartition(n, "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * tokens)
