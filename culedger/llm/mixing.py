@@ -77,7 +77,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_EPOCHS, seed: int = 1
     base = parts.withColumn("base", F.coalesce(F.sum("part").over(order), F.lit(0)))
     base = base.join(by_source, base["source"].eqNullSafe(by_source["source"])).drop(by_source["source"])
     base = base.join(goals, base["source"].eqNullSafe(goals["source"])).drop(goals["source"]).drop("part")
-    inner = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", *(keep or {})).rowsBetween(Window.unboundedPreceding, -1)
     ranked = rows.withColumn("inner", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     b = base.alias("b")
     out = ranked.join(b, ranked["source"].eqNullSafe(F.col("b.source")) & (ranked["range"] == F.col("b.range"))).drop(F.col("b.source"), F.col("b.range"))
@@ -91,16 +91,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: float = MAX_EPOCHS, seed: int = 1
 def apply(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", source: str = "source", doc_id: str = "doc_id", **how) -> DataFrame:
     """The mixed corpus, with the columns of ``docs``: each document as often
     as the mix takes it, the last copy cut to the words that its source's
-    budget has left. Documents that the mix takes no word of go."""
-    plan = mix(docs, text=text, source=source, doc_id=doc_id, keep={"__key": F.xxhash64(doc_id, text, source)}, **how).where("taken > 0")
-    plan = plan.groupBy("__key").agg(F.collect_list(F.struct("size", "taken")).alias("__takes"))
-    rows = docs.withColumn("__key", F.xxhash64(doc_id, text, source)).join(plan, "__key").dropDuplicates(["__key"])
-    rows = rows.withColumn("__take", F.explode("__takes"))  # repeated rows, each with its own share
-    size, taken = F.col("__take.size"), F.col("__take.taken")
-    rows = rows.withColumn("__left", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(taken / size) - 1), lambda i: F.least(size, taken - i * size))))
-    short = F.concat_ws(" ", F.slice(F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("__left").cast("int")))
-    own = F.when(F.col("__left") < size, short).otherwise(F.col(text))
-    rows = rows.withColumn(text, own)
-    if n_chars in docs.columns:
-        rows = rows.withColumn(n_chars, F.length(text).cast(dict(docs.dtypes)[n_chars]))
-    return rows.select(docs.columns)
+    budget has left. Documents that the mix takes no word of go.
+
+    Rows are numbered in a table of their own first, so each keeps its own
+    columns whatever it shares with others."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, own, strict=True))
+    rows = materialize(docs.toDF(*own).withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    plan = mix(rows, text=at[text], source=at[source], doc_id=at[doc_id], keep={"row": F.col("row")}, **how).where("taken > 0").select("row", F.col("size").alias("size"), "taken")
+    rows = rows.join(plan, "row")
+    size, taken = F.col("size"), F.col("taken")
+    rows = rows.withColumn("left", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(taken / size) - 1), lambda i: F.least(size, taken - i * size))))
+    whole = F.col(at[text])
+    short = F.concat_ws(" ", F.slice(F.filter(F.split(whole, r"[\x20\x09-\x0D]+"), lambda w: w != ""), 1, F.col("left").cast("int")))
+    rows = rows.withColumn(at[text], F.when(F.col("left") < size, short).otherwise(whole))
+    if n_chars in at:
+        rows = rows.withColumn(at[n_chars], F.length(at[text]).cast(dict(docs.dtypes)[n_chars]))
+    return rows.select(own).toDF(*docs.columns)
