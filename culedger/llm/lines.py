@@ -8,8 +8,9 @@ every page there. Only built-in functions.
 Lines on a page are counted as rows (host, line hash) with a partial sum, so a
 host with a third of all pages, or a line on all of them, is a row for each map
 task. What is dropped on a host is a short list (each line of it is on at least
-``least`` pages and a fixed share of them); pages meet it on the host and a
-salt, so a large host is spread over ``salts`` tasks.
+``least`` pages and a fixed share of them) and a row; pages meet it by a join on
+the host, in which Spark broadcasts what is small and otherwise splits a large
+host over as many tasks as its size asks for.
 
 Nulls: a page without URL or host belongs to the host "". A null text has no
 lines. Lines are compared without blanks at either end; blank lines are kept
@@ -21,13 +22,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from culedger.llm.common import materialize
+from culedger.llm.common import let, materialize
 
 RATIO, LEAST = 0.1, 3
 #: Tags that end a line, tags whose content isn't text, and the
 #: entities that are put back as characters.
 BLOCKS = r"(?i)<(?:/?(?:p|div|h[1-6]|li|ul|ol|article|nav|footer|header|section|table|tr|td|title|html|body|head)|br)\b[^>]*>"
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<!doctype[^>]*>"
+#: What opens hidden content (behind ``<``), and what closes it.
+CLOSED = ((r"!--", "-->"), (r"script\b", "</script>"), (r"style\b", "</style>"))
+#: Private characters that mark an opening tag as never closed.
+MARK, KEPT = "\ue000", "\ue001"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 
@@ -36,11 +41,39 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _split(text: Column, head: str, body) -> Column:
+    """``body(head, rest)``: the text up to the last match of ``head``, and what
+    follows."""
+    def parts(t):
+        return let(F.regexp_extract(t, f"(?is)^.*{head}", 0), lambda h: body(h, F.substring(t, F.length(h) + 1, F.length(t))))
+
+    return let(text, parts)
+
+
+def _marked(text: Column, opens: str, closes: str) -> Column:
+    """``text`` with a mark in each opening tag that nothing closes."""
+    return _split(text, closes, lambda head, rest: F.concat(head, F.regexp_replace(rest, f"(?i)<(?={opens})", f"<{MARK}")))
+
+
+def _visible(html: Column) -> Column:
+    """``html`` without HIDDEN, in time that grows with its length only: a tag
+    that nothing closes would be searched to the page's end each time, so those
+    behind the last closing tag of their kind are marked first."""
+    text = F.replace(html, F.lit(MARK), F.lit(MARK + KEPT))
+    for opens, closes in CLOSED:
+        text = _marked(text, opens, closes)
+    shown = F.regexp_replace(text, HIDDEN, "")
+    return F.replace(F.regexp_replace(shown, f"{MARK}(?!{KEPT})", ""), F.lit(MARK + KEPT), F.lit(MARK))
+
+
 def html_lines(html: Column) -> Column:
     """The text lines of a page: one for each block of the markup."""
-    text = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, "")
-    text = F.regexp_replace(F.regexp_replace(text, r"[\r\n]+", " "), BLOCKS, "\n")
-    text = F.regexp_replace(text, "<[^>]*>", "")
+    def shown(head, rest):
+        # Behind the last ">" no tag ends, so none is looked for.
+        blocks = F.regexp_replace(F.regexp_replace(_visible(head), r"[\r\n]+", " "), BLOCKS, "\n")
+        return F.concat(F.regexp_replace(blocks, "<[^>]*>", ""), F.regexp_replace(rest, r"[\r\n]+", " "))
+
+    text = _split(F.coalesce(html, F.lit("")), ">", shown)
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
@@ -55,13 +88,12 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> D
     return counted.join(totals, "host").where(F.col("pages") > ratio * F.col("total"))
 
 
-def drop(pages: DataFrame, ratio: float = RATIO, least: int = LEAST, salts: int = 16, url: str = "url", html: str = "html", page_id: str = "page_id") -> DataFrame:
+def drop(pages: DataFrame, ratio: float = RATIO, least: int = LEAST, url: str = "url", html: str = "html", page_id: str = "page_id") -> DataFrame:
     """Rows (page_id, host, n_lines, n_dropped, kept), one for each page;
     ``kept`` are the lines left, joined by newlines."""
     rows = materialize(pages.select(F.col(page_id).alias("page_id"), host(F.col(url)).alias("host"), html_lines(F.col(html)).alias("lines")), "lines")
-    gone = boilerplate(rows, ratio, least).groupBy("host").agg(F.collect_set("line").alias("gone"))
-    gone = gone.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    met = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "lines"), F.lit(salts)).cast("int")).join(gone, ["host", "salt"], "left")
+    gone = materialize(boilerplate(rows, ratio, least).groupBy("host").agg(F.collect_set("line").alias("gone")), "boilerplate")
+    met = rows.join(gone, "host", "left")
     none = F.array().cast("array<string>")
     kept = F.filter("lines", lambda x: ~F.array_contains(F.coalesce("gone", none), x))
     out = met.withColumn("left", kept)
