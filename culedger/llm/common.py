@@ -60,6 +60,13 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def row_keys(*columns: Column) -> list[Column]:
+    """Two independent 64-bit hashes that tell rows apart by these columns;
+    nulls count, wherever they stand."""
+    marked = [x for c in columns for x in (c.isNull(), c)]
+    return [F.xxhash64(F.lit(seed), *marked) for seed in (1, 2)]
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))

@@ -37,11 +37,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from culedger.llm import arrays
-from culedger.llm.common import connected, materialize
+from culedger.llm.common import connected, materialize, row_keys
 
 #: Counters of the sketch, and the stripes that they are summed in.
 SKETCH_BITS, STRIPES = 18, 64
@@ -311,21 +311,22 @@ def _chunked(rows: DataFrame, member: str, chunk: int) -> DataFrame:
     return out.withColumn("c1", F.least("c", "o")).withColumn("c2", F.greatest("c", "o")).drop("parts", "c", "o", "m")
 
 
-def _row_key(doc_id: str, text: str):
-    return F.xxhash64(F.col(doc_id).cast("long"), F.col(text))
+def _keyed(docs: DataFrame, doc_id: str, text: str) -> list:
+    """The columns key and key2, which tell rows apart by id and text."""
+    return [c.alias(n) for c, n in zip(row_keys(F.col(doc_id).cast("long"), F.col(text)), ("key", "key2"), strict=True)]
 
 
 def classes(docs: DataFrame, size: int, share: int, fold: bool, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, key, class, n, prefix, and the signature) for each document;
+    """Rows (doc_id, key, key2, class, n, prefix, and the signature) for each document;
     class is null for a document without shingles. Written to the shared
     folder."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch(docs, size, fold, text))
 
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("level", pa.int32()), ("drawn", pa.int32()), ("bitmap", pa.binary()), ("drawn2", pa.int32()), ("bitmap2", pa.binary())])
+        schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("key2", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("prefix", pa.list_(pa.int64())), ("level", pa.int32()), ("drawn", pa.int32()), ("bitmap", pa.binary()), ("drawn2", pa.int32()), ("bitmap2", pa.binary())])
         counts = shared.value
         for b in batches:
-            for i, j, data, offs in arrays.groups(b.column(2)):
+            for i, j, data, offs in arrays.groups(b.column(3)):
                 ids, ns, prefixes, maps = [], [], [], []
                 for s in shingle_sets(data, offs, size, fold):
                     n = len(s)
@@ -336,10 +337,10 @@ def classes(docs: DataFrame, size: int, share: int, fold: bool, text: str = "tex
                     ns.append(n)
                     prefixes.append(head.view(np.int64))
                     maps.append(_signatures(s, share) if n else {})
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i), pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), *[pa.array([m.get(x) for m in maps], schema.field(x).type) for x in SIGNATURE]], schema=schema)
+                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, j - i) for k in range(3)], pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), *[pa.array([m.get(x) for m in maps], schema.field(x).type) for x in SIGNATURE]], schema=schema)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _row_key(doc_id, text).alias("key"), F.col(text).cast("binary").alias("text"))
-    return materialize(rows.mapInArrow(run, "doc_id long, key long, class long, n long, prefix array<long>, level int, drawn int, bitmap binary, drawn2 int, bitmap2 binary"), "sets")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *_keyed(docs, doc_id, text), F.col(text).cast("binary").alias("text"))
+    return materialize(rows.mapInArrow(run, "doc_id long, key long, key2 long, class long, n long, prefix array<long>, level int, drawn int, bitmap binary, drawn2 int, bitmap2 binary"), "sets")
 
 
 def candidates(reps: DataFrame, share: int, chunk: int) -> DataFrame:
@@ -415,9 +416,11 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, sha
     members = groups.withColumnRenamed("node", "class").join(reps.select("class", "rep", "n"), "class")
     many = members.groupBy("root").agg(F.sum("n").alias("m"))
     rows = _chunked(members.join(many, "root"), "class", tokens)
-    rows = rows.groupBy("class", "rep").agg(F.collect_list(F.struct("root", "c1", "c2")).alias("blocks"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    plain = rows.join(texts, F.col("rep").eqNullSafe(F.col("id"))).select("class", "blocks", "text")
+    rows = rows.groupBy("class", "rep").agg(F.collect_list(F.struct("root", "c1", "c2")).alias("blocks")).select("class", "blocks", "rep.key", "rep.key2")
+    # One of the rows that repeat an id and a text; the rest goes before it moves.
+    once = Window.partitionBy("key", "key2").orderBy("key")
+    texts = docs.select(*_keyed(docs, doc_id, text), F.col(text).cast("binary").alias("text")).withColumn("copy", F.row_number().over(once)).where("copy = 1")
+    plain = rows.join(texts, ["key", "key2"]).select("class", "blocks", "text")
 
     def hashed(batches):
         schema = pa.schema([("root", pa.int64()), ("c1", pa.int32()), ("c2", pa.int32()), ("class", pa.int64()), ("hashes", pa.binary())])
@@ -426,8 +429,6 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, sha
                 part = b.slice(i, j - i)
                 out, held = [], 0
                 for c, blocks, s in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), shingle_sets(data, offs, size, fold), strict=True):
-                    if not len(s) or _class_id(s) != c:
-                        continue  # a row that shares its id with the class's document
                     for x in blocks:
                         out.append({**x, "class": c, "hashes": s.tobytes()})
                         held += s.nbytes
@@ -443,15 +444,15 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, sha
 
 
 def components(docs: DataFrame, size: int, share: int, fold: bool, chunk: int, text: str, doc_id: str) -> DataFrame:
-    """Rows (doc_id, key, n_shingles, root) for each document; equal roots are
+    """Rows (doc_id, key, key2, n_shingles, root) for each document; equal roots are
     one component, and a null root is a document without shingles."""
     rows = classes(docs, size, share, fold, text, doc_id)
     named = rows.where("class is not null")
-    reps = materialize(named.groupBy("class").agg(F.min("doc_id").alias("rep"), *[F.first(x).alias(x) for x in ("n", "prefix", *SIGNATURE)]), "classes")
+    reps = materialize(named.groupBy("class").agg(F.min(F.struct("doc_id", "key", "key2")).alias("rep"), *[F.first(x).alias(x) for x in ("n", "prefix", *SIGNATURE)]), "classes")
     groups = connected(candidates(reps, share, chunk), "candidates")
     links = connected(verified(docs, reps, groups, size, share, fold, GROUP_TOKENS * chunk // 2048, text, doc_id), "links")
-    out = rows.select("doc_id", "key", "class", F.col("n").alias("n_shingles")).join(links, F.col("class") == F.col("node"), "left")
-    return out.select("doc_id", "key", "n_shingles", F.coalesce("root", "class").alias("root"))
+    out = rows.select("doc_id", "key", "key2", "class", F.col("n").alias("n_shingles")).join(links, F.col("class") == F.col("node"), "left")
+    return out.select("doc_id", "key", "key2", "n_shingles", F.coalesce("root", "class").alias("root"))
 
 
 def join(docs: DataFrame, size: int = 4, share: int = 85, fold: bool = True, chunk: int = 2048, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -469,9 +470,13 @@ def keep_one(docs: DataFrame, size: int = 4, share: int = 85, fold: bool = True,
     """One document of each component: the one with the smallest id, null ids
     last. Documents without shingles all stay."""
     rows = materialize(components(docs, size, share, fold, chunk, text, doc_id), "joined")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
-    kept = rows.where("root is not null").groupBy("root").agg(first).select(F.col("first.key").alias("__key"), F.lit(True).alias("__once"))
-    kept = kept.unionByName(rows.where("root is null").select(F.col("key").alias("__key"), F.lit(False).alias("__once")).distinct())
-    keyed = docs.withColumn("__key", _row_key(doc_id, text)).join(kept, "__key")
-    once = keyed.where("__once").dropDuplicates(["__key"])
-    return once.unionByName(keyed.where("not __once")).select(docs.columns)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key", "key2")).alias("first")
+    both = ["key", "key2"]
+    kept = rows.where("root is not null").groupBy("root").agg(first).select("first.key", "first.key2", F.lit(True).alias("once"))
+    kept = kept.unionByName(rows.where("root is null").select(*both, F.lit(False).alias("once")).distinct())
+    own = [f"c{i}" for i in range(len(docs.columns))]  # the input may use any name
+    at = dict(zip(docs.columns, own, strict=True))
+    wide = docs.toDF(*own)
+    keyed = wide.select(*own, *_keyed(wide, at[doc_id], at[text])).join(kept, both)
+    once = keyed.where("once").dropDuplicates(both)
+    return once.unionByName(keyed.where("not once")).select(own).toDF(*docs.columns)
