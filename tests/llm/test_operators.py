@@ -224,7 +224,7 @@ def test_lines_by_host_share(spark):
     rows = [(i, "https://user@A.example:80/x", page("Menu &amp; more", f"story {i}", "rare" if i < 2 else f"own {i}")) for i in range(30)]
     rows += [(100 + i, "http://b.example/", page("Menu &amp; more", f"b {i}")) for i in range(2)]
     rows += [(200, None, None), (201, "no host", "")]
-    got = {r["page_id"]: r for r in lines.drop(spark.createDataFrame(rows, "page_id long, url string, html string"), salts=3).collect()}
+    got = {r["page_id"]: r for r in lines.drop(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert len(got) == len(rows)
     assert got[0]["host"] == "a.example" and got[0]["n_lines"] == 3 and got[0]["n_dropped"] == 1 and got[0]["kept"] == "story 0\nrare"
     assert got[100]["n_dropped"] == 0 and got[100]["kept"].startswith("Menu & more")
