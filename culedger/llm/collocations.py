@@ -9,7 +9,7 @@ of its occurrences or more goes.
 
 1. Each task cuts its texts into shards (one language, some ``SHARD_WORDS``
    words), without a shuffle: a shard is the sequence of word ids with a break
-   between pieces, and a dictionary of its own. Texts are read once a level;
+   between pieces, and a dictionary of its own. Texts are read three times;
    only counts move.
 2. ``FMIndex`` sorts the shard's suffixes and reads off the Burrows-Wheeler
    transform of the sequence and of its reverse. An n-gram is an interval of
@@ -17,12 +17,14 @@ of its occurrences or more goes.
    transform that stand there, and the reverse's interval moves in step, so it
    can be extended to the right next. All intervals of a level are extended at
    once. Levels are depth-limited by the longest phrase.
-3. Shards' counts are summed in Spark, by language and words. Words come first,
-   then two-word phrases of words that are frequent in the whole corpus, then
-   three-word phrases whose two-word ends are: a phrase cannot occur more often
-   than what it holds, so nothing is lost. What is frequent reaches the shards
-   as a bit table of fixed size (``TABLE_BITS``); a wrong hit there costs a row
-   that the sum drops, never a phrase.
+3. Shards' counts are summed in Spark. Words come first. Two-word phrases of
+   frequent words are many and mostly rare, so they are summed by a 64-bit hash
+   next, as packed arrays of a hash range each; two hashes that meet only raise
+   a sum. Then phrases of two words with a sum of ``least`` or more, and of
+   three words whose two-word ends have one, are summed by their words: a phrase
+   cannot occur more often than what it holds, so nothing is lost. What is
+   frequent reaches the shards as a bit table of bounded size (``MOST_BITS``); a
+   wrong hit there costs a row that the last sum drops, never a phrase.
 4. Cuts, extensions and ranks are joins and aggregates over frequent phrases.
 
 Nulls: a null lang is ``und``, a null text has no words; blank pieces count
@@ -33,6 +35,7 @@ read. An empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,9 +51,12 @@ from culedger.llm.common import materialize
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 LONGEST = 3
 #: Words of a shard, about, at so many bytes a word.
-SHARD_WORDS, WORD_BYTES = 1_000_000, 6
-#: Bits of the table of what is frequent (2 MB), and the stripes it is merged in.
-TABLE_BITS, STRIPES = 24, 64
+SHARD_WORDS, WORD_BYTES = 500_000, 6
+#: A table of what is frequent has 2 to the power of these bits, by what it
+#: holds (2 to 128 MB), and is merged in stripes.
+LEAST_BITS, MOST_BITS, STRIPES = 24, 30, 64
+#: Words of the corpus for each range of hashes that pairs are summed in.
+RANGE_WORDS = 4_000_000
 SCALE = 1_000_000
 
 #: A byte that UTF-8 does not have marks the end of a piece.
@@ -156,8 +162,12 @@ class BiIndex:
     """An n-gram is an interval of the index and one of the reverse's."""
 
     def __init__(self, s: np.ndarray, depth: int = LONGEST):
+        self.s, self.depth = s, depth
         self.forward = FMIndex(s, depth)
-        self.backward = FMIndex(np.concatenate([s[:-1][::-1], s[-1:]]) if len(s) else s, depth)
+
+    @functools.cached_property
+    def backward(self) -> FMIndex:
+        return FMIndex(np.concatenate([self.s[:-1][::-1], self.s[-1:]]), self.depth)
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(symbol, low, count): one-word intervals, the same in both."""
@@ -189,10 +199,6 @@ class BiIndex:
 # What is frequent ------------------------------------------------------------------
 
 
-def _slots(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-
-
 def _hashes(words: pa.Array, lang: str) -> np.ndarray:
     data, offs = arrays.buffers(words)
     own, cut = arrays.buffers(pa.array([lang]))
@@ -205,36 +211,50 @@ def _paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return arrays.mix(a * np.uint64(arrays.BASE) + b)
 
 
-def table(frequent: DataFrame, names: list[str]) -> np.ndarray:
-    """A bit for each slot that a phrase (lang, names...) of ``frequent`` falls
-    in: an array of fixed size, merged in Spark."""
-    width = (1 << TABLE_BITS) // STRIPES // 8
+class Table:
+    """A bit for each slot that a hash falls in."""
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << TABLE_BITS, bool)
-        for b in batches:
-            langs = b.column(0).dictionary_encode()
-            for i, lang in enumerate(langs.dictionary.to_pylist()):
-                own = pa.array(np.flatnonzero(langs.indices.to_numpy(zero_copy_only=False) == i))
-                h = [_hashes(b.column(k + 1).take(own), lang) for k in range(len(names))]
-                bits[_slots(h[0] if len(h) == 1 else _paired(*h))] = True
-        packed = np.packbits(bits).reshape(STRIPES, width)
-        some = np.flatnonzero(packed.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([packed[i].tobytes() for i in some], pa.binary())], ["stripe", "bits"])
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.shift = bits, np.uint64(64 - (len(bits) * 8).bit_length() + 1)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes >> self.shift
+        return (self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _marked(hashes: DataFrame) -> Table:
+    """The table of the hashes (column h): an array of bounded size, merged in
+    Spark."""
+    count = hashes.count()
+    power = min(MOST_BITS, max(LEAST_BITS, (16 * count).bit_length()))
+    width = (1 << power) // 8 // STRIPES
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for b in batches:
-            for k, bits in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                own = np.frombuffer(bits, np.uint8)
-                total[k] = total[k] | own if k in total else own
+            slot = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - power)
+            stripe = (slot >> np.uint64(power - STRIPES.bit_length() + 1)).astype(np.int64)
+            for k in np.unique(stripe).tolist():
+                own = slot[stripe == k] & np.uint64(8 * width - 1)
+                bits = total.setdefault(k, np.zeros(width, np.uint8))
+                np.bitwise_or.at(bits, (own >> np.uint64(3)).astype(np.int64), (1 << (own & np.uint64(7))).astype(np.uint8))
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["stripe", "bits"])
 
-    schema = "stripe int, bits binary"
+    # A stripe is made in one task: 2 MB at most, whatever falls in it.
+    dealt = hashes.select("h").repartition(STRIPES, F.shiftrightunsigned("h", 64 - STRIPES.bit_length() + 1))
     out = np.zeros((STRIPES, width), np.uint8)
-    for r in frequent.select("lang", *names).mapInArrow(mark, schema).repartition("stripe").mapInArrow(merged, schema).collect():
+    for r in dealt.mapInArrow(merged, "stripe int, bits binary").collect():
         out[r["stripe"]] |= np.frombuffer(bytes(r["bits"]), np.uint8)
-    return np.unpackbits(out.ravel()).astype(bool)
+    return Table(out.ravel())
+
+
+def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        langs = b.column(0).dictionary_encode()
+        which = langs.indices.to_numpy(zero_copy_only=False)
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
+            own = b.column(1).take(pa.array(np.flatnonzero(which == i)))
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(own, lang).view(np.int64))], ["h"])
 
 
 # Counts of shards -------------------------------------------------------------------
@@ -256,39 +276,74 @@ def _word_counts(size: int):
     return run
 
 
-def _indexed(ids: np.ndarray, words: pa.Array, lang: str, common: np.ndarray) -> tuple[BiIndex, np.ndarray, np.ndarray]:
+def _indexed(ids: np.ndarray, words: pa.Array, lang: str, common: Table) -> tuple[BiIndex, np.ndarray, np.ndarray]:
     """The shard's index; rarer words are breaks, as no frequent phrase holds
     one. Also the words' hashes and which are common (by id)."""
     h = np.concatenate([np.zeros(1, np.uint64), _hashes(words, lang)])
-    wanted = common[_slots(h)]
+    wanted = common.has(h)
     wanted[0] = False
-    s = np.where(wanted[ids], ids, 0)
+    s = np.where(wanted[ids], ids, np.int32(0))
     # Breaks in a row are one.
     s = s[np.append(True, (s[1:] != 0) | (s[:-1] != 0))] if len(s) else s
-    s = np.append(s, 0).astype(np.int32)
-    return BiIndex(s), h, wanted
+    return BiIndex(np.append(s, np.int32(0))), h, wanted
 
 
-def _pair_counts(size: int, common: np.ndarray):
+def _pair_sums(size: int, common: Table, ranges: int):
+    """(range, hashes, counts): a shard's two-word phrases by ranges of their
+    hash, packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, ids, words in _shards(batches, size):
-            index, _, wanted = _indexed(ids, words, lang, common)
+            index, h, wanted = _indexed(ids, words, lang, common)
             first, second, count, _ = index.pairs(wanted)
-            yield from _counted(lang, [words.take(pa.array(x - 1)) for x in (first, second)], count)
+            key = _paired(h[first], h[second])
+            order = np.argsort(key)
+            key, count = key[order], np.minimum(count[order], 2**31 - 1).astype(np.int32)
+            cut = np.append(0, np.searchsorted(key, (np.arange(1, ranges, dtype=object) * 2**64 // ranges).astype(np.uint64))).tolist() + [len(key)]
+            some = [k for k in range(ranges) if cut[k] < cut[k + 1]]
+            packed = [pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in some], pa.binary()) for x in (key, count)]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *packed], ["range", "hashes", "counts"])
+
+    return run
+
+
+def _often(least: int):
+    """Hashes whose counts reach ``least``, of rows sorted by range."""
+    def total(keys: list, counts: list) -> pa.RecordBatch:
+        key, count = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(key)
+        key, count = key[order], count[order].astype(np.int64)
+        at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(key[at][np.add.reduceat(count, at) >= least].view(np.int64))], ["h"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, keys, counts = None, [], []
+        for b in batches:
+            for k, h, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if k != now and keys:
+                    yield total(keys, counts)
+                    keys, counts = [], []
+                now = k
+                keys.append(np.frombuffer(h.as_py(), np.uint64))
+                counts.append(np.frombuffer(n.as_py(), np.int32))
+        if keys:
+            yield total(keys, counts)
 
     return run
 
 
-def _triple_counts(size: int, common: np.ndarray, paired: np.ndarray):
+def _phrase_counts(size: int, common: Table, often: Table):
+    """Phrases of two words that are often, and of three whose ends are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, ids, words in _shards(batches, size):
             index, h, wanted = _indexed(ids, words, lang, common)
             pairs = index.pairs(wanted)
-            keep = paired[_slots(_paired(h[pairs[0]], h[pairs[1]]))]
+            keep = often.has(_paired(h[pairs[0]], h[pairs[1]]))
             pairs = tuple(x[keep] for x in pairs)
+            named = [words.take(pa.array(x - 1)) for x in pairs[:2]]
+            yield from _counted(lang, [*named, pa.nulls(len(pairs[0]), pa.string())], pairs[2])
             which, third, count = index.triples(pairs)
             first, second = pairs[0][which], pairs[1][which]
-            keep = paired[_slots(_paired(h[second], h[third]))]
+            keep = often.has(_paired(h[second], h[third]))
             yield from _counted(lang, [words.take(pa.array(x[keep] - 1)) for x in (first, second, third)], count[keep])
 
     return run
@@ -307,10 +362,13 @@ def counts(docs: DataFrame, least: int = 10, size: int = SHARD_WORDS) -> tuple[D
     every = materialize(summed(_word_counts(size), 1), "phrase-words")
     totals = every.groupBy("lang").agg(F.sum("n").alias("total"))
     one = every.where(F.col("n") >= least)
-    common = table(one, ["w1"])
-    two = materialize(summed(_pair_counts(size, common), 2).where(F.col("n") >= least), "phrase-pairs")
-    three = materialize(summed(_triple_counts(size, common, table(two, ["w1", "w2"])), 3).where(F.col("n") >= least), "phrase-triples")
-    return totals, one, two, three
+    common = _marked(one.select("lang", "w1").mapInArrow(_word_hashes, "h long"))
+    ranges = 1 + int(every.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS
+    packed = rows.mapInArrow(_pair_sums(size, common, ranges), "range int, hashes binary, counts binary")
+    sums = packed.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(_often(least), "h long")
+    often = _marked(materialize(sums, "phrase-hashes"))
+    phrases = materialize(summed(_phrase_counts(size, common, often), 3).where(F.col("n") >= least), "phrases")
+    return totals, one, phrases.where("w3 is null").drop("w3"), phrases.where("w3 is not null")
 
 
 # Scores ------------------------------------------------------------------------------
