@@ -427,3 +427,23 @@ ORACLE |= {
     "table_refresh": with_("SELECT * FROM s", *_table_runs()),
     "table_append": with_("SELECT * FROM t UNION ALL SELECT * FROM s", *_table_runs()),
 }
+
+
+def _write_counts() -> str:
+    rest = [c for c in SILVER_DETAIL_COLS if c not in K7]
+    differ = " OR ".join(f"s.{q(c)} IS DISTINCT FROM t.{q(c)}" for c in rest)
+    both = match("t", "s", K7_EQ, K7_NULL_SAFE)
+    return (
+        "SELECT (SELECT COUNT(*) FROM raw2) AS read_rows, (SELECT COUNT(*) FROM raw2) - (SELECT COUNT(*) FROM s) AS duplicates, "
+        f"(SELECT COUNT(*) FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE {both})) AS inserted, "
+        f"(SELECT COUNT(*) FROM s JOIN t ON {both} WHERE {differ}) AS updated, "
+        f"(SELECT COUNT(*) FROM m WHERE coalesce({HALF_FORMAT}, false)) AS deleted"
+    )
+
+
+ORACLE |= {
+    "table_merge_bucketed": ORACLE["table_merge_update"],
+    "table_write_counts": with_(
+        _write_counts(), *_table_runs(), f"raw2 AS (SELECT * FROM dn WHERE {run2()})", f"m AS ({upsert('t', 's', K7_EQ, K7_NULL_SAFE, 'update')})"
+    ),
+}

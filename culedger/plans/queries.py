@@ -125,10 +125,6 @@ def q_metrics_by_timepoint(spark, sf):
     return fx.silver_timepoints(spark, sf)
 
 
-def q_gold_capacities(spark, sf):
-    return gold.gold_capacities(fx.silver_capacities(spark, sf))
-
-
 def q_dedupe_latest(spark, sf):
     return dedupe_latest(fx.silver_detail(spark, sf), K7)
 
@@ -402,7 +398,6 @@ QUERIES: dict[str, Query] = {
     "cumulative_by_operation": q_cumulative_by_operation,
     "calendar": q_calendar,
     "metrics_by_timepoint": q_metrics_by_timepoint,
-    "gold_capacities": q_gold_capacities,
     # dedupe
     "dedupe_latest": q_dedupe_latest,
     "dedupe_any": q_dedupe_any,

@@ -9,28 +9,39 @@ table format.
   its staged copy (one value a day, bounded by the calendar) and become a
   literal partition predicate, NULL included: only those partitions are listed
   and read.
+- A merge compares keys in one shuffle: the guard that refuses a source which
+  repeats a key is a window on the partitioning that the join needs, so it
+  raises inside the job that finds what changed, before anything is written.
 - Insert-only merges append the rows that have no match. Updating merges
-  rewrite only the dates that hold a changed or new row; a merge that changes
-  nothing writes nothing.
-- What is rewritten is staged first, then replaces its partitions with a
-  dynamic partition overwrite, so the table is never read and overwritten by
-  the same job, and a merge that died half-way can simply be rerun. Staged
-  copies are removed when the call ends.
-- A merge whose source repeats a key is refused before anything is written.
+  rewrite only the dates that hold a changed or new row, and append where rows
+  are new only; a merge that changes nothing writes nothing. What is rewritten
+  replaces its partitions by a dynamic partition overwrite, an option of each
+  table, so sessions and threads need not agree on a setting: Spark writes the
+  new files aside and swaps folders when the job has ended, and a merge that
+  died half-way can simply be rerun.
+- Files are laid out by size: rows are rebalanced on ``Date``, so a large day is
+  cut over as many tasks as ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+  asks for and small days share one.
+- A table with ``buckets`` is bucketed on the ``=`` keys of its merges instead:
+  a merge joins on the buckets' own distribution, and the target is not
+  shuffled at all.
+- Each write returns a :class:`WriteReport` with counts that Spark observes
+  during the write.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from culedger.operators.dedupe import require_unique
-from culedger.operators.upsert import unmatched, upsert
 from culedger.session import work_path
 
 PARTITION_COL = "Date"
@@ -60,6 +71,31 @@ PARTITIONED = {
 }
 
 
+#: What the key of a merge is refused with.
+REPEATED = "merge source has duplicate keys"
+#: Shuffle partitions for each date of a rebalanced write: so many that a small
+#: date seldom shares one with a large date, which is cut up; Spark joins them.
+PARTITIONS_PER_DATE = 16
+#: Helper columns of a merge.
+_REST, _COPY, _OLD, _STATE = "_merge_rest", "_merge_copy", "_merge_old", "_merge_state"
+
+
+@dataclass
+class WriteReport:
+    """Rows that a write read, inserted, updated and deleted, as observed while
+    it ran (a task that Spark repeats may count twice; nothing is decided by
+    them)."""
+
+    read: int = 0
+    inserted: int = 0
+    updated: int = 0
+    deleted: int = 0
+    dates: list = field(default_factory=list)
+
+    def counts(self) -> dict:
+        return {"read": self.read, "inserted": self.inserted, "updated": self.updated, "deleted": self.deleted}
+
+
 def with_date(df: DataFrame) -> DataFrame:
     if PARTITION_COL in df.columns:
         return df
@@ -69,9 +105,16 @@ def with_date(df: DataFrame) -> DataFrame:
 class Lakehouse:
     """Silver/gold tables in the session catalog, stored under ``root``."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, database_prefix: str = "", files_per_date: int = 8):
+    def __init__(self, spark: SparkSession, root: str | None = None, database_prefix: str = "", buckets: Mapping[str, tuple[int, Sequence[str]]] | None = None):
+        """``buckets``: for tables that are to be bucketed when they are made,
+        the number of buckets and the columns (the ``=`` keys of their merges).
+        A bucket of a date is one file, so take a large day's bytes over the
+        bytes that a task should hold."""
         self.spark = spark
-        self.files_per_date = files_per_date
+        self.buckets = dict(buckets or {})
+        if self.buckets:
+            # A bucketed side keeps its distribution in joins on further keys.
+            spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
         self.root = (root or work_path(spark, "lakehouse")).rstrip("/")
         self.prefix = database_prefix
 
@@ -101,17 +144,36 @@ class Lakehouse:
     def is_partitioned(self, table: str) -> bool:
         return table in PARTITIONED
 
-    # Writes --------------------------------------------------------------------
+    # Layout --------------------------------------------------------------------
 
-    def _create(self, table: str, df: DataFrame, mode: str = "errorifexists") -> None:
-        w = df.write.format("parquet").option("path", self.path(table)).mode(mode)
+    def _writer(self, table: str, df: DataFrame, mode: str):
+        w = df.write.format("parquet").option("path", self.path(table)).option("partitionOverwriteMode", "dynamic").mode(mode)
         if self.is_partitioned(table):
             w = w.partitionBy(PARTITION_COL)
-        w.saveAsTable(self.name(table))
+        if table in self.buckets:
+            n, columns = self.buckets[table]
+            w = w.bucketBy(n, *columns)
+        return w
+
+    def _create(self, table: str, df: DataFrame, mode: str = "errorifexists") -> None:
+        self._writer(table, df, mode).saveAsTable(self.name(table))
 
     def _prepare(self, table: str, df: DataFrame) -> DataFrame:
         return with_date(df) if self.is_partitioned(table) else df
 
+    def _clustered(self, table: str, df: DataFrame, dates: int = 1) -> DataFrame:
+        """Rows as their files want them: a bucket in one task, or dates
+        rebalanced by size."""
+        if table in self.buckets:
+            n, columns = self.buckets[table]
+            return df.repartition(n, *columns)
+        if not self.is_partitioned(table):
+            return df
+        parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), PARTITIONS_PER_DATE * dates)
+        return df.hint("rebalance", parts, PARTITION_COL)
+
+    # Folders -------------------------------------------------------------------
+
     def _folder(self, path: str):
         """Hadoop file system and path of a folder of this lakehouse; refuses
         any folder that is not under its root."""
@@ -129,26 +191,36 @@ class Lakehouse:
             fs.delete(p, True)
 
     @contextmanager
-    def _staged(self, table: str, df: DataFrame, by_date: bool = False):
-        """``df`` written to a staging folder and read back with the same
-        schema (the lineage is cut at a shared copy); removed afterwards."""
+    def _staged(self, table: str, df: DataFrame):
+        """(``df`` written to a staging folder and read back with the same
+        schema, its number of rows and its dates): the lineage is cut at a
+        shared copy, which is removed afterwards. A staged copy is partitioned
+        by date where the table is."""
         path = self.staging(table)
-        w = df.write
-        if by_date:
-            w = w.partitionBy(PARTITION_COL)
+        parted = self.is_partitioned(table)
+        df, seen = self._observed(table, df)
+        w = df.write.partitionBy(PARTITION_COL) if parted else df.write
         try:
             w.parquet(path)
-            yield self.spark.read.schema(df.schema).parquet(path)
+            found = seen.get
+            yield self.spark.read.schema(df.schema).parquet(path), found["rows"], self._seen_dates(found)
         finally:
             self._delete_folder(path)
 
-    def _clustered(self, table: str, df: DataFrame) -> DataFrame:
-        """Rows of a date together, a large date over up to ``files_per_date``
-        tasks, so files do not grow as tasks times dates."""
-        if not self.is_partitioned(table):
-            return df
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(self.files_per_date))
-        return df.repartition(F.col(PARTITION_COL), salt)
+    # Counts --------------------------------------------------------------------
+
+    def _observed(self, table: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+        """``df`` with its rows counted and its dates gathered (a value a day)
+        as they pass."""
+        seen = Observation()
+        what = [F.count(F.lit(1)).alias("rows")]
+        if self.is_partitioned(table):
+            what += [F.collect_set(PARTITION_COL).alias("dates"), F.count_if(F.col(PARTITION_COL).isNull()).alias("undated")]
+        return df.observe(seen, *what), seen
+
+    @staticmethod
+    def _seen_dates(found: dict) -> list:
+        return sorted(found.get("dates") or []) + [None] * bool(found.get("undated"))
 
     @staticmethod
     def _dates(df: DataFrame) -> list:
@@ -165,6 +237,8 @@ class Lakehouse:
             keep = keep | F.col(PARTITION_COL).isNull()
         return df.filter(keep)
 
+    # Columns -------------------------------------------------------------------
+
     def _add_columns(self, table: str, df: DataFrame) -> None:
         """Additive evolution: columns that only ``df`` has join the table."""
         have = self.read(table).columns
@@ -179,46 +253,120 @@ class Lakehouse:
         fields = self.read(table).schema.fields
         return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
-    def overwrite(self, table: str, df: DataFrame, merge_schema: bool = True) -> None:
+    # Writes --------------------------------------------------------------------
+
+    def _insert(self, table: str, df: DataFrame, overwrite: bool, dates: int = 1, clustered: bool = False) -> dict:
+        """Append, or replace the partitions that ``df`` has rows in; ``df`` may
+        read the table. Returns what was observed."""
+        df = df.select(*self.read(table).columns)
+        df, seen = self._observed(table, df if clustered else self._clustered(table, df, dates))
+        df.write.insertInto(self.name(table), overwrite=overwrite)
+        self.spark.catalog.refreshTable(self.name(table))
+        return seen.get
+
+    def overwrite(self, table: str, df: DataFrame, merge_schema: bool = True) -> WriteReport:
         """Full refresh. With ``merge_schema``, columns the old table had and
         the new rows lack are kept as NULL (additive evolution)."""
         df = self._prepare(table, df)
         if not self.exists(table):
-            self._create(table, self._clustered(table, df))
-            return
+            return self._first(table, df)
         current = self.read(table).schema
         if merge_schema:
             for f in current.fields:
                 if f.name not in df.columns:
                     df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-        if not self.is_partitioned(table):
-            self._replace(table, df)
-            return
         same = all(f.name in df.columns and df.schema[f.name].dataType == f.dataType for f in current.fields)
-        with self._staged(table, df) as staged:
-            if not same:  # columns dropped or retyped: the definition changes too
-                self.spark.sql(f"DROP TABLE {self.name(table)}")
-                self._create(table, staged, mode="overwrite")
-                return
-            self._add_columns(table, staged)
-            kept = set(self._dates(staged))
-            gone = [d for d in self._dates(self.read(table)) if d not in kept]
-            self._overwrite_partitions(table, self._shaped(table, staged))
-        self._drop_dates(table, gone)
-
-    def append(self, table: str, df: DataFrame, merge_schema: bool = True) -> None:
+        if not (same and self.is_partitioned(table)):
+            df, seen = self._observed(table, df)
+            self._replace(table, df)
+            found = seen.get
+            return WriteReport(read=found["rows"], inserted=found["rows"], dates=self._seen_dates(found))
+        self._add_columns(table, df)
+        before = self._dates(self.read(table))
+        found = self._insert(table, self._shaped(table, df), True, len(before) + 1)
+        kept = self._seen_dates(found)
+        self._drop_dates(table, [d for d in before if d not in kept])
+        return WriteReport(read=found["rows"], inserted=found["rows"], dates=kept)
+
+    def _first(self, table: str, df: DataFrame) -> WriteReport:
+        df, seen = self._observed(table, self._clustered(table, df))
+        self._create(table, df)
+        found = seen.get
+        return WriteReport(read=found["rows"], inserted=found["rows"], dates=self._seen_dates(found))
+
+    def append(self, table: str, df: DataFrame, merge_schema: bool = True) -> WriteReport:
         """Append rows (create on first write). With ``merge_schema``, columns
         new in ``df`` are added to the table first (additive evolution);
         columns ``df`` lacks are appended as NULL."""
         df = self._prepare(table, df)
         if not self.exists(table):
-            self._create(table, self._clustered(table, df))
-            return
+            return self._first(table, df)
         added = [c for c in df.columns if c not in self.read(table).columns]
         if added and not merge_schema:
             raise ValueError(f"columns {added} are not in {table}")
         self._add_columns(table, df)
-        self._clustered(table, self._shaped(table, df)).write.insertInto(self.name(table))
+        found = self._insert(table, self._shaped(table, df), False)
+        return WriteReport(read=found["rows"], inserted=found["rows"], dates=self._seen_dates(found))
+
+    # Merge ---------------------------------------------------------------------
+
+    def _keyed(self, table: str, source: DataFrame, eq_keys: Sequence[str], null_safe_keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+        """(``source`` with the rest of its key as one column, the columns to
+        join on). The null-safe keys become one struct: a struct is not null,
+        and nulls inside structs are equal. Rows of one key raise if there is a
+        second, on the partitioning that a join on the same columns uses."""
+        on = [*eq_keys, *([_REST] if null_safe_keys else [])]
+        if null_safe_keys:
+            source = source.withColumn(_REST, F.struct(*null_safe_keys))
+        if table in self.buckets and set(self.buckets[table][1]) <= set(eq_keys):
+            n, columns = self.buckets[table]
+            source = source.repartition(n, *columns)
+        known = F.lit(True)
+        for k in eq_keys:
+            known = known & F.col(k).isNotNull()
+        copy = F.row_number().over(Window.partitionBy(*on).orderBy(*on))
+        names = ", ".join([*eq_keys, *null_safe_keys])
+        shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in [*eq_keys, *null_safe_keys]])
+        refuse = F.raise_error(F.concat(F.lit(f"{REPEATED} [{names}]: "), shown))
+        checked = source.withColumn(_COPY, copy).filter(F.when(known & (F.col(_COPY) > 1), refuse).otherwise(F.lit(True)))
+        return checked.drop(_COPY), on
+
+    @staticmethod
+    @contextmanager
+    def _refusing():
+        """A refused key as a ValueError."""
+        try:
+            yield
+        except PySparkException as ex:
+            at = str(ex).find(REPEATED)
+            if at < 0:
+                raise
+            raise ValueError(str(ex)[at:].split("SQLSTATE")[0].strip()) from ex
+
+    def changes(self, table: str, rows: DataFrame, target: DataFrame, eq_keys: Sequence[str], null_safe_keys: Sequence[str] = ()) -> DataFrame:
+        """Rows (Date, inserted, updated): for each date of the merge source
+        ``rows``, how many rows are new in ``target`` and how many differ from
+        the row they match. Repeated keys raise."""
+        checked, on = self._keyed(table, rows, eq_keys, null_safe_keys)
+        old = target.withColumn(_REST, F.struct(*null_safe_keys)) if null_safe_keys else target
+        rest = [c for c in rows.columns if c not in on]
+        old = old.select(*on, F.struct(*rest).alias(_OLD))
+        joined = checked.join(old, on, "left")
+        alike = F.col(_OLD) == F.struct(*rest)
+        state = F.when(F.col(_OLD).isNull(), "new").when(~alike, "changed")
+        date = F.col(PARTITION_COL) if self.is_partitioned(table) else F.lit(None).cast("date").alias(PARTITION_COL)
+        out = joined.select(date, state.alias(_STATE)).groupBy(PARTITION_COL)
+        return out.agg(F.count_if(F.col(_STATE) == "new").alias("inserted"), F.count_if(F.col(_STATE) == "changed").alias("updated"))
+
+    def merged(self, table: str, target: DataFrame, rows: DataFrame, eq_keys: Sequence[str], null_safe_keys: Sequence[str] = (), when_matched: str = "update") -> DataFrame:
+        """What the merge writes: the target rows that ``rows`` leaves and all of
+        ``rows`` (update), or the rows that no target row matches (insert)."""
+        checked, on = self._keyed(table, rows, eq_keys, null_safe_keys)
+        old = target.withColumn(_REST, F.struct(*null_safe_keys)) if null_safe_keys else target
+        if when_matched == "insert":
+            return checked.join(old.select(*on), on, "left_anti").select(*rows.columns)
+        kept = old.join(checked.select(*on), on, "left_anti")
+        return kept.select(*rows.columns).unionByName(checked.select(*rows.columns))
 
     def merge(
         self,
@@ -227,52 +375,47 @@ class Lakehouse:
         eq_keys: Sequence[str],
         null_safe_keys: Sequence[str] = (),
         when_matched: str = "update",
-    ) -> None:
+    ) -> WriteReport:
         """Keyed upsert of ``source`` into ``table`` (created if missing).
         Columns that only the source has are added to the table; a source that
         repeats a key (NULL in an ``=`` key matches nothing and may repeat)
-        raises before anything is written."""
+        raises ValueError before anything is written."""
         source = self._prepare(table, source)
         parted = self.is_partitioned(table)
-        # The source feeds the guard, the date list and the joins: written
-        # once, an expensive source plan runs once.
-        with self._staged(table, source, by_date=parted) as staged:
-            keyed = staged
-            for k in eq_keys:
-                keyed = keyed.filter(F.col(k).isNotNull())
-            require_unique(keyed, [*eq_keys, *null_safe_keys])
+        # The source feeds the search for changes and the write: written once,
+        # an expensive source plan runs once.
+        with self._staged(table, source) as (staged, read, dates), self._refusing():
             if not self.exists(table):
-                self._create(table, self._clustered(table, staged))
-                return
-            self._add_columns(table, staged)
+                checked, _ = self._keyed(table, staged, eq_keys, null_safe_keys)
+                made = self._first(table, checked.select(*staged.columns))
+                return WriteReport(read=read, inserted=made.inserted, dates=dates)
+            if [c for c in staged.columns if c not in self.read(table).columns]:
+                # The definition changes before the write does: look first.
+                keyed = staged.dropna(subset=list(eq_keys))
+                require_unique(keyed, [*eq_keys, *null_safe_keys])
+                self._add_columns(table, staged)
             rows = self._shaped(table, staged)
-            target = self.read(table)
-            if parted:
-                target = self.on_dates(target, self._dates(rows))
-            if when_matched == "insert":
-                new = unmatched(rows, target, eq_keys, null_safe_keys)
-                if parted:
-                    with self._staged(table, new) as fresh:
-                        if not fresh.isEmpty():
-                            self._clustered(table, fresh).write.insertInto(self.name(table))
-                elif not new.isEmpty():
-                    self._replace(table, target.unionByName(new))
-                return
-            # New, or unlike the row they replace; a NULL in an ``=`` key
-            # matches nothing, so such rows are always new.
-            null_key = F.lit(False)
-            for k in eq_keys:
-                null_key = null_key | F.col(k).isNull()
-            changed = rows.filter(null_key).unionByName(unmatched(rows.filter(~null_key), target, (), rows.columns))
+            target = self.on_dates(self.read(table), dates) if parted else self.read(table)
+            if when_matched == "insert" and parted:
+                new = self.merged(table, target, rows, eq_keys, null_safe_keys, "insert")
+                found = self._insert(table, new, False, len(dates), table in self.buckets)
+                return WriteReport(read=read, inserted=found["rows"], dates=self._seen_dates(found))
+            found = self.changes(table, rows, target, eq_keys, null_safe_keys).collect()  # a row a date
+            done = WriteReport(read=read, inserted=sum(r["inserted"] for r in found), updated=sum(r["updated"] for r in found) * (when_matched == "update"))
+            done.dates = [r[PARTITION_COL] for r in found if r["inserted"] or r["updated"]] if parted else []
+            if not done.inserted and not done.updated:
+                return done
             if not parted:
-                if not changed.isEmpty():
-                    self._replace(table, upsert(target, rows, eq_keys, null_safe_keys))
-                return
-            dates = self._dates(changed)
-            if dates:
-                merged = upsert(self.on_dates(target, dates), self.on_dates(rows, dates), eq_keys, null_safe_keys)
-                with self._staged(table, merged) as whole:
-                    self._overwrite_partitions(table, whole)
+                new = self.merged(table, target, rows, eq_keys, null_safe_keys, when_matched)
+                self._replace(table, target.unionByName(new) if when_matched == "insert" else new)
+                return done
+            own = table in self.buckets
+            if not done.updated:
+                self._insert(table, self.merged(table, target, rows, eq_keys, null_safe_keys, "insert"), False, len(done.dates), own)
+                return done
+            new = self.merged(table, self.on_dates(target, done.dates), self.on_dates(rows, done.dates), eq_keys, null_safe_keys)
+            self._insert(table, new, True, len(done.dates), own)
+            return done
 
     def location(self, table: str) -> str:
         """The folder the catalog currently points ``table`` at."""
@@ -280,29 +423,32 @@ class Lakehouse:
         return rows[0][1] if rows else self.path(table)
 
     def _replace(self, table: str, df: DataFrame) -> None:
-        """New contents for an existing non-partitioned table, swapped in
-        without a moment where the table is missing.
+        """New contents for an existing table, swapped in as a whole.
 
         ``df`` may read the table itself: it is written to a fresh version
-        folder, never over the files it reads. One catalog update then points
-        the table at that folder. A job that dies before the swap leaves the
-        table exactly as it was. The folder before stays for readers that are
-        still on it; :meth:`remove_old_versions` deletes such folders.
+        folder, never over the files it reads. Only then the catalog changes: it
+        points the table at that folder, or, where columns were dropped or
+        retyped, defines it anew there. A job that dies before leaves the table
+        exactly as it was, and no step deletes a file. The folder before stays
+        for readers that are still on it; :meth:`remove_old_versions` deletes
+        such folders.
         """
         name = self.name(table)
         current = self.read(table).schema
         new_path = f"{self.path(table)}-v{uuid.uuid4().hex[:12]}"
         added = [f.name for f in df.schema.fields if f.name not in current.fieldNames()]
-        if all(f.name in df.columns and df.schema[f.name].dataType == f.dataType for f in current.fields):
+        same = all(f.name in df.columns and df.schema[f.name].dataType == f.dataType for f in current.fields)
+        if same and not self.is_partitioned(table):
             df.select(*current.fieldNames(), *added).write.parquet(new_path)
             self._add_columns(table, df)
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_path}'")
         else:
-            # Columns dropped or retyped: the definition changes too. The new
-            # files are complete before the (metadata-only) re-definition.
-            df.write.parquet(new_path)
+            # Written as a table of its own first, so files, buckets and
+            # partitions are known to the catalog before the names change.
+            fresh = f"{name}_{uuid.uuid4().hex[:12]}"
+            self._writer(table, self._clustered(table, df), "errorifexists").option("path", new_path).saveAsTable(fresh)
             self.spark.sql(f"DROP TABLE {name}")
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{new_path}'")
+            self.spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
         self.spark.catalog.refreshTable(name)
 
     def remove_old_versions(self, table: str) -> list[str]:
@@ -331,49 +477,60 @@ class Lakehouse:
         if dates:
             self.spark.catalog.refreshTable(name)
 
-    def _overwrite_partitions(self, table: str, staged: DataFrame) -> None:
-        """Replace exactly the partitions present in ``staged`` (dynamic
-        partition overwrite), restoring the session's mode afterwards."""
-        key = "spark.sql.sources.partitionOverwriteMode"
-        old = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic")
-        try:
-            self._clustered(table, staged).write.mode("overwrite").insertInto(self.name(table), overwrite=True)
-        finally:
-            self.spark.conf.set(key, old)
-        self.spark.catalog.refreshTable(self.name(table))
-
-    def delete_where(self, table: str, predicate) -> None:
+    def delete_where(self, table: str, predicate) -> WriteReport:
         """``DELETE FROM table WHERE predicate`` for rows where it is true. One
         pass counts hits by date; only dates with hits are rewritten, and dates
         without a row left are emptied."""
         if not self.exists(table):
-            return
+            return WriteReport()
         df = self.read(table)
         hit = F.coalesce(predicate, F.lit(False))
         if not self.is_partitioned(table):
-            if not df.filter(hit).isEmpty():
+            hits = df.filter(hit).count()
+            if hits:
                 self._replace(table, df.filter(~hit))
-            return
+            return WriteReport(deleted=hits)
         found = df.groupBy(PARTITION_COL).agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("rows")).filter("hits > 0").collect()
         some = [r[PARTITION_COL] for r in found if r["hits"] < r["rows"]]
         if some:
-            with self._staged(table, self.on_dates(df, some).filter(~hit)) as staged:
-                self._overwrite_partitions(table, staged)
+            self._insert(table, self.on_dates(df, some).filter(~hit), True, len(some))
         self._drop_dates(table, [r[PARTITION_COL] for r in found if r["hits"] == r["rows"]])
+        return WriteReport(deleted=sum(r["hits"] for r in found), dates=[r[PARTITION_COL] for r in found])
 
     # Maintenance ---------------------------------------------------------------
 
-    def compact(self, table: str) -> None:
-        """Rewrite a table with at most ``files_per_date`` files for each date
-        (the small-file clean-up the reference gets from OPTIMIZE); a large day
-        is written by as many tasks. Data is unchanged."""
-        df = self.read(table)
+    def layout(self, table: str) -> DataFrame:
+        """Rows (Date, files, bytes): what each date is stored in. Reads no
+        column, only where rows are."""
+        meta = self.read(table).select(F.col(PARTITION_COL) if self.is_partitioned(table) else F.lit(None).cast("date").alias(PARTITION_COL), "_metadata.file_path", "_metadata.file_size").distinct()
+        return meta.groupBy(PARTITION_COL).agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"))
+
+    def compact(self, table: str, file_bytes: int | None = None, slack: int = 2) -> list:
+        """Rewrite the dates that lie in more than ``slack`` times the files that
+        their bytes need (the small-file clean-up the reference gets from
+        OPTIMIZE), laid out by size as every write is; a date that is well laid
+        out is left alone. Returns the dates. Data is unchanged."""
+        want = file_bytes or self._advised_bytes()
+        own = self.buckets[table][0] if table in self.buckets else 1
+        need = F.greatest(F.ceil(F.col("bytes") / want), F.lit(own))
+        found = [r[PARTITION_COL] for r in self.layout(table).filter(F.col("files") > slack * need).collect()]  # a row a date
+        if not found:
+            return []
         if not self.is_partitioned(table):
-            self._replace(table, df.repartition(self.files_per_date, *df.columns))
-            return
-        with self._staged(table, df) as staged:
-            self._overwrite_partitions(table, staged)
+            self._replace(table, self.read(table).hint("rebalance"))
+            return found
+        self._insert(table, self.on_dates(self.read(table), found), True, len(found))
+        return found
+
+    def _advised_bytes(self) -> int:
+        key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        return int(self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(self.spark.conf.get(key, "64m")))
+
+    def drop_all(self) -> None:
+        """Drop this lakehouse's tables and schemas, and its folder."""
+        for schema in (SILVER_SCHEMA, GOLD_SCHEMA):
+            self.spark.sql(f"DROP SCHEMA IF EXISTS {self.prefix}{schema} CASCADE")
+            self._delete_folder(f"{self.root}/{self.prefix}{schema}")
 
     def analyze(self, table: str) -> None:
         """``ANALYZE TABLE ... COMPUTE STATISTICS`` (row count and size feed the

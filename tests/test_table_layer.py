@@ -162,3 +162,143 @@ def test_appended_files_are_seen_in_the_same_session(spark, scratch_dir):
     before = fx.operations(spark, scratch_dir).count()
     spark.read.parquet(f"{SF0001}/events.parquet").limit(50).write.mode("append").parquet(f"{scratch_dir}/events.parquet")
     assert fx.operations(spark, scratch_dir).count() == before + 50
+
+
+# Layout ------------------------------------------------------------------------
+
+
+def day_files(lh, table):
+    return {str(r["Date"]): r["files"] for r in lh.layout(table).collect()}
+
+
+@pytest.fixture()
+def small_files(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    yield
+    spark.conf.set(key, before)
+
+
+def skewed(spark, n=60_000):
+    """Nine of ten rows lie on one date, the others on 20."""
+    day = F.when(F.col("id") % 10 != 0, 0).otherwise(1 + F.floor(F.col("id") / 10) % 20)
+    at = F.expr("timestamp_ntz'2024-01-01 08:00:00'") + F.make_dt_interval(day.cast("int"), F.lit(0), F.lit(0), (F.col("id") / 1000).cast("decimal(10,3)"))
+    return spark.range(0, n, 1, 24).select(F.sha2(F.col("id").cast("string"), 256).alias("CapacityId"), at.alias("TimePoint"), F.rand(7).alias("v"))
+
+
+def test_files_follow_the_size_of_a_date(lh, spark, small_files):
+    lh.append(T.SILVER_TIMEPOINTS, skewed(spark))
+    n = day_files(lh, T.SILVER_TIMEPOINTS)
+    hot = n.pop("2024-01-01")
+    assert hot >= 10 and len(n) == 20 and sum(n.values()) <= 2 * len(n), (hot, n)
+    # an updating merge and a refresh lay out what they rewrite alike
+    lh.merge(T.SILVER_TIMEPOINTS, skewed(spark).withColumn("v", F.lit(1.0)), TIMEPOINT_KEY, (), "update")
+    n = day_files(lh, T.SILVER_TIMEPOINTS)
+    assert n["2024-01-01"] >= 6 and sum(n.values()) - n["2024-01-01"] <= 40
+    assert lh.read(T.SILVER_TIMEPOINTS).filter("v = 1.0").count() == 60_000
+
+
+def test_compaction_rewrites_only_dates_in_too_many_files(lh, spark, small_files):
+    lh.append(T.SILVER_TIMEPOINTS, skewed(spark, 30_000))
+    before = files(lh.root)
+    assert lh.compact(T.SILVER_TIMEPOINTS) == [] and files(lh.root) == before
+    for i in range(8):
+        lh.append(T.SILVER_TIMEPOINTS, points(spark, (f"C{i}", 3, i)))
+    count = lh.read(T.SILVER_TIMEPOINTS).count()
+    assert [str(d) for d in lh.compact(T.SILVER_TIMEPOINTS)] == ["2024-01-03"]
+    assert day_files(lh, T.SILVER_TIMEPOINTS)["2024-01-03"] <= 2 and lh.read(T.SILVER_TIMEPOINTS).count() == count
+    assert [f for f in before if "2024-01-03" not in f] == [f for f in files(lh.root) if "2024-01-03" not in f]
+
+
+# Merge -------------------------------------------------------------------------
+
+
+def explained(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def under(plan, first):
+    """The lines of the plan below the join's first side."""
+    lines = plan.splitlines()
+    at = next(i for i, x in enumerate(lines) if first in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    side = [lines[at + 1]]
+    for x in lines[at + 2 :]:
+        if depth(x) <= depth(lines[at + 1]):
+            break
+        side.append(x)
+    return "\n".join(side)
+
+
+def test_a_bucketed_target_is_not_shuffled(spark, scratch_dir):
+    keys = (["CapacityId", "TimePoint"], ["Unique_key", "Operation", "Operation_Id", "Operation_start_time", "Operation_end_time"])
+    lh = T.Lakehouse(spark, root=scratch_dir, database_prefix=f"b{uuid.uuid4().hex[:8]}_", buckets={T.GOLD_TP_METRICS: (4, keys[0])})
+    lh.create_schemas()
+    g = gold.gold_standard_source(fx.silver_detail(spark, SF0001))
+    lh.merge(T.GOLD_TP_METRICS, g, *keys, "insert")
+    source = g.filter("SumDuration_s > 40").withColumn("SumTotal_CU_s", F.lit(-1.0))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        with lh._staged(T.GOLD_TP_METRICS, T.with_date(source)) as (staged, _, dates):
+            target = lh.on_dates(lh.read(T.GOLD_TP_METRICS), dates)
+            plan = explained(lh.merged(T.GOLD_TP_METRICS, target, staged, *keys))
+            side = under(plan, "SortMergeJoin")
+            assert "Bucketed: true" in side and "Exchange" not in side, plan
+            assert "Exchange" not in plan.split("SortMergeJoin")[0], plan  # nor is what the merge writes
+            plan = explained(lh.changes(T.GOLD_TP_METRICS, staged, target, *keys))
+            assert plan.count("Exchange") == 2 and "Bucketed: true" in plan, plan  # the source, and counts by date
+        done = lh.merge(T.GOLD_TP_METRICS, source, *keys, "update")
+    finally:
+        spark.conf.set(key, before)
+    assert done.updated == source.count() and done.inserted == 0
+    after = lh.read(T.GOLD_TP_METRICS)
+    assert after.count() == g.count() and after.filter("SumTotal_CU_s = -1.0").count() == source.count()
+
+
+def test_the_guard_is_part_of_the_merge(lh, spark):
+    lh.merge(T.SILVER_TIMEPOINTS, points(spark, ("A", 1, 1), ("B", 2, 2)), TIMEPOINT_KEY, (), "update")
+    rows_ = T.with_date(points(spark, ("A", 1, 5)))
+    plan = explained(lh.changes(T.SILVER_TIMEPOINTS, rows_, lh.read(T.SILVER_TIMEPOINTS), TIMEPOINT_KEY))
+    assert "raise_error" in plan and plan.count("Window ") == 1
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(source):
+        group = uuid.uuid4().hex
+        spark.sparkContext.setJobGroup(group, "merge")
+        try:
+            lh.merge(T.SILVER_TIMEPOINTS, source, TIMEPOINT_KEY, (), "insert")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    before = files(lh.root)
+    with pytest.raises(ValueError, match="duplicate keys .CapacityId, TimePoint.: A, 2024-01-01"):
+        lh.merge(T.SILVER_TIMEPOINTS, points(spark, ("A", 1, 2), ("A", 1, 3)), TIMEPOINT_KEY, (), "insert")
+    assert files(lh.root) == before
+    # staging, and the one job that checks, compares and writes (with its shuffles)
+    assert jobs(points(spark, ("C", 1, 2))) <= 5
+
+
+def test_writes_report_what_they_did(lh, spark):
+    first = lh.merge(T.SILVER_TIMEPOINTS, points(spark, ("A", 1, 1), ("A", None, 2), ("B", 2, 3)), TIMEPOINT_KEY, (), "update")
+    assert first.counts() == {"read": 3, "inserted": 3, "updated": 0, "deleted": 0}
+    done = lh.merge(T.SILVER_TIMEPOINTS, points(spark, ("A", 1, 9), ("B", 2, 3), ("A", None, 2), ("C", 3, 4)), TIMEPOINT_KEY, (), "update")
+    assert done.counts() == {"read": 4, "inserted": 2, "updated": 1, "deleted": 0} and len(done.dates) == 3
+    assert lh.merge(T.SILVER_TIMEPOINTS, points(spark, ("A", 1, 5), ("D", 1, 1)), TIMEPOINT_KEY, (), "insert").counts() == {"read": 2, "inserted": 1, "updated": 0, "deleted": 0}
+    assert lh.delete_where(T.SILVER_TIMEPOINTS, F.col("v") < 4).deleted == 4
+    assert got(lh) == [("A", 1, 9.0), ("C", 3, 4.0)]
+
+
+def test_a_failed_redefinition_loses_nothing(lh, spark):
+    lh.append(T.SILVER_TIMEPOINTS, points(spark, ("A", 1, 1), ("B", None, 2)))
+    bad = points(spark, ("A", 1, 1), ("C", 2, 2)).select("CapacityId", "TimePoint", F.when(F.col("v") < 2, F.col("v").cast("string")).otherwise(F.raise_error(F.lit("broken")).cast("string")).alias("v"))
+    with pytest.raises(Exception, match="broken"):
+        lh.overwrite(T.SILVER_TIMEPOINTS, bad)
+    assert got(lh) == sorted([("A", 1, 1.0), ("B", None, 2.0)], key=str)
+    lh.overwrite(T.SILVER_TIMEPOINTS, lh.read(T.SILVER_TIMEPOINTS).select("CapacityId", "TimePoint", F.concat(F.lit("x"), "v").alias("v")))
+    assert sorted(r["v"] for r in lh.read(T.SILVER_TIMEPOINTS).collect()) == ["x1.0", "x2.0"]
+    lh.merge(T.SILVER_TIMEPOINTS, points(spark, ("A", 1, 1)).select("CapacityId", "TimePoint", F.lit("y").alias("v")), TIMEPOINT_KEY, (), "update")
+    assert sorted(r["v"] for r in lh.read(T.SILVER_TIMEPOINTS).collect()) == ["x2.0", "y"]
