@@ -18,11 +18,12 @@ of its occurrences or more goes.
    can be extended to the right next. All intervals of a level are extended at
    once. Levels are depth-limited by the longest phrase.
 3. Shards' counts are summed in Spark. Words come first. Two-word phrases of
-   frequent words are many and mostly rare, so they are summed by a 64-bit hash
-   next, as packed arrays of a hash range each; two hashes that meet only raise
-   a sum. Then phrases of two words with a sum of ``least`` or more, and of
-   three words whose two-word ends have one, are summed by their words: a phrase
-   cannot occur more often than what it holds, so nothing is lost. What is
+   frequent words are many and mostly rare, so they are summed by a hash next,
+   as packed arrays of a hash range each; two hashes that meet only raise a
+   sum. Then phrases of two words with a sum of ``least`` or more, and of
+   three words whose two-word ends have one, are summed by their words, packed
+   alike: a phrase cannot occur more often than what it holds, so nothing is
+   lost. What is
    frequent reaches the shards as a bit table of bounded size (``MOST_BITS``); a
    wrong hit there costs a row that the last sum drops, never a phrase.
 4. Cuts, extensions and ranks are joins and aggregates over frequent phrases.
@@ -55,8 +56,9 @@ SHARD_WORDS, WORD_BYTES = 500_000, 6
 #: A table of what is frequent has 2 to the power of these bits, by what it
 #: holds (2 to 128 MB), and is merged in stripes.
 LEAST_BITS, MOST_BITS, STRIPES = 24, 30, 64
-#: Words of the corpus for each range of hashes that pairs are summed in.
-RANGE_WORDS = 4_000_000
+#: Words of the corpus for each range of hashes that phrases are summed in, and
+#: the bytes that tell hashes of a range apart.
+RANGE_WORDS, KEY_BYTES = 4_000_000, 5
 SCALE = 1_000_000
 
 #: A byte that UTF-8 does not have marks the end of a piece.
@@ -248,6 +250,13 @@ def _marked(hashes: DataFrame) -> Table:
     return Table(out.ravel())
 
 
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        own, key = (b.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+        h = arrays.mix(key.view(np.uint64) | own.astype(np.uint64) << np.uint64(8 * KEY_BYTES))
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+
 def _word_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         langs = b.column(0).dictionary_encode()
@@ -288,6 +297,23 @@ def _indexed(ids: np.ndarray, words: pa.Array, lang: str, common: Table) -> tupl
     return BiIndex(np.append(s, np.int32(0))), h, wanted
 
 
+def _cuts(ascending: np.ndarray, ranges: int) -> list[int]:
+    """Where each of ``ranges`` equal ranges of 64 bits begins, and the end."""
+    at = (np.arange(1, ranges, dtype=object) * 2**64 // ranges).astype(np.uint64)
+    return [0, *np.searchsorted(ascending, at).tolist(), len(ascending)]
+
+
+def _range_of(h: np.ndarray, ranges: int) -> np.ndarray:
+    at = (np.arange(1, ranges, dtype=object) * 2**64 // ranges).astype(np.uint64)
+    return np.searchsorted(at, h, side="right").astype(np.uint64)
+
+
+def _slot(h: np.ndarray, ranges: int) -> np.ndarray:
+    """The hash that a pair's range and key make, for the table."""
+    low = h & np.uint64((1 << (8 * KEY_BYTES)) - 1)
+    return arrays.mix(low | _range_of(h, ranges) << np.uint64(8 * KEY_BYTES))
+
+
 def _pair_sums(size: int, common: Table, ranges: int):
     """(range, hashes, counts): a shard's two-word phrases by ranges of their
     hash, packed."""
@@ -298,53 +324,111 @@ def _pair_sums(size: int, common: Table, ranges: int):
             key = _paired(h[first], h[second])
             order = np.argsort(key)
             key, count = key[order], np.minimum(count[order], 2**31 - 1).astype(np.int32)
-            cut = np.append(0, np.searchsorted(key, (np.arange(1, ranges, dtype=object) * 2**64 // ranges).astype(np.uint64))).tolist() + [len(key)]
+            cut = _cuts(key, ranges)
             some = [k for k in range(ranges) if cut[k] < cut[k + 1]]
-            packed = [pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in some], pa.binary()) for x in (key, count)]
+            low = key.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+            packed = [pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in some], pa.binary()) for x in (low, count)]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *packed], ["range", "hashes", "counts"])
 
     return run
 
 
 def _often(least: int):
-    """Hashes whose counts reach ``least``, of rows sorted by range."""
-    def total(keys: list, counts: list) -> pa.RecordBatch:
-        key, count = np.concatenate(keys), np.concatenate(counts)
+    """(range, keys) of the hashes whose counts reach ``least``, of rows sorted
+    by range."""
+    def total(held: list) -> tuple[np.ndarray, np.ndarray]:
+        key, count = (np.concatenate(x) for x in zip(*held, strict=True))
         order = np.argsort(key)
-        key, count = key[order], count[order].astype(np.int64)
+        key, count = key[order], count[order]
         at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        return pa.RecordBatch.from_arrays([pa.array(key[at][np.add.reduceat(count, at) >= least].view(np.int64))], ["h"])
+        return key[at], np.add.reduceat(count, at)
+
+    def kept(now: int, held: list) -> pa.RecordBatch:
+        key, count = total(held)
+        key = key[count >= least]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), now, np.int32)), pa.array(key.view(np.int64))], ["range", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, keys, counts = None, [], []
+        now, held, size = None, [], 0
         for b in batches:
             for k, h, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                if k != now and keys:
-                    yield total(keys, counts)
-                    keys, counts = [], []
+                if k != now and held:
+                    yield kept(now, held)
+                    held, size = [], 0
                 now = k
-                keys.append(np.frombuffer(h.as_py(), np.uint64))
-                counts.append(np.frombuffer(n.as_py(), np.int32))
-        if keys:
-            yield total(keys, counts)
+                low = np.frombuffer(h.as_py(), np.uint8).reshape(-1, KEY_BYTES)
+                wide = np.zeros((len(low), 8), np.uint8)
+                wide[:, :KEY_BYTES] = low
+                held.append((wide.view(np.uint64).ravel(), np.frombuffer(n.as_py(), np.int32).astype(np.int64)))
+                size += len(low)
+                if size >= RANGE_WORDS:
+                    held = [total(held)]
+                    size = 0
+        if held:
+            yield kept(now, held)
 
     return run
 
 
-def _phrase_counts(size: int, common: Table, often: Table):
-    """Phrases of two words that are often, and of three whose ends are."""
+def _phrase_sums(size: int, common: Table, often: Table, ranges: int):
+    """(range, lang, block): a shard's phrases of two words that are often, and
+    of three whose ends are, as compressed tables by ranges of their hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
         for lang, ids, words in _shards(batches, size):
             index, h, wanted = _indexed(ids, words, lang, common)
             pairs = index.pairs(wanted)
-            keep = often.has(_paired(h[pairs[0]], h[pairs[1]]))
-            pairs = tuple(x[keep] for x in pairs)
-            named = [words.take(pa.array(x - 1)) for x in pairs[:2]]
-            yield from _counted(lang, [*named, pa.nulls(len(pairs[0]), pa.string())], pairs[2])
+            two = _paired(h[pairs[0]], h[pairs[1]])
+            keep = often.has(_slot(two, ranges))
+            pairs, two = tuple(x[keep] for x in pairs), two[keep]
             which, third, count = index.triples(pairs)
-            first, second = pairs[0][which], pairs[1][which]
-            keep = often.has(_paired(h[second], h[third]))
-            yield from _counted(lang, [words.take(pa.array(x[keep] - 1)) for x in (first, second, third)], count[keep])
+            keep = often.has(_slot(_paired(h[pairs[1][which]], h[third]), ranges))
+            which, third, count = which[keep], third[keep], count[keep]
+            named = lambda *x: pc.binary_join_element_wise(*[words.take(pa.array(i - 1)) for i in x], " ")
+            phrase = pa.concat_arrays([named(*pairs[:2]), named(pairs[0][which], pairs[1][which], third)])
+            n = np.concatenate([pairs[2], count]).astype(np.int64)
+            key = np.concatenate([two, _paired(two[which], h[third])])
+            order = np.argsort(key)
+            cut = _cuts(key[order], ranges)
+            for k in range(ranges):
+                own = pa.array(np.sort(order[cut[k] : cut[k + 1]]))  # as the index has them: words in order
+                if len(own):
+                    block = pa.record_batch([phrase.take(own), pa.array(n).take(own)], ["phrase", "n"])
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, block.schema, options=options) as w:
+                        w.write_batch(block)
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([lang]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["range", "lang", "block"])
+
+    return run
+
+
+def _phrase_totals(least: int):
+    """(lang, phrase, n) of the phrases with ``least`` occurrences or more, of
+    rows sorted by range and lang."""
+    def total(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("phrase").aggregate([("n", "sum")]).rename_columns(["phrase", "n"])
+
+    def kept(lang: str, held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        t = total(held)
+        t = t.filter(pc.greater_equal(t["n"], least))
+        for b in t.to_batches(max_chunksize=1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(b)), b.column(0), b.column(1)], ["lang", "phrase", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, rows = None, [], 0
+        for b in batches:
+            for key in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                if key[:2] != now and held:
+                    yield from kept(now[1], held)
+                    held, rows = [], 0
+                now = key[:2]
+                with pa.ipc.open_stream(key[2].as_buffer()) as r:
+                    held.append(r.read_all())
+                rows += held[-1].num_rows
+                if rows >= RANGE_WORDS // 2:
+                    held, rows = [total(held)], 0
+        if held:
+            yield from kept(now[1], held)
 
     return run
 
@@ -365,9 +449,12 @@ def counts(docs: DataFrame, least: int = 10, size: int = SHARD_WORDS) -> tuple[D
     common = _marked(one.select("lang", "w1").mapInArrow(_word_hashes, "h long"))
     ranges = 1 + int(every.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS
     packed = rows.mapInArrow(_pair_sums(size, common, ranges), "range int, hashes binary, counts binary")
-    sums = packed.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(_often(least), "h long")
-    often = _marked(materialize(sums, "phrase-hashes"))
-    phrases = materialize(summed(_phrase_counts(size, common, often), 3).where(F.col("n") >= least), "phrases")
+    sums = packed.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(_often(least), "range int, key long")
+    slots = materialize(sums, "phrase-hashes").mapInArrow(_slots, "h long")
+    blocks = rows.mapInArrow(_phrase_sums(size, common, _marked(slots), ranges), "range int, lang string, block binary")
+    found = blocks.repartition(ranges, "range").sortWithinPartitions("range", "lang").mapInArrow(_phrase_totals(least), "lang string, phrase string, n long")
+    w = F.split("phrase", " ")
+    phrases = materialize(found.select("lang", *[F.get(w, F.lit(i)).alias(f"w{i + 1}") for i in range(LONGEST)], "n"), "phrases")
     return totals, one, phrases.where("w3 is null").drop("w3"), phrases.where("w3 is not null")
 
 
@@ -404,6 +491,10 @@ def mine(docs: DataFrame, least: int = 10, top: int = 2000, size: int = SHARD_WO
     second = F.col("s2") < F.col("s1")
     pick = lambda x, y: F.when(second, F.col(y)).otherwise(F.col(x))
     scored = scored_pairs.unionByName(cuts.select("lang", "phrase", "a", pick("l1", "l2").alias("l"), pick("r1", "r2").alias("r"), pick("s1", "s2").alias("score")))
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    # The best of each share of a language's phrases, then of those.
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = scored.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(shares)))
+    some = scored.withColumn("place", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("place") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", F.col("total").alias("n"), F.col("score").cast("long").alias("score"))
