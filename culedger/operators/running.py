@@ -45,6 +45,7 @@ def running_sum(
     out: str,
     split_depth: int = 1,
     num_partitions: int | None = None,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out`` = running sum of ``value`` per ``partition_by`` in
     ``order_by`` order (all ascending, NULLs first; rows frame).
@@ -55,6 +56,10 @@ def running_sum(
     a bucket. Values are summed as an exact part plus a residual, so no digit
     is lost and NaN stays NaN from its row on.
 
+    ``opening``: rows (partition_by..., opening, opening_rest) of balances that
+    groups start from, exact part and residual; a group without one starts from
+    nothing.
+
     Rows are hash-partitioned once by the bucket keys (``num_partitions``,
     default ``spark.sql.shuffle.partitions``). The offsets are re-partitioned
     the same way, so the union keeps that partitioning and the final window
@@ -79,11 +84,10 @@ def running_sum(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     # A first bucket has no sum before it: NULL, which a sum skips.
-    offsets = (
-        buckets.select(*bucket_keys, F.sum("_rt_bucket").over(w_prev).cast(CU_TOTAL).alias(_VAL), F.sum("_rt_rest").over(w_prev).alias(_RES))
-        .withColumn(_MARK, F.lit(0))
-        .repartition(n, *bucket_keys)
-    )
+    before = buckets.select(*bucket_keys, F.sum("_rt_bucket").over(w_prev).cast(CU_TOTAL).alias(_VAL), F.sum("_rt_rest").over(w_prev).alias(_RES))
+    if opening is not None:
+        before = _opened(before, opening, part)
+    offsets = before.withColumn(_MARK, F.lit(0)).repartition(n, *bucket_keys)
 
     stream = rows.unionByName(offsets, allowMissingColumns=True)
     w_run = (
@@ -95,6 +99,23 @@ def running_sum(
     return running.filter(F.col(_MARK) == 1).drop(_MARK, _VAL, _RES)
 
 
+def _opened(before: DataFrame, opening: DataFrame, part: list[str]) -> DataFrame:
+    """Sums before each bucket, with the group's opening balance in them."""
+    o = opening.select(*[F.col(k).alias(f"_rt_{k}") for k in part], "opening", "opening_rest")
+    same = F.lit(True)
+    for k in part:
+        same = same & F.col(k).eqNullSafe(F.col(f"_rt_{k}"))
+    both = before.join(o, same, "left").drop(*[f"_rt_{k}" for k in part])
+
+    def plus(a: str, b: str, kind: str):
+        either = F.coalesce(F.col(a), F.col(b)).isNotNull()
+        zero = F.lit(0).cast(kind)
+        return F.when(either, (F.coalesce(F.col(a).cast(kind), zero) + F.coalesce(F.col(b).cast(kind), zero)).cast(kind))
+
+    both = both.withColumn(_VAL, plus(_VAL, "opening", CU_TOTAL)).withColumn(_RES, plus(_RES, "opening_rest", "double"))
+    return both.drop("opening", "opening_rest")
+
+
 def _default_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -443,6 +443,7 @@ def _write_counts() -> str:
 
 ORACLE |= {
     "table_merge_bucketed": ORACLE["table_merge_update"],
+    "carried_balances": ORACLE["merge_gold_autoscale_incremental"],
     "table_write_counts": with_(
         _write_counts(), *_table_runs(), f"raw2 AS (SELECT * FROM dn WHERE {run2()})", f"m AS ({upsert('t', 's', K7_EQ, K7_NULL_SAFE, 'update')})"
     ),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from culedger.functions.columns import half_minute_by_format
 from culedger.operators.dedupe import dedupe_latest
-from culedger.plans import gold
+from culedger.plans import balances, gold
 from culedger.plans import scenario as S
 from culedger.plans import tables as T
 from culedger.schemas import K7, K7_EQ, K7_NULL_SAFE
@@ -112,4 +112,21 @@ def gold_capacities(spark, sf):
     return _result(lh, lh.read(T.GOLD_CAPACITIES))
 
 
-TABLE_QUERIES = {f.__name__: f for f in (table_merge_update, table_merge_insert, table_merge_bucketed, table_write_counts, table_delete_half_minute, table_refresh, table_append, gold_capacities)}
+def carried_balances(spark, sf):
+    """Gold autoscale after the second run's load, from stored balances: the
+    dates that it touches are accumulated, later ones shifted. The oracle is
+    the full rebuild."""
+    lh, a = _lakehouse(spark), fx.silver_autoscale(spark, sf)
+    bound = lambda text: F.to_timestamp_ntz(F.lit(text))
+    first, second = a.filter(F.col("insert_date") < bound(S.RUN1_BEFORE)), a.filter(F.col("insert_date") >= bound(S.RUN2_FROM))
+    lh.merge(T.SILVER_TP_METRICS_AS, dedupe_latest(first, K7), K7_EQ, K7_NULL_SAFE, "update")
+    lh.merge(T.GOLD_TP_METRICS_AS, gold.gold_autoscale_source(lh.read(T.SILVER_TP_METRICS_AS)), K7_EQ, K7_NULL_SAFE, "update")
+    balances.start(lh)
+    lh.merge(T.SILVER_TP_METRICS_AS, dedupe_latest(second, K7), K7_EQ, K7_NULL_SAFE, "update", note=lambda dates: lh.mark(T.SILVER_TP_METRICS_AS, dates))
+    dates, notes = lh.marked(T.SILVER_TP_METRICS_AS)
+    balances.carry_forward(lh, dates)
+    lh.clear(notes)
+    return _result(lh, lh.read(T.GOLD_TP_METRICS_AS).drop(T.PARTITION_COL))
+
+
+TABLE_QUERIES = {f.__name__: f for f in (table_merge_update, table_merge_insert, table_merge_bucketed, table_write_counts, table_delete_half_minute, table_refresh, table_append, gold_capacities, carried_balances)}

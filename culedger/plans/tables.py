@@ -33,7 +33,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -58,6 +58,7 @@ GOLD_METRICS_BY_TIMEPOINT = "gold.capacity_metrics_by_timepoint"
 GOLD_CALENDAR_TIMEPOINTS = "gold.capacity_calendar_timepoints"
 GOLD_TP_METRICS = "gold.timepoint_metrics"
 GOLD_TP_METRICS_AS = "gold.timepoint_metrics_autoscale"
+GOLD_BALANCES = "gold.autoscale_balances"
 
 #: Tables partitioned by Date (all but the capacity dimension).
 PARTITIONED = {
@@ -68,6 +69,7 @@ PARTITIONED = {
     GOLD_CALENDAR_TIMEPOINTS,
     GOLD_TP_METRICS,
     GOLD_TP_METRICS_AS,
+    GOLD_BALANCES,
 }
 
 
@@ -375,16 +377,20 @@ class Lakehouse:
         eq_keys: Sequence[str],
         null_safe_keys: Sequence[str] = (),
         when_matched: str = "update",
+        note: Callable[[list], None] | None = None,
     ) -> WriteReport:
         """Keyed upsert of ``source`` into ``table`` (created if missing).
         Columns that only the source has are added to the table; a source that
         repeats a key (NULL in an ``=`` key matches nothing and may repeat)
-        raises ValueError before anything is written."""
+        raises ValueError before anything is written. ``note`` is called with
+        the source's dates before the table is touched."""
         source = self._prepare(table, source)
         parted = self.is_partitioned(table)
         # The source feeds the search for changes and the write: written once,
         # an expensive source plan runs once.
         with self._staged(table, source) as (staged, read, dates), self._refusing():
+            if note:
+                note(dates)
             if not self.exists(table):
                 checked, _ = self._keyed(table, staged, eq_keys, null_safe_keys)
                 made = self._first(table, checked.select(*staged.columns))
@@ -477,13 +483,46 @@ class Lakehouse:
         if dates:
             self.spark.catalog.refreshTable(name)
 
-    def delete_where(self, table: str, predicate) -> WriteReport:
-        """``DELETE FROM table WHERE predicate`` for rows where it is true. One
-        pass counts hits by date; only dates with hits are rewritten, and dates
-        without a row left are emptied."""
+    def replace_dates(self, table: str, df: DataFrame, dates: list) -> None:
+        """The rows of ``dates`` become those of ``df`` (a date without any is
+        emptied); other dates are neither read nor written."""
+        df = self._prepare(table, df)
+        if not self.exists(table):
+            self._first(table, df)
+            return
+        found = self._insert(table, self._shaped(table, self.on_dates(df, dates)), True, len(dates))
+        kept = self._seen_dates(found)
+        self._drop_dates(table, [d for d in dates if d not in kept])
+
+    # Dates that a later step has yet to see ------------------------------------
+
+    def mark(self, table: str, dates: list) -> None:
+        """Note down that ``dates`` of ``table`` change, for :meth:`marked`."""
+        if dates:
+            rows = self.spark.createDataFrame([(d,) for d in dates], "Date date").coalesce(1)
+            rows.write.mode("append").parquet(f"{self.root}/_changed/{table.replace('.', '_')}/{uuid.uuid4().hex[:12]}")
+
+    def marked(self, table: str) -> tuple[list, list[str]]:
+        """(dates noted down and not cleared, the notes)."""
+        fs, home = self._folder(f"{self.root}/_changed/{table.replace('.', '_')}")
+        if not fs.exists(home):
+            return [], []
+        done = [s.getPath().toString() for s in fs.listStatus(home) if fs.exists(s.getPath().suffix("/_SUCCESS"))]
+        return (self._dates(self.spark.read.schema("Date date").parquet(*done)) if done else []), done
+
+    def clear(self, notes: list[str]) -> None:
+        for path in notes:
+            self._delete_folder(path)
+
+    def delete_where(self, table: str, predicate, dates: list | None = None) -> WriteReport:
+        """``DELETE FROM table WHERE predicate`` for rows where it is true, on
+        ``dates`` if given. One pass counts hits by date; only dates with hits
+        are rewritten, and dates without a row left are emptied."""
         if not self.exists(table):
             return WriteReport()
         df = self.read(table)
+        if dates is not None and self.is_partitioned(table):
+            df = self.on_dates(df, dates)
         hit = F.coalesce(predicate, F.lit(False))
         if not self.is_partitioned(table):
             hits = df.filter(hit).count()
