@@ -31,6 +31,8 @@ BLOCKS = r"(?i)<(?:/?(?:p|div|h[1-6]|li|ul|ol|article|nav|footer|header|section|
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<!doctype[^>]*>"
 #: What opens hidden content (behind ``<``), and what closes it.
 CLOSED = ((r"!--", "-->"), (r"script\b", "</script>"), (r"style\b", "</style>"))
+#: From so many opening tags of that kind on, a page's unclosed ones are marked.
+MANY = 32
 #: Private characters that mark an opening tag as never closed.
 MARK, KEPT = "\ue000", "\ue001"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
@@ -41,39 +43,41 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def _split(text: Column, head: str, body) -> Column:
-    """``body(head, rest)``: the text up to the last match of ``head``, and what
-    follows."""
-    def parts(t):
-        return let(F.regexp_extract(t, f"(?is)^.*{head}", 0), lambda h: body(h, F.substring(t, F.length(h) + 1, F.length(t))))
-
-    return let(text, parts)
-
-
 def _marked(text: Column, opens: str, closes: str) -> Column:
     """``text`` with a mark in each opening tag that nothing closes."""
-    return _split(text, closes, lambda head, rest: F.concat(head, F.regexp_replace(rest, f"(?i)<(?={opens})", f"<{MARK}")))
+    def cut(t):
+        def parts(head):
+            rest = F.substring(t, F.length(head) + 1, F.length(t))
+            return F.concat(head, F.regexp_replace(rest, f"(?i)<(?={opens})", f"<{MARK}"))
+
+        return let(F.regexp_extract(t, f"(?is)^.*{closes}", 0), parts)
+
+    return let(text, cut)
 
 
 def _visible(html: Column) -> Column:
     """``html`` without HIDDEN, in time that grows with its length only: a tag
-    that nothing closes would be searched to the page's end each time, so those
-    behind the last closing tag of their kind are marked first."""
-    text = F.replace(html, F.lit(MARK), F.lit(MARK + KEPT))
+    that nothing closes is searched to the page's end each time, so where many
+    tags open, those behind the last closing tag of their kind are marked
+    first. The result is the same."""
+    marked = F.replace(html, F.lit(MARK), F.lit(MARK + KEPT))
     for opens, closes in CLOSED:
-        text = _marked(text, opens, closes)
-    shown = F.regexp_replace(text, HIDDEN, "")
-    return F.replace(F.regexp_replace(shown, f"{MARK}(?!{KEPT})", ""), F.lit(MARK + KEPT), F.lit(MARK))
+        marked = _marked(marked, opens, closes)
+    shown = F.regexp_replace(F.regexp_replace(marked, HIDDEN, ""), f"{MARK}(?!{KEPT})", "")
+    many = F.regexp_count(html, F.lit(f"(?i)<(?:{'|'.join(opens for opens, _ in CLOSED)})")) > MANY
+    return F.when(many, F.replace(shown, F.lit(MARK + KEPT), F.lit(MARK))).otherwise(F.regexp_replace(html, HIDDEN, ""))
 
 
 def html_lines(html: Column) -> Column:
     """The text lines of a page: one for each block of the markup."""
-    def shown(head, rest):
+    def shown(t):
         # Behind the last ">" no tag ends, so none is looked for.
-        blocks = F.regexp_replace(F.regexp_replace(_visible(head), r"[\r\n]+", " "), BLOCKS, "\n")
+        rest = F.substring_index(t, ">", -1)
+        head = F.substring(t, F.lit(1), F.length(t) - F.length(rest))
+        blocks = F.regexp_replace(F.regexp_replace(let(head, _visible), r"[\r\n]+", " "), BLOCKS, "\n")
         return F.concat(F.regexp_replace(blocks, "<[^>]*>", ""), F.regexp_replace(rest, r"[\r\n]+", " "))
 
-    text = _split(F.coalesce(html, F.lit("")), ">", shown)
+    text = let(F.coalesce(html, F.lit("")), shown)
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
