@@ -62,7 +62,7 @@ def word_wise(tokenizer_json: str) -> list[bytes] | None:
     pre-tokenizer keeps runs of letters, digits one by one, and runs of marks,
     and drops blanks; nothing is added, cut or padded around a text; and its
     added tokens hold no blank and take none along. If so, the added tokens'
-    contents, else None."""
+    contents in lower case, else None."""
     t = json.loads(tokenizer_json)
     added = t.get("added_tokens") or []
     plain = all(not (a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"]) and a["content"] and not re.search(r"\s", a["content"]) for a in added)
@@ -76,7 +76,7 @@ def word_wise(tokenizer_json: str) -> list[bytes] | None:
     rest = [p for p in parts[1:] if not (p.get("type") == "ByteLevel" and not p.get("add_prefix_space") and not p.get("use_regex"))]
     if parts[:1] != [split] or rest or (t.get("model") or {}).get("dropout"):
         return None
-    return [a["content"].encode() for a in added]
+    return [a["content"].encode().lower() for a in added]
 
 
 def _pieces(word: bytes, added: list[bytes]) -> tuple[bytes, bytes]:
@@ -85,7 +85,7 @@ def _pieces(word: bytes, added: list[bytes]) -> tuple[bytes, bytes]:
     would then hold an added token is left as it is."""
     head = word.rstrip(MARKS)
     low = head.lower()
-    if not head[-1:].isalnum() or any(a.lower() in low for a in added):
+    if not head[-1:].isalnum() or any(a in low for a in added):
         return word, b""
     return (low if head.isascii() else head), word[len(head) :]
 
@@ -238,7 +238,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, text: str =
         found = docs.agg(F.percentile_approx(F.col(doc_id).cast("long"), [i / shards for i in range(1, shards)], 10 * shards)).first()[0]
         cuts = sorted(set(found or []))
     rows = encode(docs, model, end_id, width, cuts, text, doc_id)
-    rows = rows.repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
+    rows = rows.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
     done = rows.mapInArrow(_writer(folder, width), "shard int, name string, n_docs long, n_tokens long, width int")
     done.write.parquet(f"{folder}/parts")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard
