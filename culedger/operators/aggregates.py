@@ -106,14 +106,19 @@ def silver_stats(detail: DataFrame) -> DataFrame:
     )
 
 
-def null_key_audit(df: DataFrame, key: str = "Unique_key") -> DataFrame:
+def null_key_counts(key: str = "Unique_key") -> list[Column]:
     """Rows a gold build excludes for a NULL key, next to the rows flagged as
     grand totals (the two are reported apart: a key-less genuine row is
     dropped too)."""
-    return df.agg(
+    null, total = F.col(key).isNull(), F.coalesce(F.col("IsGrandTotalRowTotal"), F.lit(False))
+    return [
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col(key).isNull()).alias("null_key_rows"),
-        F.count_if(F.col(key).isNull() & F.coalesce(F.col("IsGrandTotalRowTotal"), F.lit(False))).alias("null_key_total_rows"),
-        F.count_if(F.col(key).isNull() & ~F.coalesce(F.col("IsGrandTotalRowTotal"), F.lit(False))).alias("null_key_detail_rows"),
-    )
+        F.count_if(null).alias("null_key_rows"),
+        F.count_if(null & total).alias("null_key_total_rows"),
+        F.count_if(null & ~total).alias("null_key_detail_rows"),
+    ]
 
+
+def null_key_audit(df: DataFrame, key: str = "Unique_key") -> DataFrame:
+    """:func:`null_key_counts` of a table, in one row."""
+    return df.agg(*null_key_counts(key))

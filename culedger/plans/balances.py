@@ -113,12 +113,7 @@ def shifted(later: DataFrame, balances: DataFrame) -> DataFrame:
 
 def start(lh: T.Lakehouse) -> None:
     """The balances of all silver autoscale rows, after a full gold build."""
-    rows = gold.autoscale_rows(lh.read(T.SILVER_TP_METRICS_AS))
-    totals = day_totals(rows)
-    if lh.exists(T.GOLD_BALANCES):
-        lh.overwrite(T.GOLD_BALANCES, totals)
-    else:
-        lh.append(T.GOLD_BALANCES, totals)
+    lh.overwrite(T.GOLD_BALANCES, day_totals(gold.autoscale_rows(lh.read(T.SILVER_TP_METRICS_AS))))
 
 
 def _after(df: DataFrame, dates: list) -> DataFrame:

@@ -538,21 +538,25 @@ class Lakehouse:
 
     # Maintenance ---------------------------------------------------------------
 
-    def layout(self, table: str) -> DataFrame:
+    def layout(self, table: str, dates: list | None = None) -> DataFrame:
         """Rows (Date, files, bytes): what each date is stored in. Reads no
         column, only where rows are."""
-        meta = self.read(table).select(F.col(PARTITION_COL) if self.is_partitioned(table) else F.lit(None).cast("date").alias(PARTITION_COL), "_metadata.file_path", "_metadata.file_size").distinct()
+        df = self.read(table)
+        parted = self.is_partitioned(table)
+        if parted and dates is not None:
+            df = self.on_dates(df, dates)
+        meta = df.select(F.col(PARTITION_COL) if parted else F.lit(None).cast("date").alias(PARTITION_COL), "_metadata.file_path", "_metadata.file_size").distinct()
         return meta.groupBy(PARTITION_COL).agg(F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes"))
 
-    def compact(self, table: str, file_bytes: int | None = None, slack: int = 2) -> list:
-        """Rewrite the dates that lie in more than ``slack`` times the files that
+    def compact(self, table: str, file_bytes: int | None = None, slack: int = 2, dates: list | None = None) -> list:
+        """Rewrite the dates (of ``dates``, if given) that lie in more than ``slack`` times the files that
         their bytes need (the small-file clean-up the reference gets from
         OPTIMIZE), laid out by size as every write is; a date that is well laid
         out is left alone. Returns the dates. Data is unchanged."""
         want = file_bytes or self._advised_bytes()
         own = self.buckets[table][0] if table in self.buckets else 1
         need = F.greatest(F.ceil(F.col("bytes") / want), F.lit(own))
-        found = [r[PARTITION_COL] for r in self.layout(table).filter(F.col("files") > slack * need).collect()]  # a row a date
+        found = [r[PARTITION_COL] for r in self.layout(table, dates).filter(F.col("files") > slack * need).collect()]  # a row a date
         if not found:
             return []
         if not self.is_partitioned(table):
@@ -571,7 +575,12 @@ class Lakehouse:
             self.spark.sql(f"DROP SCHEMA IF EXISTS {self.prefix}{schema} CASCADE")
             self._delete_folder(f"{self.root}/{self.prefix}{schema}")
 
-    def analyze(self, table: str) -> None:
-        """``ANALYZE TABLE ... COMPUTE STATISTICS`` (row count and size feed the
-        planner's join choices)."""
-        self.spark.sql(f"ANALYZE TABLE {self.name(table)} COMPUTE STATISTICS")
+    def analyze(self, table: str, columns: Sequence[str] = ()) -> None:
+        """``ANALYZE TABLE ... COMPUTE STATISTICS``: row count and size for the
+        planner's join choices, and for ``columns`` distinct values, nulls and
+        range, which cost-based join order needs (:func:`cost_based`)."""
+        name = self.name(table)
+        self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+        if columns:
+            self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS " + ", ".join(f"`{c}`" for c in columns))
+        self.spark.catalog.refreshTable(name)

@@ -101,3 +101,71 @@ def test_incremental_running_totals_equal_full_rebuild(spark, scratch_dir):
     build_gold(full)
 
     assert rows(inc.read(T.GOLD_TP_METRICS_AS)) == rows(full.read(T.GOLD_TP_METRICS_AS))
+
+
+def test_steps_report_what_their_writes_did(spark, scratch_dir):
+    from culedger.operators.aggregates import null_key_audit
+
+    lh = T.Lakehouse(spark, root=scratch_dir, database_prefix=f"r{uuid.uuid4().hex[:6]}_")
+    ex = _extracts(spark)
+    reps = {r.name: r.detail for r in run_pipeline(lh, version="v53", load_time_col="load_time", **ex)}
+    for kind, table, key in (("standard", T.SILVER_TP_METRICS, "standard_extract"), ("autoscale", T.SILVER_TP_METRICS_AS, "autoscale_extract")):
+        d = reps[f"ingest_{kind}_detail"]
+        assert d["read"] == ex[key].count() and d["updated"] == 0
+        assert d["inserted"] - d["deleted"] == lh.read(table).count() and d["read"] - d["duplicates"] == d["inserted"]
+        audit = null_key_audit(lh.read(table)).first().asDict()
+        g = reps[f"gold_{kind}"]
+        assert {k: g[k] for k in audit} == audit
+        assert g["inserted"] == lh.read(T.GOLD_TP_METRICS if kind == "standard" else T.GOLD_TP_METRICS_AS).count()
+        assert g["total_rows"] - g["null_key_rows"] - g["duplicates"] == g["inserted"]
+    again = {r.name: r.detail for r in run_pipeline(lh, version="v53", load_time_col="load_time", incremental=True, **ex)}
+    assert all(again[n]["updated"] == 0 for n in ("ingest_standard_detail", "gold_standard", "gold_autoscale", "gold_metrics"))
+    assert again["gold_standard"]["inserted"] == again["gold_autoscale"]["inserted"] == 0
+
+
+def _branches(spark, lh, tmp, fail):
+    """Two branches that write different tables; the second fails or runs on."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    times = {}
+
+    def slow(name, rows, broken=False):
+        def run():
+            times[name] = [time.time(), None]
+            if broken:
+                time.sleep(1.5)
+                raise ValueError("no such column")
+            df = spark.range(rows).repartition(4).mapInPandas(lambda it: (b for b in it if not time.sleep(0.3)), "id long")
+            for i in range(8):
+                df.select(F.col("id").cast("string").alias("CapacityId"), F.lit(name).alias("v")).write.parquet(f"{tmp}/{name}-{i}")
+            times[name][1] = time.time()
+            return name
+
+        return run
+
+    return {"a": slow("a", 40), "b": slow("b", 40, fail)}, times
+
+
+def test_branches_overlap(spark, scratch_dir):
+    from culedger.plans.pipeline import side_by_side
+
+    lh = T.Lakehouse(spark, root=scratch_dir)
+    branches, times = _branches(spark, lh, scratch_dir, False)
+    assert side_by_side(lh, branches, True) == {"a": "a", "b": "b"}
+    (a0, a1), (b0, b1) = times["a"], times["b"]
+    assert max(a0, b0) < min(a1, b1)
+
+
+def test_a_failing_branch_cancels_the_other(spark, scratch_dir):
+    from culedger.plans.pipeline import side_by_side
+
+    lh = T.Lakehouse(spark, root=scratch_dir)
+    branches, times = _branches(spark, lh, scratch_dir, True)
+    got = side_by_side(lh, branches, True)
+    assert list(got) == ["b", "a"] and isinstance(got["b"], ValueError) and "cancel" in str(got["a"]).lower()
+    assert times["a"][1] is None
+    branches, times = _branches(spark, lh, scratch_dir + "/on", True)
+    got = side_by_side(lh, branches, False)
+    assert got["a"] == "a" and isinstance(got["b"], ValueError)
