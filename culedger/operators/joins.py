@@ -68,3 +68,21 @@ def star_facts(facts: DataFrame, calendar: DataFrame, capacities: DataFrame, mea
     cap = capacities.select("CapacityId", "CapacityName", "Region")
     f = facts.select("CapacityId", "TimePoint", "Operation", "Operation_Id", "Item_name", measure)
     return f.join(cal, ["CapacityId", "TimePoint"], "inner").join(cap, ["CapacityId"], "inner")
+
+
+def pruned_star(facts: DataFrame, calendar: DataFrame, capacities: DataFrame, timepoints: DataFrame | None = None, measure: str = "SumTotal_CU_s") -> DataFrame:
+    """:func:`star_facts` over a fact table that is partitioned by ``Date``, at
+    the (CapacityId, TimePoint) pairs of ``timepoints`` if given.
+
+    The calendar's Date joins the partition column as well, which a fact row
+    that matches on TimePoint always equals. Where ``timepoints`` is a filtered
+    dimension, Spark then reads only the dates that its rows lie on (dynamic
+    partition pruning)."""
+    cal = calendar.select("CapacityId", "TimePoint", "Date")
+    if timepoints is not None:
+        keys = ["CapacityId", "TimePoint"]
+        cal = cal.join(timepoints.select(*keys), keys, "left_semi")
+    cap = capacities.select("CapacityId", "CapacityName", "Region")
+    f = facts.select("CapacityId", "TimePoint", "Date", "Operation", "Operation_Id", "Item_name", measure)
+    out = f.join(cal, ["CapacityId", "TimePoint", "Date"], "inner").join(cap, ["CapacityId"], "inner")
+    return out.select("CapacityId", "TimePoint", "Operation", "Operation_Id", "Item_name", measure, "Date", "CapacityName", "Region")

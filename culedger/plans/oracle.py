@@ -448,3 +448,17 @@ ORACLE |= {
         _write_counts(), *_table_runs(), f"raw2 AS (SELECT * FROM dn WHERE {run2()})", f"m AS ({upsert('t', 's', K7_EQ, K7_NULL_SAFE, 'update')})"
     ),
 }
+
+ORACLE["star_facts_pruned"] = with_(
+    "SELECT f.CapacityId, f.TimePoint, f.Operation, f.Operation_Id, f.Item_name, f.SumTotal_CU_s, CAST(f.TimePoint AS DATE) AS Date, k.CapacityName, k.Region "
+    f"FROM gstd f JOIN tp p ON p.CapacityId = f.CapacityId AND p.TimePoint = f.TimePoint AND p.TotalCUs >= {S.BUSY_CU} JOIN caps k ON k.CapacityId = f.CapacityId"
+)
+
+ORACLE["sql_top_items"] = with_(
+    top(
+        ["Workspace_name", "Item_name", "Item_kind"],
+        f"{cu_sum('SumTotal_CU_s')} AS TotalCU_s, COUNT(*) AS Samples",
+        f"(SELECT * FROM gstd WHERE CapacityId = upper('{S.CI_CAPACITY_ID}') AND {window(*S.FILTER_WINDOW)})",
+        S.TOP_N,
+    )
+)

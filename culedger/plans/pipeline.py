@@ -32,7 +32,7 @@ log = logging.getLogger("culedger.pipeline")
 
 #: Columns whose statistics are kept after a write: those that tables are joined
 #: on.
-STATISTICS = ("CapacityId", "TimePoint")
+STATISTICS = ("CapacityId", "Date", "Region", "Operation_Id", "Unique_key")
 
 
 @dataclass

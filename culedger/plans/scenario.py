@@ -19,3 +19,5 @@ CI_CAPACITY_ID = "cap-01"
 #: Capacity for the exact filter.
 CAPACITY_ID = "CAP-02"
 TOP_N = 20
+#: CU seconds of a timepoint from which it is busy.
+BUSY_CU = 180.0

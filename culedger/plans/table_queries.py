@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from culedger.functions.columns import half_minute_by_format
 from culedger.operators.dedupe import dedupe_latest
+from culedger.operators.joins import pruned_star
 from culedger.plans import balances, gold
 from culedger.plans import scenario as S
 from culedger.plans import tables as T
+from culedger.plans.sql_functions import create_functions
 from culedger.schemas import K7, K7_EQ, K7_NULL_SAFE
 from culedger.session import work_path
 from culedger.sources import fixtures as fx
@@ -129,4 +131,27 @@ def carried_balances(spark, sf):
     return _result(lh, lh.read(T.GOLD_TP_METRICS_AS).drop(T.PARTITION_COL))
 
 
-TABLE_QUERIES = {f.__name__: f for f in (table_merge_update, table_merge_insert, table_merge_bucketed, table_write_counts, table_delete_half_minute, table_refresh, table_append, gold_capacities, carried_balances)}
+def star_facts_pruned(spark, sf):
+    """Fact rows at busy timepoints, from a table that is read only on the dates
+    that have any. Rows with a NULL TimePoint are in the table."""
+    lh, tp = _lakehouse(spark), fx.silver_timepoints(spark, sf)
+    detail = fx.silver_detail(spark, sf)
+    undated = detail.filter("SumDuration_s = 17").withColumn("TimePoint", F.lit(None).cast("timestamp_ntz"))
+    lh.append(T.GOLD_TP_METRICS, gold.gold_standard_source(detail.unionByName(undated)))
+    lh.append(T.GOLD_METRICS_BY_TIMEPOINT, tp)
+    busy = lh.read(T.GOLD_METRICS_BY_TIMEPOINT).filter(F.col("TotalCUs") >= S.BUSY_CU)
+    return _result(lh, pruned_star(lh.read(T.GOLD_TP_METRICS), gold.gold_calendar_source(tp), fx.silver_capacities(spark, sf), busy))
+
+
+def sql_top_items(spark, sf):
+    """The top items of a capacity and window, by the SQL table function."""
+    lh = _lakehouse(spark)
+    lh.append(T.GOLD_TP_METRICS, gold.gold_standard_source(fx.silver_detail(spark, sf)))
+    lh.append(T.GOLD_METRICS_BY_TIMEPOINT, fx.silver_timepoints(spark, sf))
+    create_functions(lh)
+    start, finish = S.FILTER_WINDOW
+    call = f"{lh.prefix}top_items(n => {S.TOP_N}, capacity => '{S.CI_CAPACITY_ID}', window_start => '{start}', window_end => '{finish}')"
+    return _result(lh, spark.sql(f"SELECT * FROM {call}"))
+
+
+TABLE_QUERIES = {f.__name__: f for f in (table_merge_update, table_merge_insert, table_merge_bucketed, table_write_counts, table_delete_half_minute, table_refresh, table_append, gold_capacities, carried_balances, star_facts_pruned, sql_top_items)}

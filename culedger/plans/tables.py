@@ -40,6 +40,7 @@ from dataclasses import dataclass, field
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from culedger.operators.dedupe import require_unique
 from culedger.session import work_path
@@ -98,6 +99,21 @@ class WriteReport:
         return {"read": self.read, "inserted": self.inserted, "updated": self.updated, "deleted": self.deleted}
 
 
+@contextmanager
+def cost_based(spark: SparkSession, on: bool = True):
+    """Queries analysed within order their joins by the statistics that
+    :meth:`Lakehouse.analyze` keeps."""
+    keys = ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled")
+    before = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, str(on).lower())
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def with_date(df: DataFrame) -> DataFrame:
     if PARTITION_COL in df.columns:
         return df
@@ -578,9 +594,11 @@ class Lakehouse:
     def analyze(self, table: str, columns: Sequence[str] = ()) -> None:
         """``ANALYZE TABLE ... COMPUTE STATISTICS``: row count and size for the
         planner's join choices, and for ``columns`` distinct values, nulls and
-        range, which cost-based join order needs (:func:`cost_based`)."""
+        range, which cost-based join order needs (:func:`cost_based`). Columns
+        of type TIMESTAMP_NTZ are left out: Spark's join estimate fails on
+        their range."""
         name = self.name(table)
-        self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
-        if columns:
-            self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS " + ", ".join(f"`{c}`" for c in columns))
+        columns = [c for c in columns if self.read(table).schema[c].dataType != TimestampNTZType()]
+        what = " FOR COLUMNS " + ", ".join(f"`{c}`" for c in columns) if columns else ""
+        self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS{what}")
         self.spark.catalog.refreshTable(name)
