@@ -462,3 +462,8 @@ ORACLE["sql_top_items"] = with_(
         S.TOP_N,
     )
 )
+
+ORACLE["staged_units"] = with_(
+    f"SELECT * REPLACE (CASE WHEN CapacityId = '{S.CAPACITY_ID}' THEN 2 * SumTotal_CU_s ELSE SumTotal_CU_s END AS SumTotal_CU_s) "
+    f"FROM silver_detail WHERE CapacityId IS DISTINCT FROM '{S.EMPTIED_CAPACITY_ID}'"
+)

@@ -375,6 +375,21 @@ def q_staged_read(spark, sf):
     return store.read()
 
 
+def q_staged_units(spark, sf):
+    """Every unit staged once, then one capacity's units collected again (twice
+    the CU), and another's again with nothing in them."""
+    from culedger.schemas import TIMEPOINT_METRICS
+    from culedger.sources.staging import UnitStore
+
+    store = UnitStore(spark, "staged-units", TIMEPOINT_METRICS, unit=("CapacityId", "TimePoint"))
+    d = fx.silver_detail(spark, sf)
+    of = lambda capacity: d.filter(F.col("CapacityId") == capacity)
+    store.put(d, d)
+    store.put(of(S.CAPACITY_ID).withColumn("SumTotal_CU_s", F.col("SumTotal_CU_s") * 2), of(S.CAPACITY_ID))
+    store.put(d.limit(0), of(S.EMPTIED_CAPACITY_ID))
+    return store.read()
+
+
 def q_views(spark, sf):
     """The analysis views registered by name and queried with SQL."""
     v = _views(spark, sf, metrics=True)
@@ -444,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "detail_ingest": q_detail_ingest,
     "autoscale_ingest": q_autoscale_ingest,
     "staged_read": q_staged_read,
+    "staged_units": q_staged_units,
     **TABLE_QUERIES,
     "views": q_views,
 }

@@ -18,6 +18,8 @@ INSPECT_OPERATION_ID = "op-7"
 CI_CAPACITY_ID = "cap-01"
 #: Capacity for the exact filter.
 CAPACITY_ID = "CAP-02"
+#: Capacity whose units are staged again with nothing in them.
+EMPTIED_CAPACITY_ID = "CAP-03"
 TOP_N = 20
 #: CU seconds of a timepoint from which it is busy.
 BUSY_CU = 180.0

@@ -7,9 +7,11 @@ user's ``fetch`` for its units (``mapInPandas``: one Arrow batch of units in,
 extract rows out). A failing unit becomes one error row instead of failing
 the job; callers choose to raise or continue on the error count.
 
-The output is written to a staged store before anything reads it, so the
-external calls run exactly once even though rows and errors are read apart
-(a DataFrame read twice would otherwise call the service twice).
+The output is written to a staged store before anything reads it, so reading
+rows and errors apart does not call the service again. A call runs at least
+once: a task that Spark repeats calls again for its units, and its first output
+is discarded. In a :class:`~culedger.sources.staging.UnitStore` a unit that is
+collected again, in this run or a later one, replaces what it had.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from culedger.sources.staging import StagedStore
+from culedger.sources.staging import StagedStore, UnitStore
 
 UNIT_COLUMNS = [T.StructField("unit_capacity_id", T.StringType()), T.StructField("unit_timepoint", T.TimestampNTZType())]
 ERROR_FIELD = T.StructField("fetch_error", T.StringType())
@@ -70,8 +72,11 @@ def fanout(
     out_schema = T.StructType(list(extract_schema.fields) + UNIT_COLUMNS + [ERROR_FIELD])
     units = worklist.select("CapacityId", "TimePoint").repartition(max(1, parallelism))
     produced = units.mapInPandas(_run_units(fetch, names), out_schema)
-    store = store or StagedStore(worklist.sparkSession, "fanout", out_schema)
-    store.append(produced)
+    store = store or UnitStore(worklist.sparkSession, "fanout", out_schema)
+    if isinstance(store, UnitStore):
+        store.put(produced, worklist.select(F.col("CapacityId").alias("unit_capacity_id"), F.col("TimePoint").alias("unit_timepoint")))
+    else:
+        store.append(produced)
     staged = store.read()
     ok = staged.filter(F.col("fetch_error").isNull()).drop("fetch_error")
     errors = staged.filter(F.col("fetch_error").isNotNull()).select("unit_capacity_id", "unit_timepoint", "fetch_error")

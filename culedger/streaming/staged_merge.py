@@ -2,9 +2,14 @@
 
 Collectors drop extract parts into a staging folder at their own pace; a
 streaming query picks up new parts and merges each micro-batch into the
-silver table with the same keyed upsert the batch job uses. The checkpoint
-makes every part merge exactly once across restarts and executor loss; with
+silver table with the same keyed upsert the batch job uses; with
 ``availableNow`` it drains what is staged and stops, like a scheduled run.
+
+A part is merged at least once. The number of a merged batch is noted beside the
+checkpoint, so a restart does not merge it again; only a driver that dies between
+a merge and its note does. The merge is by key and repeating it changes nothing,
+but for rows with a NULL CapacityId or TimePoint: they match nothing, and such a
+repeat inserts them once more.
 """
 
 from __future__ import annotations
@@ -32,6 +37,16 @@ def merge_staged_batch(lh: T.Lakehouse, batch: DataFrame, kind: str, load_time_c
         lh.delete_where(TARGET[kind], half_minute_by_format("TimePoint"))
 
 
+def _noted(spark, checkpoint: str, batch: int, write: bool = False) -> bool:
+    """Whether a batch is noted as merged; notes it if asked to."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}-merged/{batch}")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if write:
+        fs.create(path, True).close()
+    return fs.exists(path)
+
+
 def start_staged_merge(
     lh: T.Lakehouse,
     staging_path: str,
@@ -55,8 +70,10 @@ def start_staged_merge(
     ckpt = checkpoint or work_path(spark, "streams", f"staged-merge-{kind}-{own}")
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        if not batch.isEmpty():
-            merge_staged_batch(lh, batch, kind, load_time_col)
+        if not _noted(spark, ckpt, epoch_id):
+            if not batch.isEmpty():
+                merge_staged_batch(lh, batch, kind, load_time_col)
+            _noted(spark, ckpt, epoch_id, write=True)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -14,7 +14,7 @@ from culedger.schemas import DETAIL_EXTRACT_COLUMNS, TIMEPOINT_METRICS
 from culedger.sources import fixtures as fx
 from culedger.sources.fanout import fanout
 from culedger.sources.ingest import detail_extract, ingest_detail
-from culedger.sources.staging import StagedStore
+from culedger.sources.staging import StagedStore, UnitStore
 from culedger.sources.worklist import worklist
 from culedger.streaming.staged_merge import start_staged_merge
 
@@ -79,3 +79,46 @@ def test_streaming_stage_then_merge(spark, scratch_dir):
     q = start_staged_merge(lh, stage, raw.schema, "standard", "load_time", checkpoint=scratch_dir + "/ckpt")
     q.awaitTermination(600)
     assert rows(lh.read(T.SILVER_TP_METRICS).drop("Date")) == rows(want)
+    # a batch that is noted as merged is not merged again, should Spark replay it
+    notes = scratch_dir + "/ckpt-merged"
+    from culedger.streaming.staged_merge import _noted
+
+    assert _noted(spark, scratch_dir + "/ckpt", 0) and _noted(spark, scratch_dir + "/ckpt", 1) and not _noted(spark, scratch_dir + "/ckpt", 99), notes
+
+
+def test_a_unit_staged_twice_leaves_one_copy(spark, scratch_dir):
+    schema = "unit_capacity_id string, unit_timepoint timestamp_ntz, k string, v int"
+    at = lambda h: datetime(2024, 1, 1, h)
+    df = lambda *r: spark.createDataFrame(list(r), schema)
+    store = UnitStore(spark, "u", df().schema, path=scratch_dir + "/units")
+    assert store.read().count() == 0
+    store.append(df(("A", at(1), "x", 1), ("A", at(1), "y", 2), ("B", at(1), "x", 3), (None, None, "z", 4)))
+    store.append(df(("A", at(1), "x", 9), (None, None, "z", 5)))
+    assert rows(store.read(), ["k", "v"]) == [("x", 3), ("x", 9), ("z", 5)]
+    # collected again, with nothing in it
+    store.put(df(), df(("B", at(1), None, None)))
+    assert rows(store.read(), ["k", "v"]) == [("x", 9), ("z", 5)]
+    # an attempt without its list of units has no say
+    df(("A", at(1), "x", 0)).write.parquet(f"{store.path}/rows/attempt={2**62}")
+    assert rows(store.read(), ["k", "v"]) == [("x", 9), ("z", 5)]
+    store.put(df(("C", at(2), "x", 2), ("C", at(2), "x", 1), ("C", at(2), "y", 3)), df(("C", at(2), "", 0)), first_of=["k"])
+    assert rows(store.read().filter("unit_capacity_id = 'C'"), ["k", "v"]) == [("x", 1), ("y", 3)]
+
+
+def test_a_fanout_that_is_repeated_replaces_its_units(spark, scratch_dir):
+    from culedger.sources.fanout import ERROR_FIELD, UNIT_COLUMNS
+    from pyspark.sql.types import StructField, StructType, IntegerType
+
+    extract = StructType([StructField("v", IntegerType())])
+    store = UnitStore(spark, "f", StructType([*extract.fields, *UNIT_COLUMNS, ERROR_FIELD]), path=scratch_dir + "/fan")
+    units = spark.createDataFrame([("A", datetime(2024, 1, 1, h)) for h in range(6)], "CapacityId string, TimePoint timestamp_ntz")
+
+    def fetch(cap, at):
+        if at.hour == 3:
+            raise ConnectionError("busy")
+        return pd.DataFrame({"v": [at.hour]})
+
+    ok, errors = fanout(units, fetch, extract, 3, store)
+    assert ok.count() == 5 and errors.count() == 1
+    ok, errors = fanout(units.filter("hour(TimePoint) in (2, 3)"), lambda cap, at: pd.DataFrame({"v": [10 * at.hour]}), extract, 2, store)
+    assert sorted(r.v for r in ok.collect()) == [0, 1, 4, 5, 20, 30] and errors.count() == 0
