@@ -52,7 +52,7 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     the forest calls secrets, and which."""
     found = secret_scan.scan(documents(spark, sf_dir))
     own = F.when(F.col("secret"), F.struct("number", "candidate"))
-    out = found.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_candidates"), F.count(own).alias("n_secrets"), F.array_sort(F.collect_list(own)).alias("secrets"))
+    out = found.groupBy("doc_id", "key", "row").agg(F.count(F.lit(1)).alias("n_candidates"), F.count(own).alias("n_secrets"), F.array_sort(F.collect_list(own)).alias("secrets"))
     return out.select("doc_id", "n_candidates", "n_secrets", F.array_join(F.transform("secrets", lambda s: s["candidate"]), "\n").alias("secrets"))
 
 

@@ -94,14 +94,15 @@ def _value(m: Column, own: Column, _: Column) -> tuple[Column, Column, Column]:
 
 
 def candidates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, key, number, candidate, before, after), a row for each
-    candidate; ``number`` counts a text's candidates by their start from 0."""
+    """Rows (doc_id, key, row, number, candidate, before, after), a row for each
+    candidate; ``row`` numbers the rows of ``docs``, so repeated ones are told
+    apart; ``number`` counts a text's candidates by their start from 0."""
     own = F.coalesce(F.col(text), F.lit(""))
-    found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), own.alias("t"))
+    found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(doc_id), F.col(text)).alias("key"), F.monotonically_increasing_id().alias("row"), own.alias("t"))
     spans = F.array_sort(F.concat(_spans(CANDIDATE, 16, _run), _spans(INSIDE, 11, _format), _spans(VALUE, 4, _value)))
     once = let(spans, lambda a: F.filter(a, lambda c, i: (i == 0) | (c != F.coalesce(F.get(a, i - 1), c))))
-    rows = found.select("doc_id", "key", F.posexplode_outer(once).alias("number", "c")).where("c.candidate != ''")
-    return rows.select("doc_id", "key", F.col("number").cast("long").alias("number"), "c.candidate", "c.before", "c.after")
+    rows = found.select("doc_id", "key", "row", F.posexplode_outer(once).alias("number", "c")).where("c.candidate != ''")
+    return rows.select("doc_id", "key", "row", F.col("number").cast("long").alias("number"), "c.candidate", "c.before", "c.after")
 
 
 def _share(pattern: str) -> Column:
@@ -156,8 +157,8 @@ def fit(findings: DataFrame, sample: int, seed: int = 11):
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, sample: int = 10_000, threshold: float = 0.5, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Rows (doc_id, key, number, candidate, probability, secret), one for each
-    candidate."""
+    """Rows (doc_id, key, row, number, candidate, probability, secret), one for
+    each candidate."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     rows = candidates(docs, text, doc_id).withColumns(features()).withColumn("label", weak_label())
@@ -169,4 +170,4 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, sample: int = 10_00
     else:
         vector = array_to_vector(F.array(*[F.col(f).cast("double") for f in FEATURES]))
         out = model.transform(rows.withColumn("vector", vector).drop("label")).withColumn("probability", vector_to_array("probability")[1])
-    return out.select("doc_id", "key", "number", "candidate", "probability", (known | (F.col("probability") >= threshold)).alias("secret"))
+    return out.select("doc_id", "key", "row", "number", "candidate", "probability", (known | (F.col("probability") >= threshold)).alias("secret"))
