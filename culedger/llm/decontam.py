@@ -129,5 +129,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    bad = contaminated(docs, benchmark, text=text, doc_id=doc_id, **how).select(F.col("key").alias("__key"))
-    return docs.withColumn("__key", F.xxhash64(F.col(doc_id), F.col(text))).join(bad, "__key", "left_anti").select(docs.columns)
+    own = [f"c{i}" for i in range(len(docs.columns))]  # the input may use any name
+    at = dict(zip(docs.columns, own, strict=True))
+    wide = docs.toDF(*own)
+    bad = contaminated(wide, benchmark, text=at[text], doc_id=at[doc_id], **how).select("key")
+    keyed = wide.withColumn("key", F.xxhash64(F.col(at[doc_id]), F.col(at[text])))
+    return keyed.join(bad, "key", "left_anti").select(own).toDF(*docs.columns)
