@@ -121,17 +121,13 @@ def _tokens(table: str, ident: str) -> str:
     return f"SELECT {ident}, list_filter(string_split({flat}, ' '), lambda x: x <> '') AS w FROM {table}"
 
 
-def _seeds(ident: str, source: str) -> str:
-    masks = ([0, 1, 2, 4, 6, 7], [0, 1, 3, 4, 5, 7])
-    keys = ", ".join(f"'{m}|' || " + " || ' ' || ".join(f"w[i + {k}]" for k in mask) for m, mask in enumerate(masks))
-    return f"SELECT {ident}, i, unnest([{keys}]) AS seed FROM (SELECT {ident}, w, unnest(range(1, len(w) - 6)) AS i FROM {source} WHERE len(w) >= 8)"
-
-
 OP9 = f"""
 WITH docs AS ({_tokens('documents', 'doc_id')}), items AS ({_tokens('benchmark', 'item_id')}),
+dt AS (SELECT doc_id, unnest(w) AS token, unnest(range(1, len(w) + 1)) AS i FROM docs),
+bt AS (SELECT item_id, unnest(w) AS token, unnest(range(1, len(w) + 1)) AS i, len(w) AS n FROM items WHERE len(w) >= 8),
 hits AS (
-  SELECT DISTINCT d.doc_id, b.item_id, d.i - b.i AS off
-  FROM ({_seeds('doc_id', 'docs')}) d JOIN ({_seeds('item_id', 'items')}) b USING (seed)),
+  SELECT doc_id, item_id, dt.i - bt.i AS off FROM dt JOIN bt USING (token)
+  GROUP BY doc_id, item_id, dt.i - bt.i, n HAVING count(*) >= least(13, n) - 2),
 laid AS (
   SELECT doc_id, item_id, off, p, CAST(coalesce(p + off > 0 AND d.w[p + off] = b.w[p], false) AS INT) AS same, len(b.w) AS n
   FROM (SELECT *, unnest(range(1, len(w) + 1)) AS p FROM hits JOIN items USING (item_id)) b JOIN docs d USING (doc_id)),

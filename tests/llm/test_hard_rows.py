@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from culedger.llm import jaccard, lines, mixing, pii, queries, tokens
+from culedger.llm import decontam, jaccard, lines, mixing, pii, queries, secret_scan, tokens
 from culedger.llm.common import fresh_path
 
 # 10 --------------------------------------------------------------------------
@@ -145,3 +145,20 @@ def test_keys_tell_nulls_apart(spark):
     df = spark.createDataFrame([(1, None, "a"), (1, "a", None), (None, "a", None), (None, None, "a"), (None, None, None)], "i long, s string, t string")
     assert df.select(*row_keys(F.col("i"), F.col("s"), F.col("t"))).distinct().count() == 5
     assert np.unique([r[0] for r in df.select(row_keys(F.col("i"), F.col("s"))[0]).collect()]).size == 4
+
+
+# 6, 9 ------------------------------------------------------------------------
+
+
+def test_repeated_rows_are_scanned_each(spark):
+    text = 'password = "S3cr3t-pa55!" and api_key = "04db9f1c7e2a4b6d8c0e04db9f1c7e2a4b6d8c0e"'
+    df = spark.createDataFrame([(1, text), (1, text), (None, text)], "doc_id long, text string")
+    found = secret_scan.scan(df).groupBy("doc_id", "row").count().collect()
+    assert len(found) == 3 and len({r["count"] for r in found}) == 1
+
+
+def test_decontamination_takes_any_column_name(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    docs = spark.createDataFrame([(1, item, "k", "c"), (2, "clean text of its own", "k", "c"), (None, None, "k", "c")], "doc_id long, text string, key string, c0 string")
+    got = decontam.remove(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == [(2, "clean text of its own", "k", "c"), (None, None, "k", "c")]
