@@ -59,6 +59,8 @@ LEAST_BITS, MOST_BITS, STRIPES = 24, 30, 64
 #: Words of the corpus for each range of hashes that phrases are summed in, and
 #: the bytes that tell hashes of a range apart.
 RANGE_WORDS, KEY_BYTES = 4_000_000, 5
+#: Tasks that ranges are dealt to at most; a task takes one after the other.
+MOST_TASKS = 50_000
 SCALE = 1_000_000
 
 #: A byte that UTF-8 does not have marks the end of a piece.
@@ -325,7 +327,7 @@ def _pair_sums(size: int, common: Table, ranges: int):
             order = np.argsort(key)
             key, count = key[order], np.minimum(count[order], 2**31 - 1).astype(np.int32)
             cut = _cuts(key, ranges)
-            some = [k for k in range(ranges) if cut[k] < cut[k + 1]]
+            some = np.flatnonzero(np.diff(cut)).tolist()
             low = key.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
             packed = [pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in some], pa.binary()) for x in (low, count)]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *packed], ["range", "hashes", "counts"])
@@ -390,14 +392,13 @@ def _phrase_sums(size: int, common: Table, often: Table, ranges: int):
             key = np.concatenate([two, _paired(two[which], h[third])])
             order = np.argsort(key)
             cut = _cuts(key[order], ranges)
-            for k in range(ranges):
+            for k in np.flatnonzero(np.diff(cut)).tolist():
                 own = pa.array(np.sort(order[cut[k] : cut[k + 1]]))  # as the index has them: words in order
-                if len(own):
-                    block = pa.record_batch([phrase.take(own), pa.array(n).take(own)], ["phrase", "n"])
-                    sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, block.schema, options=options) as w:
-                        w.write_batch(block)
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([lang]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["range", "lang", "block"])
+                block = pa.record_batch([phrase.take(own), pa.array(n).take(own)], ["phrase", "n"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, block.schema, options=options) as w:
+                    w.write_batch(block)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([lang]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["range", "lang", "block"])
 
     return run
 
@@ -448,11 +449,12 @@ def counts(docs: DataFrame, least: int = 10, size: int = SHARD_WORDS) -> tuple[D
     one = every.where(F.col("n") >= least)
     common = _marked(one.select("lang", "w1").mapInArrow(_word_hashes, "h long"))
     ranges = 1 + int(every.agg(F.sum("n")).first()[0] or 0) // RANGE_WORDS
+    tasks = min(ranges, MOST_TASKS)
     packed = rows.mapInArrow(_pair_sums(size, common, ranges), "range int, hashes binary, counts binary")
-    sums = packed.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(_often(least), "range int, key long")
+    sums = packed.repartition(tasks, "range").sortWithinPartitions("range").mapInArrow(_often(least), "range int, key long")
     slots = materialize(sums, "phrase-hashes").mapInArrow(_slots, "h long")
     blocks = rows.mapInArrow(_phrase_sums(size, common, _marked(slots), ranges), "range int, lang string, block binary")
-    found = blocks.repartition(ranges, "range").sortWithinPartitions("range", "lang").mapInArrow(_phrase_totals(least), "lang string, phrase string, n long")
+    found = blocks.repartition(tasks, "range").sortWithinPartitions("range", "lang").mapInArrow(_phrase_totals(least), "lang string, phrase string, n long")
     w = F.split("phrase", " ")
     phrases = materialize(found.select("lang", *[F.get(w, F.lit(i)).alias(f"w{i + 1}") for i in range(LONGEST)], "n"), "phrases")
     return totals, one, phrases.where("w3 is null").drop("w3"), phrases.where("w3 is not null")
