@@ -31,6 +31,7 @@ import types
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,13 +80,13 @@ def word_wise(tokenizer_json: str) -> list[bytes] | None:
     return [a["content"].encode().lower() for a in added]
 
 
-def _pieces(word: bytes, added: list[bytes]) -> tuple[bytes, bytes]:
+def _pieces(word: bytes, added: re.Pattern | None) -> tuple[bytes, bytes]:
     """A word in lower case without its closing marks, and those. Only ASCII is
     lower-cased (beyond it, case and composition don't commute), and a word that
     would then hold an added token is left as it is."""
     head = word.rstrip(MARKS)
     low = head.lower()
-    if not head[-1:].isalnum() or any(a in low for a in added):
+    if not head[-1:].isalnum() or (added and added.search(low)):
         return word, b""
     return (low if head.isascii() else head), word[len(head) :]
 
@@ -108,10 +109,11 @@ def _encoder(tokenizer_json: str, width: int):
 
     if added is None:
         return encoded
+    look = re.compile(b"|".join(map(re.escape, added))) if added else None
 
     def pieces_of(pairs: list) -> dict:
         known = store["pieces"]
-        new = list({x for pair in pairs for x in pair if x not in known})
+        new = list(set(chain.from_iterable(pairs)).difference(known))
         fresh = dict(zip(new, encoded(new), strict=True))
         if len(known) + len(fresh) <= CACHE_WORDS:
             known.update(fresh)
@@ -121,8 +123,8 @@ def _encoder(tokenizer_json: str, width: int):
     def encode(texts: list[bytes]) -> list[bytes]:
         known = store["words"]
         split = [t.split() for t in texts]  # bytes split at the six ASCII blanks
-        new = list({w for words in split for w in words if w not in known})
-        pairs = [_pieces(w, added) for w in new]
+        new = list(set(chain.from_iterable(split)).difference(known))
+        pairs = [_pieces(w, look) for w in new]
         ids = pieces_of(pairs)
         fresh = {w: ids[a] + ids[b] for w, (a, b) in zip(new, pairs, strict=True)}
         if len(known) + len(fresh) <= CACHE_WORDS:
@@ -130,7 +132,7 @@ def _encoder(tokenizer_json: str, width: int):
             fresh = known
         else:
             fresh = known | fresh
-        return [b"".join([fresh[w] for w in words]) for words in split]
+        return [b"".join(map(fresh.__getitem__, words)) for words in split]
 
     return encode
 
