@@ -145,3 +145,10 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
             m = len(part) - k + 1
             out[i : i + m] = (total[k : k + m] - total[:m]) * down[:m]
         return mix(out)
+
+
+def give_back() -> None:
+    """Return freed memory to the machine. A Python worker that Spark uses again
+    would keep it through the tasks of all later stages."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()

@@ -55,6 +55,8 @@ DIFFER, LOSS = 0.36, 1e-15
 #: Shingles of a candidate group that are verified at once, at most twice.
 GROUP_TOKENS = 2_000_000
 SIGNATURE = ("level", "drawn", "bitmap", "drawn2", "bitmap2")
+#: Words of bitmaps that are compared at once.
+PAIR_WORDS = 1 << 18
 #: Children of a node of the tree.
 FAN = 16
 
@@ -95,6 +97,9 @@ def sketch(docs: DataFrame, size: int, fold: bool, text: str = "text") -> np.nda
                 starts, ends, _ = arrays.words(data, offs)
                 grams = arrays.windows(arrays.hash_words(data, starts, ends, fold), size)
                 total += np.bincount((grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
+                del data, offs, starts, ends, grams
+            del b
+            arrays.give_back()
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(STRIPES), pa.int32()), pa.array([x.tobytes() for x in total.reshape(STRIPES, width)], pa.binary())], ["stripe", "counts"])
 
@@ -128,7 +133,11 @@ class _Tree:
             self.levels.append((some, every, low, high, slack))
 
     def alive(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether the nodes' members may reach the threshold."""
+        """Whether the nodes' members may reach the threshold; a bounded number
+        of bitmap words are compared at once."""
+        step = max(1, PAIR_WORDS // self.levels[level][0].shape[1])
+        if len(i) > step:
+            return np.concatenate([self.alive(level, i[k : k + step], j[k : k + step]) for k in range(0, len(i), step)])
         some, every, low, high, slack = self.levels[level]
         fits = (100 * high[i] >= self.share * low[j]) & (100 * high[j] >= self.share * low[i])
         i, j = i[fits], j[fits]
@@ -338,6 +347,9 @@ def classes(docs: DataFrame, size: int, share: int, fold: bool, text: str = "tex
                     prefixes.append(head.view(np.int64))
                     maps.append(_signatures(s, share) if n else {})
                 yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, j - i) for k in range(3)], pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), *[pa.array([m.get(x) for m in maps], schema.field(x).type) for x in SIGNATURE]], schema=schema)
+                del data, offs, prefixes, maps
+            del b
+            arrays.give_back()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *_keyed(docs, doc_id, text), F.col(text).cast("binary").alias("text"))
     return materialize(rows.mapInArrow(run, "doc_id long, key long, key2 long, class long, n long, prefix array<long>, level int, drawn int, bitmap binary, drawn2 int, bitmap2 binary"), "sets")
@@ -369,6 +381,8 @@ def candidates(reps: DataFrame, share: int, chunk: int) -> DataFrame:
                 done.update(new)
             if new:
                 yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in new], pa.int64()), pa.array([e[1] for e in new], pa.int64())], ["a", "b"])
+            del t, maps, maps2
+            arrays.give_back()
 
     tokens = reps.select("class", "n", F.explode("prefix").alias("token"))
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -412,6 +426,8 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, sha
                 b += names[root[moved]].tolist()
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            del t
+            arrays.give_back()
 
     members = groups.withColumnRenamed("node", "class").join(reps.select("class", "rep", "n"), "class")
     many = members.groupBy("root").agg(F.sum("n").alias("m"))
@@ -437,6 +453,9 @@ def verified(docs: DataFrame, reps: DataFrame, groups: DataFrame, size: int, sha
                             out, held = [], 0
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema)
+                del data, offs, part, out
+            del b
+            arrays.give_back()
 
     out = plain.mapInArrow(hashed, "root long, c1 int, c2 int, class long, hashes binary")
     out = out.repartition("root", "c1", "c2").sortWithinPartitions("root", "c1", "c2")

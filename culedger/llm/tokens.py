@@ -31,16 +31,23 @@ import types
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from culedger.llm import arrays
+
 NULL_ID = -(2**63)
-#: Words, and pieces of words, that a worker keeps the ids of.
+#: Words and pieces of words together that a worker keeps the ids of. They stay
+#: in its memory when other operators' tasks run in it.
 CACHE_WORDS = 400_000
+#: Words that are encoded at once: the library's results are far larger than
+#: their ids.
+BATCH_WORDS = 4096
 #: Marks that may close a word.
 MARKS = b".,;:!?#$%&*|"
 #: Fixed value: the words of a tokenizer that parts letters, digits and marks.
@@ -100,7 +107,7 @@ def _encoder(tokenizer_json: str, width: int):
     if "tokenizer" not in store:
         from tokenizers import Tokenizer
 
-        store |= {"tokenizer": Tokenizer.from_str(tokenizer_json), "added": word_wise(tokenizer_json), "words": {}, "pieces": {b"": b""}}
+        store |= {"tokenizer": Tokenizer.from_str(tokenizer_json), "added": word_wise(tokenizer_json), "words": {b"": b""}}
     kind, added = f"<u{width}", store["added"]
 
     def encoded(texts: list[bytes]) -> list[bytes]:
@@ -111,28 +118,21 @@ def _encoder(tokenizer_json: str, width: int):
         return encoded
     look = re.compile(b"|".join(map(re.escape, added))) if added else None
 
-    def pieces_of(pairs: list) -> dict:
-        known = store["pieces"]
-        new = list(set(chain.from_iterable(pairs)).difference(known))
-        fresh = dict(zip(new, encoded(new), strict=True))
-        if len(known) + len(fresh) <= CACHE_WORDS:
-            known.update(fresh)
-            return known
-        return known | fresh
-
     def encode(texts: list[bytes]) -> list[bytes]:
         known = store["words"]
         split = [t.split() for t in texts]  # bytes split at the six ASCII blanks
         new = list(set(chain.from_iterable(split)).difference(known))
         pairs = [_pieces(w, look) for w in new]
-        ids = pieces_of(pairs)
-        fresh = {w: ids[a] + ids[b] for w, (a, b) in zip(new, pairs, strict=True)}
-        if len(known) + len(fresh) <= CACHE_WORDS:
-            known.update(fresh)
-            fresh = known
-        else:
-            fresh = known | fresh
-        return [b"".join(map(fresh.__getitem__, words)) for words in split]
+        # A piece is a word too, with the same ids, so both are kept in one place.
+        asked = list(set(chain.from_iterable(pairs)).difference(known))
+        for i in range(0, len(asked), BATCH_WORDS):
+            part = asked[i : i + BATCH_WORDS]
+            known.update(zip(part, encoded(part), strict=True))
+        known.update([(w, known[a] + known[b]) for w, (a, b) in zip(new, pairs, strict=True)])
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for w in list(islice(reversed(known), max(0, len(known) - CACHE_WORDS))):
+            del known[w]
+        return out
 
     return encode
 
@@ -158,13 +158,15 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int, width: int, bounds
     def run(batches):
         encoder = _encoder(shared.value, width)
         for b in batches:
-            texts, ids = b.column(1).to_pylist(), b.column(0)
-            sizes = [len(t or b"") for t in texts]
-            for i, j in _groups(sizes):
-                coded = [x + end for x in encoder([t or b"" for t in texts[i:j]])]
+            texts, ids = b.column(1).fill_null(b""), b.column(0)
+            for i, j in _groups(pc.binary_length(texts).to_pylist()):
+                coded = [x + end for x in encoder(texts.slice(i, j - i).to_pylist())]
                 own = ids.slice(i, j - i)
                 at = np.searchsorted(cuts, np.asarray(own.fill_null(NULL_ID)), side="left")
                 yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), own, pa.array(coded, pa.binary())], ["shard", "doc_id", "ids"])
+                del coded, own, at
+            del b, texts, ids
+            arrays.give_back()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, "shard int, doc_id long, ids binary")

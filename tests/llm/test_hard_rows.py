@@ -5,6 +5,7 @@ many rows without an id."""
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -162,3 +163,28 @@ def test_decontamination_takes_any_column_name(spark):
     docs = spark.createDataFrame([(1, item, "k", "c"), (2, "clean text of its own", "k", "c"), (None, None, "k", "c")], "doc_id long, text string, key string, c0 string")
     got = decontam.remove(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == [(2, "clean text of its own", "k", "c"), (None, None, "k", "c")]
+
+
+def test_words_and_their_pieces_share_one_bounded_store(monkeypatch):
+    with open(queries.vocabulary_path(), encoding="utf-8") as f:
+        model = f.read()
+    monkeypatch.setattr(tokens, "_worker_store", lambda name, store={}: store)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 100)
+    encode = tokens._encoder(model, 2)
+    texts = [" ".join(f"Word{i}, alpha{i} beta{i}!" for i in range(k, k + 10)).encode() for k in range(0, 100, 5)]
+    whole = Tokenizer.from_str(model)
+    for text in texts + texts:
+        assert np.frombuffer(encode([text])[0], "<u2").tolist() == whole.encode(text.decode(), add_special_tokens=False).ids
+    kept = [v for v in tokens._worker_store("").values() if isinstance(v, dict)]
+    assert 50 < sum(map(len, kept)) <= 100
+
+
+def test_a_large_block_is_compared_in_bounded_memory():
+    """Near copies all stay, so the tree can't drop a pair of its nodes."""
+    n = 8192
+    bits = np.tile(np.arange(1, 33, dtype=np.uint64), (n, 1))
+    tracemalloc.start()
+    root = jaccard.groups_of(bits, np.full(n, 60), 85)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not root.any() and peak < 60 << 20
