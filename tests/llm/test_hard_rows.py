@@ -9,6 +9,8 @@ import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from culedger.llm import decontam, jaccard, lines, mixing, pii, queries, secret_scan, tokens
@@ -165,6 +167,29 @@ def test_decontamination_takes_any_column_name(spark):
     assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=str) == [(2, "clean text of its own", "k", "c"), (None, None, "k", "c")]
 
 
+def test_trees_learn_from_every_labelled_candidate(spark):
+    """A form that only candidates with the greatest hashes have, past any cut."""
+    base = spark.range(30_000).withColumn("late", F.col("id") >= 29_000)
+    label = F.when(F.col("late"), 1).otherwise(F.col("id") % 2).cast("int")
+    digits = F.when(F.col("late"), 11).when(F.col("id") % 2 == 1, 14).otherwise(5)
+    features = F.array(F.lit(0.0), *[(digits if x == "digits" else F.lit(1)).cast("double") for x in pii.FEATURES[1:]])
+    model, thresholds = pii.fit(base.select(label.alias("label"), features.alias("features"), F.col("id").alias("draw")), precision=0.98)
+    asked = spark.createDataFrame([([0.0, *[11.0 if x == "digits" else 1.0 for x in pii.FEATURES[1:]]],), ([0.0, *[5.0 if x == "digits" else 1.0 for x in pii.FEATURES[1:]]],)], "features array<double>")
+    late, clean = [r["probability"][1] for r in model.transform(asked.select(array_to_vector("features").alias("vector"))).collect()]
+    assert late >= thresholds[0] >= 0.5 > clean
+    assert thresholds[1] == 0.9  # a kind without labels
+
+
+def test_thresholds_count_every_candidate_of_a_score(spark):
+    """Held-out candidates that look alike share a score, so the threshold can't
+    take the good ones of them alone."""
+    base = spark.range(400)
+    label, features = (F.col("id") % 8 != 4).cast("int"), F.array(*[F.lit(0.0)] * len(pii.FEATURES))
+    rows = base.select(label.alias("label"), features.alias("features"), F.col("id").alias("draw"))
+    _, thresholds = pii.fit(rows.union(rows.selectExpr("0", "transform(features, (x, i) -> if(i = 0, 0d, 9d))", "draw")), precision=0.98)
+    assert thresholds[0] == 0.9
+
+
 def test_words_and_their_pieces_share_one_bounded_store(monkeypatch):
     with open(queries.vocabulary_path(), encoding="utf-8") as f:
         model = f.read()
