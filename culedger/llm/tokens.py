@@ -52,6 +52,11 @@ BATCH_WORDS = 4096
 MARKS = b".,;:!?#$%&*|"
 #: Fixed value: the words of a tokenizer that parts letters, digits and marks.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Fixed value: letters (in UTF-8) that compose with none of each other and that
+#: are one letter in lower case: those of ASCII, Latin-1 and Latin Extended-A.
+LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb2-\xbf]|\xc5[\x80-\x88\x8a-\xbf])+")
+#: Fixed value: the mark of a token that closes a word.
+CLOSING = "</w>"
 #: Texts are encoded in groups of about so many bytes.
 GROUP_BYTES = 4 << 20
 
@@ -87,6 +92,27 @@ def word_wise(tokenizer_json: str) -> list[bytes] | None:
     return [a["content"].encode().lower() for a in added]
 
 
+def closing(tokenizer_json: str) -> np.ndarray | None:
+    """For each id of a tokenizer that :func:`word_wise` holds for, whether it
+    closes a word, if each word of LETTERS alone has one such id, its last, as
+    the file shows: its second and last pre-tokenizer makes bytes of the words,
+    each of which has a token, with and without the mark, and no added token is
+    a part of such a word. Else None."""
+    t = json.loads(tokenizer_json)
+    model, vocab = t["model"], t["model"]["vocab"]
+    if model.get("type") != "BPE" or model.get("end_of_word_suffix") != CLOSING or model.get("continuing_subword_prefix") or model.get("ignore_merges"):
+        return None
+    if len(t["pre_tokenizer"]["pretokenizers"]) != 2 or any(LETTERS.fullmatch(a["content"].encode()) for a in t.get("added_tokens") or []):
+        return None
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    if not all(c in vocab and c + CLOSING in vocab for c in ByteLevel.alphabet()):
+        return None
+    out = np.zeros(max(vocab.values()) + 1, bool)
+    out[[i for token, i in vocab.items() if token.endswith(CLOSING)]] = True
+    return out
+
+
 def _pieces(word: bytes, added: re.Pattern | None) -> tuple[bytes, bytes]:
     """A word in lower case without its closing marks, and those. Only ASCII is
     lower-cased (beyond it, case and composition don't commute), and a word that
@@ -101,38 +127,66 @@ def _pieces(word: bytes, added: re.Pattern | None) -> tuple[bytes, bytes]:
 def _encoder(tokenizer_json: str, width: int):
     """A function from texts (bytes) to ids (bytes), which the library works
     out. Where :func:`word_wise` holds, words and their pieces are encoded, each
-    once while there is room to keep it; else whole texts are."""
+    once while there is room to keep it; else whole texts are. Where
+    :func:`closing` holds too, words of letters are encoded many as one text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     store = _worker_store(f"{width} {hashlib.sha256(tokenizer_json.encode()).hexdigest()}")
     if "tokenizer" not in store:
         from tokenizers import Tokenizer
 
-        store |= {"tokenizer": Tokenizer.from_str(tokenizer_json), "added": word_wise(tokenizer_json), "words": {b"": b""}}
-    kind, added = f"<u{width}", store["added"]
+        added = word_wise(tokenizer_json)
+        store |= {"tokenizer": Tokenizer.from_str(tokenizer_json), "added": added, "closing": None if added is None else closing(tokenizer_json), "words": {b"": b""}}
+    kind, added, closes = f"<u{width}", store["added"], store["closing"]
 
-    def encoded(texts: list[bytes]) -> list[bytes]:
+    def library(texts: list[bytes]) -> list[np.ndarray]:
         found = store["tokenizer"].encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.asarray(e.ids, kind).tobytes() for e in found]
+        return [np.asarray(e.ids, kind) for e in found]
+
+    def encoded(texts: list[bytes]) -> list[bytes]:
+        return [x.tobytes() for x in library(texts)]
 
     if added is None:
         return encoded
     look = re.compile(b"|".join(map(re.escape, added))) if added else None
 
+    def lettered(words: list[bytes]) -> list[bytes]:
+        (ids,) = library([b" ".join(words)])
+        ends = ((np.flatnonzero(closes[ids]) + 1) * width).tolist()
+        ids = ids.tobytes()
+        return [ids[i:j] for i, j in zip([0, *ends], ends)]
+
+    def learn(pieces: list[bytes], how) -> None:
+        for i in range(0, len(pieces), BATCH_WORDS):
+            part = pieces[i : i + BATCH_WORDS]
+            store["words"].update(zip(part, how(part), strict=True))
+
     def encode(texts: list[bytes]) -> list[bytes]:
         known = store["words"]
-        split = [t.split() for t in texts]  # bytes split at the six ASCII blanks
-        new = list(set(chain.from_iterable(split)).difference(known))
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))  # at the six ASCII blanks
+        words = split.values.view(pa.binary()).dictionary_encode()
+        # No word holds a blank, so joining and splitting makes a list of them.
+        one = pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary)
+        distinct = pc.binary_join(one, b" ")[0].as_py().split(b" ") if len(words) else []
+        found = list(map(known.get, distinct))
+        new = [w for w, x in zip(distinct, found, strict=True) if x is None]
         pairs = [_pieces(w, look) for w in new]
         # A piece is a word too, with the same ids, so both are kept in one place.
-        asked = list(set(chain.from_iterable(pairs)).difference(known))
-        for i in range(0, len(asked), BATCH_WORDS):
-            part = asked[i : i + BATCH_WORDS]
-            known.update(zip(part, encoded(part), strict=True))
-        known.update([(w, known[a] + known[b]) for w, (a, b) in zip(new, pairs, strict=True)])
-        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        asked = set(chain.from_iterable(pairs)).difference(known)
+        plain = list(filter(LETTERS.fullmatch, asked)) if closes is not None else []
+        learn(plain, lettered)
+        learn(list(asked.difference(plain)), encoded)
+        fresh = [known[a] + known[b] for a, b in pairs]
+        known.update(zip(new, fresh, strict=True))
+        own = iter(fresh)
+        ids = pa.array([next(own) if x is None else x for x in found], pa.large_binary()).take(words.indices)
         for w in list(islice(reversed(known), max(0, len(known) - CACHE_WORDS))):
             del known[w]
-        return out
+        if not len(ids):
+            return [b""] * len(texts)
+        # The ids of all words stand one after the other, so those of a text do.
+        _, at, joined = ids.buffers()
+        at = np.frombuffer(at, np.int64)[split.offsets].tolist()
+        return [joined[i:j].to_pybytes() if j > i else b"" for i, j in zip(at, at[1:])]
 
     return encode
 
